@@ -43,9 +43,10 @@ def register(name: str, sql: str | None = None):
 
 
 def rounded(df: DataFrame, digits: int = 6) -> DataFrame:
-    """Round every double column (the oracle does the same)."""
+    """Round every double column (the oracle does the same); adding 0.0
+    turns a negative zero into zero."""
     return df.select(*[
-        F.round(col(f.name), digits).alias(f.name) if isinstance(f.dataType, (T.DoubleType, T.FloatType))
+        (F.round(col(f.name), digits) + F.lit(0.0)).alias(f.name) if isinstance(f.dataType, (T.DoubleType, T.FloatType))
         else col(f.name) for f in df.schema.fields])
 
 
@@ -285,3 +286,122 @@ def q_class_weights(spark, sf):
     w = Window.partitionBy()  # k rows (one per class)
     weight = F.sum("rows").over(w) / (F.count(F.lit(1)).over(w) * F.col("rows"))
     return rounded(counts.select(CFG.class_target, "rows", weight.alias("weight")))
+
+
+# --------------------------------------------------------------- metrics --
+# A deterministic model derived from the data: the smoothed category mean
+# of the target that the encoder itself produces (arrival mode), fitted on
+# the training rows and scored on the test rows.
+
+PREDICTOR_COL = "arrival_mode_description"
+
+_PF_SQL = O.prepared_base(("nosplit",)) + f"""
+, pf AS (
+  SELECT spell_id,
+    CAST(floor(exp(spell_episode_los) - 1 + {O.EPS}) AS DOUBLE) AS actual_los,
+    CAST(floor(exp(greatest({PREDICTOR_COL}, 0)) - 1 + {O.EPS}) AS DOUBLE) AS predicted_los,
+    spell_episode_los AS y_log, greatest({PREDICTOR_COL}, 0) AS p_log
+  FROM prepared WHERE split = 'test')
+"""
+
+
+def _prediction_frame(spark, sf):
+    prep = prepare(stays(spark, sf), CFG, ("nosplit",))
+    test = prep.family("nosplit", "test")
+    pred = test.select(KEY, col(CFG.target).alias("label"), col(PREDICTOR_COL).alias("prediction"))
+    return pred
+
+
+@register("prediction_frame", _PF_SQL + "SELECT spell_id, actual_los, predicted_los FROM pf")
+def q_prediction_frame(spark, sf):
+    """P12 + P11 + P6: actual/predicted in whole days (clip at 0, unpack)."""
+    return M.regression_frame(_prediction_frame(spark, sf), KEY, clip=True)
+
+
+def _metric_sql(scale, a, p):
+    return (f"SELECT '{scale}' AS scale, {O.r6(f'sqrt(avg(({a} - {p}) * ({a} - {p})))')} AS rmse, "
+            f"{O.r6(f'avg(abs({a} - {p}))')} AS mae, "
+            f"{O.r6(f'1 - sum(({a} - {p}) * ({a} - {p})) / (var_pop({a}) * count(*))')} AS r2, "
+            f"count(*) AS n FROM pf WHERE {a} IS NOT NULL AND {p} IS NOT NULL")
+
+
+@register("regression_metrics", _PF_SQL + _metric_sql("days", "actual_los", "predicted_los") +
+          " UNION ALL " + _metric_sql("log", "y_log", "p_log"))
+def q_regression_metrics(spark, sf):
+    """RMSE, MAE, R² in days (unpacked) and on the log scale."""
+    pred = _prediction_frame(spark, sf).persist()
+    days = M.regression_metrics(M.regression_frame(pred, KEY, clip=True), "actual_los", "predicted_los")
+    logs = M.regression_metrics(M.regression_frame(pred, KEY, clip=True, unpack=False),
+                                "actual_los", "predicted_los")
+    return rounded(days.select(F.lit("days").alias("scale"), "*")
+                   .unionByName(logs.select(F.lit("log").alias("scale"), "*")))
+
+
+_CLS_SQL = O.prepared_base(("class",)) + f"""
+, cls AS (
+  SELECT p.spell_id, p.is_outlier AS actual, p.{PREDICTOR_COL} AS score,
+    CAST(p.{PREDICTOR_COL} > g.m AS INTEGER) AS predicted
+  FROM prepared p JOIN gstat g ON g.family = p.family WHERE p.split = 'test')
+"""
+
+
+def _class_frame(spark, sf):
+    """Test rows of the classification family, scored by the class-target
+    encoding of arrival mode; predicted 1 above the training outlier rate."""
+    prep = prepare(stays(spark, sf), CFG, ("class",))
+    thr = prep.encoder.global_mean["class"]
+    test = prep.family("class", "test")
+    return test.select(KEY, col(CFG.class_target).alias("actual"), col(PREDICTOR_COL).alias("score"),
+                       (col(PREDICTOR_COL) > F.lit(thr)).cast("int").alias("predicted"))
+
+
+@register("confusion_matrix", _CLS_SQL + "SELECT actual, predicted, count(*) AS rows FROM cls GROUP BY 1, 2")
+def q_confusion_matrix(spark, sf):
+    """(actual, predicted) counts."""
+    return M.confusion_matrix(_class_frame(spark, sf), "actual", "predicted")
+
+
+_REPORT_SQL = _CLS_SQL + """
+, cm AS (SELECT actual, predicted, count(*) AS c FROM cls GROUP BY 1, 2)
+, classes AS (SELECT actual AS k FROM cm UNION SELECT predicted FROM cm)
+, per AS (
+  SELECT k,
+    COALESCE((SELECT sum(c) FROM cm WHERE actual = k), 0) AS support,
+    COALESCE((SELECT sum(c) FROM cm WHERE predicted = k), 0) AS pn,
+    COALESCE((SELECT sum(c) FROM cm WHERE actual = k AND predicted = k), 0) AS tp
+  FROM classes)
+, per2 AS (
+  SELECT k, support, tp,
+    CASE WHEN pn = 0 THEN 0.0 ELSE tp / pn END AS precision,
+    CASE WHEN support = 0 THEN 0.0 ELSE tp / support END AS recall
+  FROM per)
+, per3 AS (
+  SELECT *, CASE WHEN precision + recall = 0 THEN 0.0 ELSE 2 * precision * recall / (precision + recall) END AS f1
+  FROM per2)
+SELECT CAST(k AS VARCHAR) AS class, round(precision, 6) AS precision, round(recall, 6) AS recall,
+       round(f1, 6) AS f1, CAST(support AS BIGINT) AS support FROM per3
+UNION ALL SELECT 'accuracy', NULL, NULL, round(sum(tp) / sum(support), 6), CAST(sum(support) AS BIGINT) FROM per3
+UNION ALL SELECT 'macro avg', round(avg(precision), 6), round(avg(recall), 6), round(avg(f1), 6),
+                 CAST(sum(support) AS BIGINT) FROM per3
+UNION ALL SELECT 'weighted avg', round(sum(precision * support) / sum(support), 6),
+                 round(sum(recall * support) / sum(support), 6), round(sum(f1 * support) / sum(support), 6),
+                 CAST(sum(support) AS BIGINT) FROM per3
+"""
+
+
+@register("classification_report", _REPORT_SQL)
+def q_classification_report(spark, sf):
+    """Per-class precision/recall/F1/support plus accuracy, macro and
+    weighted averages."""
+    return rounded(M.classification_report(_class_frame(spark, sf), "actual", "predicted"))
+
+
+@register("roc_auc", _CLS_SQL + """
+, s AS (SELECT score, sum(actual) AS pos, count(*) - sum(actual) AS neg FROM cls GROUP BY score)
+, c AS (SELECT pos, neg, COALESCE(sum(neg) OVER (ORDER BY score ROWS BETWEEN UNBOUNDED PRECEDING
+                                                 AND 1 PRECEDING), 0) AS below FROM s)
+SELECT round(sum(pos * (below + 0.5 * neg)) / (sum(pos) * sum(neg)), 6) AS auc FROM c
+""")
+def q_roc_auc(spark, sf):
+    """A10: exact tie-aware ROC-AUC of the score."""
+    return rounded(M.roc_auc(_class_frame(spark, sf), "actual", "score"))
