@@ -11,8 +11,9 @@ Parameter mapping (the original's objective -> MLlib's):
   ``elasticNetParam = 1``, no standardization.
 * Logistic, C: ``regParam = 1 / (C * n)`` (the weighted loss is divided by
   the weight sum, which 'balanced' weights keep equal to n).
-* Random forests and boosted trees: MLlib's binned trees; unlimited depth
-  maps to MLlib's maximum (30).
+* Random forests and boosted trees: MLlib's binned trees.  Unlimited depth
+  maps to depth 20: MLlib allows 30, but serialising learning trees deeper
+  than ~25 levels overflows a default JVM thread stack.
 
 Size-dependent values (n, std(y)) come from one aggregate over the training
 rows.
@@ -29,8 +30,11 @@ from pyspark.sql import functions as F
 
 from ..features import FEATURES, LABEL, WEIGHT
 
-MAX_TREE_DEPTH = 30
+MAX_TREE_DEPTH = 20
 MAX_BINS = 128
+# Per-task budget for a tree level's split statistics (MLlib default 256):
+# smaller groups mean more passes but bounded memory per concurrent task.
+TREE_MEMORY_MB = 128
 TOL = 1e-10
 
 REGRESSORS = ("linear", "ridge", "lasso", "random_forest", "xgboost", "xgboost_poisson")
@@ -87,7 +91,7 @@ def build(spec: ModelSpec, train: DataFrame, has_weight: bool = False):
         return RandomForestRegressor(
             numTrees=int(p.get("n_estimators", 100)), maxDepth=_depth(p.get("max_depth")),
             minInstancesPerNode=int(p.get("min_samples_leaf", 1)), featureSubsetStrategy="all",
-            maxBins=MAX_BINS, seed=spec.seed, **common)
+            maxBins=MAX_BINS, maxMemoryInMB=TREE_MEMORY_MB, seed=spec.seed, **common)
     if k == "xgboost":
         colsample = float(p.get("colsample_bytree", 1.0))
         return GBTRegressor(
@@ -114,7 +118,7 @@ def build(spec: ModelSpec, train: DataFrame, has_weight: bool = False):
             numTrees=int(p.get("n_estimators", 100)), maxDepth=_depth(p.get("max_depth")),
             minInstancesPerNode=int(p.get("min_samples_leaf", 1)),
             impurity=p.get("criterion", "gini"), featureSubsetStrategy="sqrt",
-            maxBins=MAX_BINS, seed=spec.seed, **kw)
+            maxBins=MAX_BINS, maxMemoryInMB=TREE_MEMORY_MB, seed=spec.seed, **kw)
     raise ValueError(f"unknown model kind {k!r}")
 
 

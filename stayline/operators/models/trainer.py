@@ -57,7 +57,10 @@ class TrainedModel:
         """Write the MLlib model plus a small JSON of the spec (no pickle)."""
         if self.model is None:
             raise ValueError("please train the model")
-        self.model.write().overwrite().save(os.path.join(path, "model"))
+        if hasattr(self.model, "write_to"):  # Poisson boosting: trees + leaf values
+            self.model.write_to(os.path.join(path, "model"))
+        else:
+            self.model.write().overwrite().save(os.path.join(path, "model"))
         spark = _spark_of(self.model)
         meta = json.dumps({"kind": self.spec.kind, "params": self.spec.params,
                            "seed": self.spec.seed, "features": self.feature_names})
@@ -81,9 +84,19 @@ def _spark_of(model):
     return SparkSession.getActiveSession()  # the session that fitted the model
 
 
+def spread(train: DataFrame) -> DataFrame:
+    """Iterative fits read the training rows many times.  Adaptive
+    execution may have coalesced a small frame into one partition (one busy
+    core); a round-robin exchange to the session's parallelism gives every
+    core a share, and its shuffle output is reused by every pass."""
+    parts = train.sparkSession.sparkContext.defaultParallelism
+    return train.repartition(max(1, parts))
+
+
 def fit(spec: ModelSpec, train: DataFrame, feature_names: list[str] | None = None) -> TrainedModel:
     """Fit ``spec`` on an assembled frame.  'balanced' class weights are a
     (k-row) count, broadcast back as a literal map."""
+    train = spread(train)
     has_w = wants_weights(spec)
     if has_w:
         train = with_class_weights(train, LABEL, class_weights(train, LABEL), WEIGHT)

@@ -93,3 +93,78 @@ def q_lasso_one_feature(spark, sf):
 
 
 __all__ = ["DataFrame"]
+
+
+# ------------------------------------------------- fitted-model queries --
+# Rows-only checks (no SQL form); the tests hold the quality checks.
+
+from ..operators import metrics as M  # noqa: E402
+from ..operators.models.iforest import run_isolation_forest  # noqa: E402
+from .flows import train_evaluate_classifier, train_evaluate_regressor, flow_no_split, flow_split  # noqa: E402
+
+
+def _regression_query(kind, params=None):
+    def q(spark, sf):
+        prep = prepare(stays(spark, sf), CFG, ("nosplit",))
+        frame, _, _ = train_evaluate_regressor(ModelSpec(kind, params or {}), prep, "nosplit")
+        return frame
+    q.__doc__ = f"Prediction frame (actual_los, predicted_los in days) of '{kind}' on the no-split test rows."
+    return q
+
+
+for _kind in ("linear", "random_forest", "xgboost", "xgboost_poisson"):
+    register(f"{_kind}_predictions")(_regression_query(_kind))
+
+
+def _classifier_query(kind):
+    def q(spark, sf):
+        prep = prepare(stays(spark, sf), CFG, ("class",))
+        frame, _, _ = train_evaluate_classifier(ModelSpec(kind), prep, "class")
+        return frame
+    q.__doc__ = f"Prediction frame (actual_outlier, predicted_outlier) of '{kind}' on the class test rows."
+    return q
+
+
+for _kind in ("logistic", "random_forest_classifier"):
+    register(f"{_kind}_predictions")(_classifier_query(_kind))
+
+
+def _iforest(spark, sf):
+    prep = prepare(stays(spark, sf), CFG, ("class",))
+    data = prep.family("class")
+    feats, _ = assemble(data, CFG, CFG.class_target, null_policy="sentinel")
+    return run_isolation_forest(feats, KEY).select(KEY, "anomaly_score", "anomaly")
+
+
+@register("isolation_forest")
+def q_isolation_forest(spark, sf):
+    """M9: fit on all classification-family rows (class target excluded),
+    score the same rows."""
+    return rounded(_iforest(spark, sf))
+
+
+@register("anomaly_counts")
+def q_anomaly_counts(spark, sf):
+    """Rows per anomaly label, most frequent first."""
+    return M.anomaly_counts(_iforest(spark, sf))
+
+
+@register("flow_no_split")
+def q_flow_no_split(spark, sf):
+    """Linear, lasso, ridge, random forest, boosted trees on the
+    no-split family; metrics in days and on the log scale."""
+    prep = prepare(stays(spark, sf), CFG, ("nosplit",))
+    return rounded(flow_no_split(prep))
+
+
+@register("flow_split")
+def q_flow_split(spark, sf):
+    """Outlier classifier report + five regressors per IQR branch."""
+    prep = prepare(stays(spark, sf), CFG, ("class", "inlier", "outlier"))
+    cls, reg = flow_split(prep)
+    a = cls.select("family", "model", F.col("class").alias("metric_group"),
+                   F.col("precision").alias("v1"), F.col("recall").alias("v2"), F.col("f1").alias("v3"),
+                   F.col("auc").alias("v4"))
+    b = reg.select("family", "model", F.col("scale").alias("metric_group"), F.col("rmse").alias("v1"),
+                   F.col("mae").alias("v2"), F.col("r2").alias("v3"), F.col("n").cast("double").alias("v4"))
+    return rounded(a.unionByName(b))

@@ -27,7 +27,7 @@ _SETTINGS = {
 
 
 def get_session(master: str | None = None, shuffle_partitions: int | None = None,
-                app_name: str = "stayline") -> SparkSession:
+                app_name: str = "stayline", local_driver_memory: str = "12g") -> SparkSession:
     """Build (or reuse) a session with the engine's settings.
 
     On a cluster the master and partition counts come from spark-submit; the
@@ -36,6 +36,10 @@ def get_session(master: str | None = None, shuffle_partitions: int | None = None
     builder = SparkSession.builder.appName(app_name)
     if master:
         builder = builder.master(master)
+        if master.startswith("local"):
+            # Local mode runs executors inside the driver JVM; its 1 GiB
+            # default heap is too small for eight concurrent tree fits.
+            builder = builder.config("spark.driver.memory", local_driver_memory)
     for k, v in _SETTINGS.items():
         builder = builder.config(k, v)
     if shuffle_partitions:
