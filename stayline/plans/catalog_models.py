@@ -168,3 +168,27 @@ def q_flow_split(spark, sf):
     b = reg.select("family", "model", F.col("scale").alias("metric_group"), F.col("rmse").alias("v1"),
                    F.col("mae").alias("v2"), F.col("r2").alias("v3"), F.col("n").cast("double").alias("v4"))
     return rounded(a.unionByName(b))
+
+
+# ------------------------------------------------------------ tuning --
+import json  # noqa: E402
+
+from ..operators.tuning import grid_search  # noqa: E402
+
+
+def _tune_query(kind, family, label):
+    def q(spark, sf):
+        prep = prepare(stays(spark, sf), CFG, (family,))
+        tr, feats = assemble(prep.family(family, "train"), CFG, label, null_policy="sentinel")
+        te, _ = assemble(prep.family(family, "test"), CFG, label, features=feats, null_policy="sentinel")
+        res = grid_search(kind, tr, te, KEY)
+        rows = [(kind, json.dumps(p, sort_keys=True), s, p == res.best_params) for p, s in res.cv]
+        cv = spark.createDataFrame(rows, "model string, params string, cv_score double, best boolean")
+        return rounded(cv)
+    q.__doc__ = f"Grid search for '{kind}' (the original's grid and fold count): one row per combination."
+    return q
+
+
+register("tune_ridge")(_tune_query("ridge", "nosplit", CFG.target))
+register("tune_lasso")(_tune_query("lasso", "nosplit", CFG.target))
+register("tune_logistic")(_tune_query("logistic", "class", CFG.class_target))
