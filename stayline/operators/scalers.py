@@ -120,3 +120,39 @@ def apply_scaler(df: DataFrame, state: ScalerState) -> DataFrame:
             e = F.when(cond, v) if e is None else e.when(cond, v)
         exprs.append((e.otherwise(x) if e is not None else x).alias(name))
     return df.select(*exprs)
+
+
+def fit_scalers(df: DataFrame, std_cols: list[str], rob_cols: list[str], by: str | None = None,
+                exact: bool | str = "auto") -> tuple[ScalerState, ScalerState]:
+    """Both scalers from one grouped aggregate (after the distinct-count
+    check that chooses exact or approximate quartiles)."""
+    from .stats import APPROX_ACCURACY, MAX_EXACT_DISTINCT
+    if exact == "auto" and rob_cols:
+        nd = df.agg(*[F.approx_count_distinct(col(c), 0.05).alias(f"d{i}") for i, c in enumerate(rob_cols)]).first()
+        use_exact = {c: nd[f"d{i}"] <= MAX_EXACT_DISTINCT for i, c in enumerate(rob_cols)}
+    else:
+        use_exact = {c: bool(exact) for c in rob_cols}
+    probs = F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75))
+    aggs = []
+    for i, c in enumerate(std_cols):
+        x = col(c).cast("double")
+        aggs += [F.avg(x).alias(f"m{i}"), F.stddev_pop(x).alias(f"s{i}")]
+    for i, c in enumerate(rob_cols):
+        x = col(c).cast("double")
+        q = F.percentile(x, probs) if use_exact[c] else F.percentile_approx(x, probs, APPROX_ACCURACY)
+        aggs.append(q.alias(f"q{i}"))
+    if not aggs:
+        return ScalerState("standard", {}, by), ScalerState("robust", {}, by)
+    rows = df.groupBy(group_key(by).alias("g")).agg(*aggs).collect()  # one row per group
+    std, rob = {}, {}
+    for r in rows:
+        std[r["g"]] = {c: (r[f"m{i}"], _nonzero(r[f"s{i}"])) for i, c in enumerate(std_cols)}
+        rob[r["g"]] = {}
+        for i, c in enumerate(rob_cols):
+            q = r[f"q{i}"]
+            if not q:
+                rob[r["g"]][c] = (None, 1.0)
+            else:
+                rob[r["g"]][c] = (q[1], _nonzero(q[2] - q[0]))
+    return (ScalerState("standard", std if std_cols else {}, by),
+            ScalerState("robust", rob if rob_cols else {}, by))

@@ -49,14 +49,39 @@ class EncoderState:
 
 def fit_target_encoder(df: DataFrame, columns: list[str], target: str, by: str | None = None,
                        checkpoint: bool = True) -> EncoderState:
-    """Fit on the rows with a target value.  The encoding table is
-    checkpointed to the shared checkpoint folder, so losing an executor later
-    does not replay the fit."""
+    """Fit on the rows with a target value: one pass over the data.
+
+    The per-(group, column, category) statistics are the only aggregate over
+    the rows; they are checkpointed to the shared checkpoint folder (a lost
+    executor does not replay the fit).  The global mean and variance per
+    group follow from the statistics of any one column, since every row has
+    exactly one category in it: m = sum(n m_c) / N and, by the law of total
+    variance, v = sum(n (v_c + (m_c - m)^2)) / N."""
+    if not columns:
+        raise ValueError("target encoder: no columns to encode")
     y = col(target).cast("double")
     fit_rows = df.where(y.isNotNull()).select(
         group_key(by).cast("string").alias("grp"), y.alias("y"), *[col(c) for c in columns])
-    glob = {r["grp"]: (float(r["m"]), float(r["v"])) for r in
-            fit_rows.groupBy("grp").agg(F.avg("y").alias("m"), F.var_pop("y").alias("v")).collect()}
+    pairs = F.explode(F.array(*[
+        F.struct(F.lit(c).alias("column"), col(c).cast("string").alias("category"))
+        for c in columns]))
+    long = fit_rows.select("grp", pairs.alias("p"), "y").select("grp", "p.column", "p.category", "y")
+    stats = long.groupBy("grp", "column", "category").agg(
+        F.count(F.lit(1)).alias("n"), F.avg("y").alias("cat_mean"), F.var_pop("y").alias("cat_var"))
+    if checkpoint:
+        ensure_checkpoint_dir(df.sparkSession)
+        stats = stats.checkpoint()
+    else:
+        stats = stats.persist()
+    first = stats.where(F.col("column") == F.lit(columns[0]))
+    # (Names differ from 'n' by more than case: Spark resolves case-insensitively.)
+    tot = first.groupBy("grp").agg(F.sum("n").alias("tot_rows"),
+                                   F.sum(F.col("n") * F.col("cat_mean")).alias("tot_sum"))
+    mean = F.col("tot_sum") / F.col("tot_rows")
+    gm = first.join(F.broadcast(tot), "grp").groupBy("grp", "tot_rows", "tot_sum").agg(
+        F.sum(F.col("n") * (F.col("cat_var") + (F.col("cat_mean") - mean) ** 2)).alias("ss"))
+    glob = {r["grp"]: (float(r["tot_sum"]) / float(r["tot_rows"]), float(r["ss"]) / float(r["tot_rows"]))
+            for r in gm.collect()}  # one row per group
     if not glob:
         raise ValueError("target encoder: no rows with a target value")
 
@@ -67,22 +92,11 @@ def fit_target_encoder(df: DataFrame, columns: list[str], target: str, by: str |
             e = F.when(cond, F.lit(mv[i])) if e is None else e.when(cond, F.lit(mv[i]))
         return e
 
-    pairs = F.explode(F.array(*[
-        F.struct(F.lit(c).alias("column"), col(c).cast("string").alias("category"))
-        for c in columns]))
-    long = fit_rows.select("grp", pairs.alias("p"), "y").select("grp", "p.column", "p.category", "y")
-    stats = long.groupBy("grp", "column", "category").agg(
-        F.count(F.lit(1)).alias("n"), F.avg("y").alias("cat_mean"), F.var_pop("y").alias("cat_var"))
     m, v = per_group(0), per_group(1)
     lam = F.try_divide(v * F.col("n"), v * F.col("n") + F.col("cat_var"))
     enc = F.coalesce(lam * F.col("cat_mean") + (F.lit(1.0) - lam) * m, m)
-    table = stats.select("grp", "column", "category", "n", "cat_mean", enc.alias("encoding"))
-    if checkpoint:
-        ensure_checkpoint_dir(df.sparkSession)
-        table = table.checkpoint()
-    else:
-        table = table.persist()
-    sizes = {r["column"]: r["k"] for r in table.groupBy("column").agg(F.count(F.lit(1)).alias("k")).collect()}
+    table = stats.select("grp", "column", "category", "n", "cat_mean", enc.alias("encoding")).persist()
+    sizes = {r["column"]: r["k"] for r in stats.groupBy("column").agg(F.count(F.lit(1)).alias("k")).collect()}
     return EncoderState(table, {g: mv[0] for g, mv in glob.items()}, list(columns), sizes, by)
 
 

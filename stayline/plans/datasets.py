@@ -14,6 +14,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -21,7 +22,7 @@ from ..config import RoleConfig
 from ..functions.scalar import col, log_target
 from ..operators.clean import clean_and_impute
 from ..operators.outliers import Fences, fit_fences, outlier_condition
-from ..operators.scalers import ScalerState, apply_scaler, fit_robust, fit_standard
+from ..operators.scalers import ScalerState, apply_scaler, fit_scalers
 from ..operators.splits import SPLIT_COL, split_column
 from ..operators.target_encoder import EncoderState, apply_target_encoder, fit_target_encoder
 
@@ -92,11 +93,19 @@ def tag_families(df: DataFrame, cfg: RoleConfig, families=FAMILIES,
 
 
 def prepare(df: DataFrame, cfg: RoleConfig, families=FAMILIES, fences: Fences | None = None,
-            cleaned: bool = False) -> Prepared:
+            cleaned: bool = False, persist: bool = True) -> Prepared:
     """clean → impute → (fences) → tag families → split → fit on train →
     transform train and test.  ``df`` is the raw spell table unless
-    ``cleaned``."""
+    ``cleaned``.
+
+    Jobs over the rows: fences (distinct check + quartiles), scalers
+    (distinct check + one aggregate), encoder (one aggregate); the output
+    plan is then a single pass.  With ``persist`` the cleaned rows (only the
+    columns that survive cleaning) are kept in memory/disk after the first
+    pass, so the source scan and its joins run once."""
     base = df if cleaned else clean_and_impute(df, cfg)
+    if persist:
+        base = base.persist(StorageLevel.MEMORY_AND_DISK)
     tagged, fences = tag_families(base, cfg, families, fences)
     target = cfg.present([cfg.target], tagged.columns)[0]
     # y for the encoder: the 0/1 flag for 'class', the log target otherwise.
@@ -105,8 +114,8 @@ def prepare(df: DataFrame, cfg: RoleConfig, families=FAMILIES, fences: Fences |
         enc_y, F.when(F.col(FAMILY) == F.lit("class"), col(cfg.class_target).cast("double"))
         .otherwise(col(target)))
     train = tagged.where(F.col(SPLIT_COL) == F.lit("train"))
-    std = fit_standard(train, cfg.present(cfg.std_scale_cols, tagged.columns), by=FAMILY)
-    rob = fit_robust(train, cfg.present(cfg.robust_scale_cols, tagged.columns), by=FAMILY)
+    std, rob = fit_scalers(train, cfg.present(cfg.std_scale_cols, tagged.columns),
+                           cfg.present(cfg.robust_scale_cols, tagged.columns), by=FAMILY)
     enc = fit_target_encoder(train, cfg.present(cfg.encode_cols, tagged.columns), enc_y, by=FAMILY)
     out = apply_target_encoder(apply_scaler(apply_scaler(tagged, std), rob), enc).drop(enc_y)
     return Prepared(out, fences, std, rob, enc, cfg)
