@@ -32,9 +32,44 @@ from ..features import FEATURES, LABEL, WEIGHT
 
 MAX_TREE_DEPTH = 20
 MAX_BINS = 128
-# Per-task budget for a tree level's split statistics (MLlib default 256):
-# smaller groups mean more passes but bounded memory per concurrent task.
-TREE_MEMORY_MB = 128
+
+
+def _mb(text: str) -> float:
+    text = text.strip().lower()
+    units = {"k": 1 / 1024, "m": 1, "g": 1024, "t": 1024 * 1024}
+    if text and text[-1] == "b":
+        text = text[:-1]
+    if text and text[-1] in units:
+        return float(text[:-1]) * units[text[-1]]
+    return float(text) / (1024 * 1024)
+
+
+def heap_and_tasks(spark) -> tuple[float, int]:
+    """(heap MB, concurrent tasks) of one executor.  In local mode the
+    executors live in the driver JVM."""
+    conf = spark.sparkContext.getConf()
+    if spark.sparkContext.master.startswith("local"):
+        return _mb(conf.get("spark.driver.memory", "1g")), spark.sparkContext.defaultParallelism
+    return _mb(conf.get("spark.executor.memory", "1g")), int(conf.get("spark.executor.cores", "1"))
+
+
+def tree_memory_mb(spark) -> int:
+    """Per-task budget for a tree level's split statistics (MLlib's
+    ``maxMemoryInMB``, default 256), sized from the memory a task really has:
+    a quarter of heap / concurrent tasks (the rest holds the cached binned
+    rows and the growing trees).  Smaller budgets mean more passes per
+    level, never an out-of-memory task."""
+    heap, tasks = heap_and_tasks(spark)
+    return int(min(512, max(16, heap / (4 * max(tasks, 1)))))
+
+
+def tree_partitions(spark) -> int | None:
+    """In a small local heap (local mode, < 4 GiB) deep forests fit with at
+    most one concurrent partition per 512 MB; None means no limit."""
+    heap, tasks = heap_and_tasks(spark)
+    if spark.sparkContext.master.startswith("local") and heap < 4096:
+        return max(1, min(tasks, int(heap // 512)))
+    return None
 TOL = 1e-10
 
 REGRESSORS = ("linear", "ridge", "lasso", "random_forest", "xgboost", "xgboost_poisson")
@@ -91,14 +126,15 @@ def build(spec: ModelSpec, train: DataFrame, has_weight: bool = False):
         return RandomForestRegressor(
             numTrees=int(p.get("n_estimators", 100)), maxDepth=_depth(p.get("max_depth")),
             minInstancesPerNode=int(p.get("min_samples_leaf", 1)), featureSubsetStrategy="all",
-            maxBins=MAX_BINS, maxMemoryInMB=TREE_MEMORY_MB, seed=spec.seed, **common)
+            maxBins=MAX_BINS, maxMemoryInMB=tree_memory_mb(train.sparkSession), seed=spec.seed, **common)
     if k == "xgboost":
         colsample = float(p.get("colsample_bytree", 1.0))
         return GBTRegressor(
             maxIter=int(p.get("n_estimators", 100)), maxDepth=_depth(p.get("max_depth", 6)),
             stepSize=float(p.get("learning_rate", 0.3)), subsamplingRate=float(p.get("subsample", 1.0)),
             featureSubsetStrategy="all" if colsample >= 1.0 else str(colsample),
-            lossType="squared", maxBins=MAX_BINS, seed=spec.seed, checkpointInterval=10, **common)
+            lossType="squared", maxBins=MAX_BINS, maxMemoryInMB=tree_memory_mb(train.sparkSession),
+            seed=spec.seed, checkpointInterval=10, **common)
     if k == "logistic":
         c = float(p.get("C", 1.0))
         penalty = p.get("penalty", "l2")
@@ -118,9 +154,13 @@ def build(spec: ModelSpec, train: DataFrame, has_weight: bool = False):
             numTrees=int(p.get("n_estimators", 100)), maxDepth=_depth(p.get("max_depth")),
             minInstancesPerNode=int(p.get("min_samples_leaf", 1)),
             impurity=p.get("criterion", "gini"), featureSubsetStrategy="sqrt",
-            maxBins=MAX_BINS, maxMemoryInMB=TREE_MEMORY_MB, seed=spec.seed, **kw)
+            maxBins=MAX_BINS, maxMemoryInMB=tree_memory_mb(train.sparkSession), seed=spec.seed, **kw)
     raise ValueError(f"unknown model kind {k!r}")
 
 
+def is_tree_model(spec: ModelSpec) -> bool:
+    return spec.kind in ("random_forest", "xgboost", "random_forest_classifier", "xgboost_poisson")
+
+
 def wants_weights(spec: ModelSpec) -> bool:
     return spec.is_classifier and spec.params.get("class_weight") in ("balanced", "balanced_subsample")

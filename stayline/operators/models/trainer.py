@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 
 from ...functions.scalar import clip_nonneg
 from ..features import FEATURES, LABEL, WEIGHT, class_weights, with_class_weights
-from .estimators import ModelSpec, build, wants_weights
+from .estimators import ModelSpec, build, is_tree_model, tree_partitions, wants_weights
 
 PREDICTION = "prediction"
 SCORE = "score"
@@ -84,19 +84,21 @@ def _spark_of(model):
     return SparkSession.getActiveSession()  # the session that fitted the model
 
 
-def spread(train: DataFrame) -> DataFrame:
+def spread(train: DataFrame, limit: int | None = None) -> DataFrame:
     """Iterative fits read the training rows many times.  Adaptive
     execution may have coalesced a small frame into one partition (one busy
     core); a round-robin exchange to the session's parallelism gives every
     core a share, and its shuffle output is reused by every pass."""
     parts = train.sparkSession.sparkContext.defaultParallelism
+    if limit:
+        parts = min(parts, limit)
     return train.repartition(max(1, parts))
 
 
 def fit(spec: ModelSpec, train: DataFrame, feature_names: list[str] | None = None) -> TrainedModel:
     """Fit ``spec`` on an assembled frame.  'balanced' class weights are a
     (k-row) count, broadcast back as a literal map."""
-    train = spread(train)
+    train = spread(train, tree_partitions(train.sparkSession) if is_tree_model(spec) else None)
     has_w = wants_weights(spec)
     if has_w:
         train = with_class_weights(train, LABEL, class_weights(train, LABEL), WEIGHT)
