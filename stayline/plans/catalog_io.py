@@ -80,3 +80,24 @@ def q_preprocessing_state_roundtrip(spark, sf):
     S.save_preprocessing(spark, path, prep.standard, prep.robust, prep.encoder)
     _, _, enc = S.load_preprocessing(spark, path, by="family")
     return rounded(enc.table.select(F.col("grp").alias("family"), "column", "category", "n", "encoding"))
+
+
+@register("stream_scoring")
+def q_stream_scoring(spark, sf):
+    """Batch prediction over a stream: the spells land as parquet files, a
+    Structured Streaming query (available-now trigger, one file per
+    micro-batch) cleans, scales, encodes and scores them with the state and
+    linear model fitted on the no-split training rows; the sink is read
+    back."""
+    from ..streaming.scoring import score_stream
+    raw = stays(spark, sf)
+    src = scratch_path(spark, "stream-source")
+    raw.repartition(4).write.parquet(src)
+    prep = prepare(raw, CFG, ("nosplit",))
+    tr, feats = assemble(prep.family("nosplit", "train"), CFG, CFG.target, null_policy="sentinel")
+    model = fit(ModelSpec("linear"), tr, feats)
+    sink = scratch_path(spark, "stream-sink")
+    q = score_stream(spark, src, raw.schema, CFG, "nosplit", prep.standard, prep.robust, prep.encoder,
+                     model, sink, scratch_path(spark, "stream-ckpt"), max_files_per_trigger=1)
+    q.awaitTermination()
+    return spark.read.parquet(sink)
