@@ -2,7 +2,7 @@
 
 * Sampling: tree t needs psi = min(256, n) rows drawn without replacement.
   Each row is given m = min(T, ceil(1.5 * T * psi / n)) candidate tree ids
-  by key hash (every tree when m = T), so the candidate set has about
+  by a hash of its row id (every tree when m = T), so the candidate set has about
   1.5 * T * psi rows whatever n is -- one pass, no rows x trees product.
   Per tree the psi candidates with the lowest hash are kept (a window
   partitioned by tree over ~1.5 * psi rows).
@@ -151,8 +151,11 @@ class IsolationForest:
         psi = min(256, n) if self.max_samples == "auto" else min(int(self.max_samples), n)
         T = self.T
         m = min(T, math.ceil(1.5 * T * psi / n))
-        key = F.col(self.key)
-        base = df.select(key.alias("__k"), vector_to_array(F.col(features)).alias("x"))
+        # Hashes use a per-row id, not the key: copies of one key value (even a
+        # third of all rows) are then sampled independently, and no tree's
+        # window grows beyond ~1.5 psi rows.  The id depends only on the input
+        # partitioning, which a re-run of the same scan reproduces.
+        base = df.select(F.monotonically_increasing_id().alias("__k"), vector_to_array(F.col(features)).alias("x"))
         if m >= T:
             cand = base.select("__k", "x", F.explode(F.sequence(F.lit(0), F.lit(T - 1))).alias("tree"))
         elif m == 1:
