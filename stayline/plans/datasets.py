@@ -39,6 +39,13 @@ class Prepared:
     robust: ScalerState
     encoder: EncoderState
     cfg: RoleConfig
+    base: DataFrame | None = None  # the persisted cleaned rows, if any
+
+    def release(self) -> None:
+        """Drop the cached cleaned rows and encoding table."""
+        if self.base is not None:
+            self.base.unpersist()
+        self.encoder.table.unpersist()
 
     def family(self, name: str, split: str | None = None) -> DataFrame:
         """One family's rows with that family's columns."""
@@ -118,7 +125,7 @@ def prepare(df: DataFrame, cfg: RoleConfig, families=FAMILIES, fences: Fences |
                            cfg.present(cfg.robust_scale_cols, tagged.columns), by=FAMILY)
     enc = fit_target_encoder(train, cfg.present(cfg.encode_cols, tagged.columns), enc_y, by=FAMILY)
     out = apply_target_encoder(apply_scaler(apply_scaler(tagged, std), rob), enc).drop(enc_y)
-    return Prepared(out, fences, std, rob, enc, cfg)
+    return Prepared(out, fences, std, rob, enc, cfg, base if persist else None)
 
 
 def branch_shapes(prep: Prepared) -> DataFrame:
