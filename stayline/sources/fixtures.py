@@ -17,7 +17,7 @@ STAYS_SQL = """
 WITH e AS (
   SELECT event_id, ts, user_id, event_type, value,
          CAST(regexp_extract(props, '([0-9]+)', 1) AS int) AS k
-  FROM events)
+  FROM {events})
 SELECT e.event_id AS spell_id,
   e.ts AS admission_date_dt,
   CAST(floor(e.value / 10) AS double) AS spell_episode_los,
@@ -35,29 +35,29 @@ SELECT e.event_id AS spell_id,
   CASE WHEN k % 5 = 0 THEN NULL ELSE n.n_name END AS ethnic_origin_description,
   c.c_mktsegment AS specialty_division
 FROM e
-JOIN customer c ON e.user_id = c.c_custkey
-JOIN nation n ON c.c_nationkey = n.n_nationkey
+JOIN {customer} c ON e.user_id = c.c_custkey
+JOIN {nation} n ON c.c_nationkey = n.n_nationkey
 """
 
 DRIVER_TABLES = ("events", "customer", "nation")
 
 
-def register_tables(spark: SparkSession, sf_dir: str,
-                    names: tuple[str, ...] = DRIVER_TABLES) -> None:
-    """Register driver parquet tables as temp views (lazy; nothing is read)."""
-    for name in names:
-        spark.read.parquet(os.path.join(sf_dir, f"{name}.parquet")).createOrReplaceTempView(name)
+def driver_tables(spark: SparkSession, sf_dir: str,
+                  names: tuple[str, ...] = DRIVER_TABLES) -> dict[str, DataFrame]:
+    """Driver parquet tables as DataFrames (lazy; nothing is read)."""
+    return {name: spark.read.parquet(os.path.join(sf_dir, f"{name}.parquet")) for name in names}
 
 
 def stays(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The raw spell table (before cleaning).  ``customer`` and ``nation``
-    are dimension tables; Catalyst broadcasts them when their scanned size is
-    under the broadcast threshold and sort-merge joins otherwise."""
-    register_tables(spark, sf_dir)
-    return spark.sql(STAYS_SQL)
+    """The raw spell table (before cleaning).  The tables are passed to
+    ``spark.sql`` as DataFrame arguments -- no session-wide views.
+    ``customer`` and ``nation`` are dimension tables; Catalyst broadcasts
+    them when their scanned size is under the broadcast threshold and
+    sort-merge joins otherwise."""
+    return spark.sql(STAYS_SQL, **driver_tables(spark, sf_dir))
 
 
 def stays_cte() -> str:
-    """``WITH stays AS (...)`` prefix for oracle SQL."""
-    body = STAYS_SQL.strip()
+    """``WITH stays AS (...)`` prefix for oracle SQL (plain table names)."""
+    body = STAYS_SQL.strip().format(**{n: n for n in DRIVER_TABLES})
     return f"WITH stays AS (\n{body}\n)\n"
