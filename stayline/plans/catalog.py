@@ -18,7 +18,6 @@ from ..config import STAYS
 from ..functions.scalar import col, inverse_log_target, log_target
 from ..operators import metrics as M
 from ..operators.clean import clean_and_impute, drop_listed, extract_frailty
-from ..operators.features import assemble
 from ..operators.outliers import fit_fences, split_outliers, tag_outliers
 from ..operators.scalers import fit_robust, fit_standard
 from ..operators.splits import SPLIT_COL, kfold_column, split_column, stratified_kfold_column
