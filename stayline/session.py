@@ -8,6 +8,7 @@ storage.  Only when it is unset (local tests, the bench) is one created.
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 import uuid
 
@@ -50,12 +51,16 @@ def get_session(master: str | None = None, shuffle_partitions: int | None = None
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Return the session's checkpoint directory, creating a local one only
-    when the session has none (tests and local runs)."""
-    current = spark.conf.get("spark.checkpoint.dir", None)
-    if not current:
-        current = spark.sparkContext.getCheckpointDir()
+    """Return the session's checkpoint directory.
+
+    A machine-local one is made only for a ``local`` master (tests, the
+    bench); on a cluster an unset ``spark.checkpoint.dir`` raises, because a
+    folder of the driver's machine is invisible to the executors.
+    """
+    current = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not current:
+        if not re.match(r"local(\[|$)", spark.sparkContext.master):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         current = tempfile.mkdtemp(prefix="stayline-ckpt-")
         spark.conf.set("spark.checkpoint.dir", current)
     if not spark.sparkContext.getCheckpointDir():
