@@ -38,3 +38,24 @@ quality AS (SELECT *, NOT base_failed AND {_rules()} AS kept FROM j)"""
 
 QUALITY_SQL = f"""WITH {QUALITY_MEASURES.format(docs='documents')}
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, kept FROM quality"""
+
+#: Per document of {docs}: words, words hit by windows of the benchmark, items found.
+DECONTAM = r"""
+dw AS (SELECT doc_id, list_filter(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+              '[\x00-\x2F\x3A-\x60\x7B-\x7F]+'), lambda x: x <> '') AS words FROM {docs}),
+iw AS (SELECT coalesce(CAST(item_id AS VARCHAR), '') AS item, list_filter(regexp_split_to_array(
+              translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+              '[\x00-\x2F\x3A-\x60\x7B-\x7F]+'), lambda x: x <> '') AS words FROM benchmark),
+it AS (SELECT DISTINCT item, least(10, len(words)) AS size, array_to_string(words[i:i + least(10, len(words)) - 1], ' ') AS s
+       FROM (SELECT item, words, unnest(generate_series(1, len(words) - least(10, len(words)) + 1)) AS i FROM iw WHERE len(words) > 0)),
+sizes AS (SELECT DISTINCT size FROM it),
+dp AS (SELECT doc_id, size, i, array_to_string(words[i:i + size - 1], ' ') AS s
+       FROM (SELECT doc_id, size, words, unnest(generate_series(1, len(words) - size + 1)) AS i FROM dw, sizes WHERE len(words) >= size)),
+hits AS (SELECT doc_id, i, size, item FROM dp JOIN it USING (size, s)),
+nh AS (SELECT doc_id, count(DISTINCT p) AS n_hit FROM (SELECT doc_id, unnest(generate_series(i, i + size - 1)) AS p FROM (SELECT DISTINCT doc_id, i, size FROM hits)) GROUP BY doc_id),
+ni AS (SELECT doc_id, count(*) AS n_items, sha256(string_agg(item, ',' ORDER BY item)) AS items_sha256 FROM (SELECT DISTINCT doc_id, item FROM hits) GROUP BY doc_id),
+contamination AS (SELECT dw.doc_id, CAST(len(words) AS BIGINT) AS n_words, CAST(coalesce(n_hit, 0) AS BIGINT) AS n_hit, CAST(coalesce(n_items, 0) AS BIGINT) AS n_items,
+        coalesce(items_sha256, sha256('')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+      FROM dw LEFT JOIN nh USING (doc_id) LEFT JOIN ni USING (doc_id))"""
+
+DECONTAM_SQL = f"WITH {DECONTAM.format(docs='documents')}\nSELECT * FROM contamination"

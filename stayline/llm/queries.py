@@ -3,8 +3,8 @@
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from . import bpe, quality, ring, token_count
-from .oracle import QUALITY_SQL
+from . import bpe, decontam, quality, ring, token_count
+from .oracle import DECONTAM_SQL, QUALITY_SQL
 
 QUERIES, ORACLE = {}, {}
 
@@ -40,6 +40,14 @@ def op7(spark, sf_dir):
     return bpe.digests(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
 
 
+@register("op9_decontamination", DECONTAM_SQL)
+def op9(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = decontam.searched(docs, table(spark, sf_dir, "benchmark"), window=10)
+    return found.select(F.col("row.doc_id").alias("doc_id"), "found.n_words", "found.n_hit", F.size("found.items").cast("long").alias("n_items"),
+                        F.sha2(F.array_join("found.items", ","), 256).alias("items_sha256"), (F.col("found.n_hit") > 0).alias("contaminated"))
+
+
 @register("op10_sharding")
 def op10(spark, sf_dir):
     return ring.shard_documents(table(spark, sf_dir, "documents"), shards=24)
