@@ -3,7 +3,7 @@
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from . import bpe, decontam, quality, ring, token_count
+from . import bpe, decontam, quality, ring, simhash, token_count
 from .oracle import DECONTAM_SQL, QUALITY_SQL
 
 QUERIES, ORACLE = {}, {}
@@ -22,6 +22,12 @@ def table(spark, sf_dir, name):
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+@register("op2_simhash")
+def op2(spark, sf_dir):
+    found = simhash.near_duplicates(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+
+
 @register("op3_token_counts")
 def op3(spark, sf_dir):
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
