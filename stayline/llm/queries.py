@@ -3,7 +3,7 @@
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from . import bpe, decontam, quality, ring, simhash, token_count
+from . import bpe, decontam, pii, quality, ring, simhash, token_count
 from .oracle import DECONTAM_SQL, QUALITY_SQL
 
 QUERIES, ORACLE = {}, {}
@@ -22,6 +22,15 @@ def table(spark, sf_dir, name):
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+@register("op1_pii")
+def op1(spark, sf_dir):
+    found = pii.detected(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    base = F.filter("spans", lambda s: s["base"])
+    count = lambda kind: F.size(F.filter("spans", lambda s: s["base"] & (s["kind"] == kind))).cast("long").alias(f"n_{kind}")
+    return found.select(F.col("row.doc_id").alias("doc_id"), *map(count, pii.KINDS), F.sha2(pii.listed(base), 256).alias("base_sha256"),
+                        pii.listed(F.col("spans")).alias("spans"))
+
+
 @register("op2_simhash")
 def op2(spark, sf_dir):
     found = simhash.near_duplicates(table(spark, sf_dir, "documents"))
