@@ -2,7 +2,7 @@
 
 import numpy as np
 
-SLICE_BYTES = 8_000_000     # text handled at once inside a task
+SLICE_BYTES = 2_000_000     # text handled at once inside a task
 
 
 def text_slices(array, limit=SLICE_BYTES):

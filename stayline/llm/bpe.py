@@ -32,7 +32,8 @@ WORD_PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
 # From here on, the library and the installed regex module may follow
 # different Unicode versions; such chunks go through the library's own splitter.
 FIRST_DISPUTED = "՘"
-CACHE_LIMIT = 1_500_000     # distinct chunks or pre-tokens kept by a task
+CACHE_LIMIT = 300_000       # distinct chunks or pre-tokens kept by a task
+DECODE_IDS = 400_000        # ids turned into text at once
 
 
 def byte_alphabet():
@@ -269,8 +270,10 @@ def decode_ids(path: str):
         tables = Tables(path)
         for lists in batches:
             lengths = lists.value_lengths().fill_null(0).to_numpy(zero_copy_only=False).astype(np.int64)
-            ids = lists.flatten().to_numpy(zero_copy_only=False)
-            yield pa.array(tables.decode(ids, lengths), pa.string())
+            ids, ends = lists.flatten().to_numpy(zero_copy_only=False), np.cumsum(lengths)
+            cuts = [0, *np.flatnonzero(np.diff(ends // DECODE_IDS) != 0) + 1, len(lengths)]
+            parts = [pa.array(tables.decode(ids[ends[a] - lengths[a]:ends[b - 1]], lengths[a:b]), pa.string()) for a, b in zip(cuts, cuts[1:]) if a < b]
+            yield pa.concat_arrays(parts) if parts else pa.array([], pa.string())
 
     return F.arrow_udf(run, "string")
 

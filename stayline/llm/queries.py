@@ -3,7 +3,7 @@
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from . import bpe, decontam, pii, quality, ring, simhash, token_count
+from . import bpe, decontam, html_extract, pii, quality, ring, simhash, token_count
 from .oracle import DECONTAM_SQL, QUALITY_SQL
 
 QUERIES, ORACLE = {}, {}
@@ -43,6 +43,11 @@ def op3(spark, sf_dir):
     return token_count.token_counts(docs, public_tokenizers.path("word_bpe_49k.json"), limit=2048)
 
 
+@register("op4_html_text")
+def op4(spark, sf_dir):
+    return html_extract.extracted(table(spark, sf_dir, "pages"))
+
+
 @register("op6_quality_rules", QUALITY_SQL)
 def op6(spark, sf_dir):
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
