@@ -3,7 +3,8 @@
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from . import bpe, decontam, html_extract, pii, quality, ring, simhash, token_count
+from . import bpe, decontam, html_extract, pii, quality, ring, simhash, token_count, token_files
+from ..session import scratch_path
 from .oracle import DECONTAM_SQL, QUALITY_SQL
 
 QUERIES, ORACLE = {}, {}
@@ -60,6 +61,14 @@ def op7(spark, sf_dir):
     return bpe.digests(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
 
 
+@register("op8_token_files")
+def op8(spark, sf_dir):
+    folder = scratch_path(spark, "token-files")
+    token_files.write_token_files(table(spark, sf_dir, "documents"), folder, public_tokenizers.path("byte_bpe_50k.json"), end_id=2)
+    read = token_files.read_token_files(spark, folder)
+    return read.select("doc_id", "start", (F.octet_length("ids") / 4).cast("long").alias("n_tokens"), F.crc32("ids").alias("ids_crc32"))
+
+
 @register("op9_decontamination", DECONTAM_SQL)
 def op9(spark, sf_dir):
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
