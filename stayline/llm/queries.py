@@ -3,7 +3,7 @@
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from . import bpe, decontam, html_extract, pii, quality, ring, simhash, token_count, token_files
+from . import bpe, decontam, html_extract, language, pii, quality, ring, simhash, token_count, token_files
 from ..session import scratch_path
 from .oracle import DECONTAM_SQL, QUALITY_SQL
 
@@ -49,6 +49,12 @@ def op4(spark, sf_dir):
     return html_extract.extracted(table(spark, sf_dir, "pages"))
 
 
+@register("op5_language_id")
+def op5(spark, sf_dir):
+    found = language.identified(table(spark, sf_dir, "pages"), table(spark, sf_dir, "documents"), carry=["page_id", "url"])
+    return found.select(F.col("row.page_id").alias("page_id"), F.col("row.url").alias("url"), "declared", "text_lang", "lang", F.round("probability", 6).alias("probability"))
+
+
 @register("op6_quality_rules", QUALITY_SQL)
 def op6(spark, sf_dir):
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
