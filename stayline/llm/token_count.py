@@ -3,13 +3,14 @@
 1. Each task splits its documents into pre-tokens and keeps, for a chunk of
    documents, the per-document frequencies (numbers into the chunk's list of
    distinct pre-tokens).  Both go to one table in the shared scratch folder.
-2. The distinct pre-tokens of the whole corpus are counted in pieces once each
-   (shuffle of strings, already distinct per chunk).
-3. The counts are joined to the chunks' lists, gathered per chunk, and joined
-   to the frequencies; a document's tokens are the sum of frequency x pieces.
+2. The chunks' lists are dealt and sorted by pre-token, so that each distinct
+   one of the whole corpus is counted in pieces once, and every chunk that
+   lists it gets the count (one shuffle of strings for count and join).
+3. The counts are gathered per chunk and joined to the frequencies; a
+   document's tokens are the sum of frequency x pieces.
 
-A pre-token in every chunk is one row per chunk, so a hot word is as many rows
-as there are chunks, not documents, and the join may split it.
+A pre-token is one row per chunk, whatever the number of its documents, so a
+hot word is a small run of rows that its task streams through.
 
 Defined cases: a null text has 0 bytes and 0 tokens; special strings inside a
 text count as one token, as the library does by default; repeated rows and ids
@@ -30,6 +31,7 @@ from pyspark.sql import types as T
 from ..session import scratch_path
 from .batches import segment_sums, text_slices
 from .bpe import PreTokens, Tables
+from .varbyte import pack, unpack
 
 CHUNK_DOCS, CHUNK_BYTES = 4096, 24_000_000      # a chunk ends at either
 ROWS = 50_000                                   # dictionary rows per Arrow batch
@@ -63,9 +65,13 @@ def frequencies(docs: DataFrame, path: str) -> DataFrame:
                 none = [pa.nulls(len(part), t) for t in (pa.list_(doc_ids.type), pa.list_(pa.int64()), pa.list_(pa.int32()), pa.binary(), pa.binary())]
                 yield rows([pa.array(range(a, a + len(part)), pa.int32()), pa.array([words[i] for i in part], pa.string()), *none])
             whole = lambda x: pa.ListArray.from_arrays(pa.array([0, len(x)], pa.int32()), x)
-            distinct = np.bincount(key >> 32, minlength=docs_held)
+            owner = key >> 32
+            distinct = np.bincount(owner, minlength=docs_held)
+            steps = np.diff(local, prepend=0)
+            opens = np.flatnonzero(np.diff(owner, prepend=-1))
+            steps[opens] = local[opens]
             yield rows([pa.array([-1], pa.int32()), pa.array([None], pa.string()), whole(doc_ids), whole(pa.concat_arrays(sizes)),
-                        whole(pa.array(distinct, pa.int32())), pa.array([local.astype("<i4").tobytes()]), pa.array([many.astype("<i4").tobytes()])])
+                        whole(pa.array(distinct, pa.int32())), pa.array([packed(steps)]), pa.array([packed(many)])])
 
         for batch in batches:
             at = 0
@@ -96,18 +102,33 @@ def frequencies(docs: DataFrame, path: str) -> DataFrame:
     return docs.mapInArrow(run, schema)
 
 
-def count_pieces(pretokens: DataFrame, path: str) -> DataFrame:
-    """Distinct pre-tokens with the number of pieces of each."""
+def packed(numbers):
+    control, data, _, _ = pack(numbers, np.array([len(numbers)]))
+    return control.tobytes() + data.tobytes()
+
+
+def unpacked(raw, n):
+    raw, cut = np.frombuffer(raw, np.uint8), (n + 3) // 4
+    return unpack(raw[:cut], raw[cut:], np.array([n]))
+
+
+def count_pieces(listed: DataFrame, path: str) -> DataFrame:
+    """(chunk, code, pieces) of rows sorted by pre-token; a run of equal ones is counted once."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tables = Tables(path)
+        tables, last = Tables(path), (None, 0)
         for batch in batches:
-            words = batch.column(0).to_pylist()
-            _, pieces = tables.merge_rounds([b"" if w in tables.special else w.encode() for w in words])
-            pieces = [1 if w in tables.special else n for w, n in zip(words, pieces.tolist())]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(pieces, pa.int32())], ["pretoken", "pieces"])
+            coded = batch.column(2).dictionary_encode()
+            words = coded.dictionary.to_pylist()
+            fresh = words[words[:1] == [last[0]]:]
+            _, pieces = tables.merge_rounds([b"" if w in tables.special else w.encode() for w in fresh])
+            counts = [last[1]] * (len(words) - len(fresh)) + [1 if w in tables.special else n for w, n in zip(fresh, pieces.tolist())]
+            if words:
+                last = (words[-1], counts[-1])
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(np.array(counts, np.int32)[coded.indices.to_numpy()])], ["chunk", "code", "pieces"])
 
-    return pretokens.mapInArrow(run, "pretoken string, pieces int")
+    dealt = listed.repartition("pretoken").sortWithinPartitions("pretoken")
+    return dealt.select("chunk", "code", "pretoken").mapInArrow(run, "chunk long, code int, pieces int")
 
 
 def sum_tokens(joined: DataFrame, id_type: T.DataType) -> DataFrame:
@@ -123,8 +144,11 @@ def sum_tokens(joined: DataFrame, id_type: T.DataType) -> DataFrame:
                     code, n = (counts.field(i).to_numpy(zero_copy_only=False) for i in (0, 1))
                     pieces = np.zeros(int(code.max()) + 1, np.int64)
                     pieces[code] = n
-                codes, times = (np.frombuffer(one.column(one.schema.get_field_index(k))[0].as_py(), "<i4") for k in ("codes", "times"))
-                n_tokens = segment_sums(pieces[codes] * times, flat("n_distinct").to_numpy(zero_copy_only=False).astype(np.int64))
+                distinct = flat("n_distinct").to_numpy(zero_copy_only=False).astype(np.int64)
+                steps, times = (unpacked(one.column(one.schema.get_field_index(k))[0].as_py(), int(distinct.sum())) for k in ("codes", "times"))
+                codes = np.cumsum(steps)
+                before = np.concatenate([[0], codes])[np.cumsum(distinct) - distinct]
+                n_tokens = segment_sums(pieces[codes - np.repeat(before, distinct)] * times, distinct)
                 yield pa.RecordBatch.from_arrays([flat("doc_ids"), flat("n_bytes"), pa.array(n_tokens, pa.int64())], ["doc_id", "n_bytes", "n_tokens"])
 
     schema = T.StructType([T.StructField("doc_id", id_type), T.StructField("n_bytes", T.LongType()), T.StructField("n_tokens", T.LongType())])
@@ -139,9 +163,7 @@ def token_counts(docs: DataFrame, path: str, limit: int = 2048, doc_id: str = "d
     frequencies(own, path).write.option("compression", "zstd").parquet(table)
     rows = spark.read.parquet(table)
     listed = rows.where("code >= 0").select("chunk", "code", "pretoken")
-    pieces = count_pieces(listed.select("pretoken").distinct(), path)
-    found = (listed.join(pieces, "pretoken").groupBy("chunk")
-             .agg(F.collect_list(F.struct("code", "pieces")).alias("counts")))
+    found = count_pieces(listed, path).groupBy("chunk").agg(F.collect_list(F.struct("code", "pieces")).alias("counts"))
     chunks = rows.where("code = -1").drop("code", "pretoken")
     whole = chunks.join(found, "chunk", "left")
     return sum_tokens(whole, own.schema["doc_id"].dataType).withColumn("over_limit", F.col("n_tokens") > limit)

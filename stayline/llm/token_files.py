@@ -27,39 +27,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .batches import segment_sums, text_slices
+from .batches import text_slices
 from .bpe import Encoder, Tables
 from .scratch import drop, saved
+from .varbyte import pack, unpack
 
 BLOCK_IDS = 1 << 19         # a block ends with the document that reaches this
-LENGTHS = np.stack([(np.arange(256) >> (2 * k)) & 3 for k in range(4)], axis=1).astype(np.int8)     # by control byte
-
-
-def pack(ranks, lengths):
-    """(control, data, control bytes per document, data bytes per document)."""
-    size = 1 + (ranks > 0xFF) + (ranks > 0xFFFF) + (ranks > 0xFFFFFF)
-    groups = (lengths + 3) // 4
-    slots = np.zeros(int(groups.sum()) * 4, np.uint8)
-    first = np.repeat(4 * (np.cumsum(groups) - groups) - (np.cumsum(lengths) - lengths), lengths)
-    slots[first + np.arange(len(ranks))] = size - 1
-    control = (slots.reshape(-1, 4) << np.array([0, 2, 4, 6], np.uint8)).sum(axis=1, dtype=np.uint8)
-    data = ranks.astype("<u4").view(np.uint8).reshape(-1, 4)[np.arange(4) < size[:, None]]
-    return control, data, groups, segment_sums(size, lengths)
-
-
-def unpack(control, data, lengths):
-    """Ranks of a block."""
-    groups = (lengths + 3) // 4
-    size = LENGTHS[control].ravel() + 1
-    used = np.repeat(4 * (np.cumsum(groups) - groups) - (np.cumsum(lengths) - lengths), lengths) + np.arange(int(lengths.sum()))
-    size = size[used].astype(np.int64)
-    at = np.cumsum(size) - size
-    padded = np.concatenate([data, np.zeros(3, np.uint8)]).astype(np.int64)
-    ranks = padded[at]
-    for k in range(1, 4):
-        more = size > k
-        ranks[more] |= padded[at[more] + k] << (8 * k)
-    return ranks
 
 
 def encoded(docs: DataFrame, path: str, end_id: int) -> DataFrame:
