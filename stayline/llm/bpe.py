@@ -81,9 +81,9 @@ class Tables:
 
     def merge_rounds(self, words):
         """Ids of byte strings: (flat ids, ids per word)."""
-        if not words:
-            return np.empty(0, np.int64), np.empty(0, np.int64)
         length = np.array([len(w) for w in words], np.int64)
+        if not length.any():
+            return np.empty(0, np.int64), length
         raw = np.frombuffer(b"".join(words), np.uint8)
         symbol, word = self.first[raw], np.repeat(np.arange(len(words)), length)
         ends = np.cumsum(length)[length > 0] - 1

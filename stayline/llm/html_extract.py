@@ -8,7 +8,8 @@ threshold is the least density on its path to the body; the selection climbs
 that path while the parent's other children reach the threshold, and never
 leaves the nearest article or main element.  Subtrees that markup itself names
 as menus, headers, footers, sidebars, notices, adverts, forms, comments,
-scripts or styles are cut before anything is counted.
+scripts or styles are cut before anything is counted; if that leaves no text,
+class and id names are not believed.
 
 Defined cases: a null or empty page and a page without text give the empty
 string; unclosed and stray tags are repaired as browsers do in simple cases;
@@ -52,8 +53,9 @@ HEADER_IN = frozenset(("article", "main", "section"))
 class Page(HTMLParser):
     """Flat DOM: tags, parents and children in page order; texts belong to nodes."""
 
-    def __init__(self):
+    def __init__(self, by_name=True):
         super().__init__(convert_charrefs=True)
+        self.by_name = by_name
         self.tag, self.parent, self.cut = ["body"], [-1], [False]
         self.texts = []         # (node, text) in page order; None marks a line break
         self.open = [0]
@@ -106,18 +108,18 @@ class Page(HTMLParser):
             return True
         if tag == "header" and not any(self.tag[n] in HEADER_IN for n in self.open):
             return True
-        if tag in HEADER_IN or tag in ("h1", "h2", "h3", "p"):
-            return any(k == "hidden" for k, _ in attrs)
+        # the outermost article, main and headings are never cut for a class name
+        named = self.by_name and tag not in ("main", "h1", "h2", "h3") and (tag != "article" or any(self.tag[n] == "article" for n in self.open))
         for k, v in attrs:
             if k == "hidden" or k == "aria-hidden" and v == "true" or k == "style" and v and "display:none" in v.replace(" ", ""):
                 return True
-            if k in ("class", "id", "role") and v and not CUT_WORDS.isdisjoint(WORD.findall(v.lower())):
+            if named and k in ("class", "id", "role") and v and not CUT_WORDS.isdisjoint(WORD.findall(v.lower())):
                 return True
         return False
 
 
-def parsed(html):
-    page = Page()
+def parsed(html, by_name=True):
+    page = Page(by_name)
     page.feed(html)
     HTMLParser.close(page)
     return page
@@ -189,7 +191,10 @@ def extract(html):
     """Main text of one page: white space becomes one space, blocks are joined by one."""
     if not html:
         return ""
-    page = parsed(html)
+    return main_part(parsed(html)) or main_part(parsed(html, by_name=False))
+
+
+def main_part(page):
     root = chosen(page)
     inside = [False] * len(page.tag)
     inside[root] = True
