@@ -22,6 +22,7 @@ import pyarrow as pa
 import regex
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from .batches import Flat, segment_sums, spans_index, text_slices
 
@@ -32,7 +33,7 @@ WORD_PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
 # From here on, the library and the installed regex module may follow
 # different Unicode versions; such chunks go through the library's own splitter.
 FIRST_DISPUTED = "՘"
-CACHE_LIMIT = 300_000       # distinct chunks or pre-tokens kept by a task
+CACHE_LIMIT = 200_000       # distinct chunks or pre-tokens kept by a task
 DECODE_IDS = 400_000        # ids turned into text at once
 
 
@@ -251,41 +252,74 @@ def list_array(flat, lengths, kind):
     return pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat, kind))
 
 
-def encode_ids(path: str):
-    """Column function text -> array<int> of vocabulary ids."""
+def decoded_texts(tables, ids, lengths):
+    """Texts of documents as an Arrow array, a bounded number of ids at once."""
+    ends = np.cumsum(lengths)
+    cuts = [0, *np.flatnonzero(np.diff(ends // DECODE_IDS) != 0) + 1, len(lengths)]
+    parts = [pa.array(tables.decode(ids[ends[a] - lengths[a]:ends[b - 1]], lengths[a:b]), pa.string()) for a, b in zip(cuts, cuts[1:]) if a < b]
+    return pa.concat_arrays(parts) if parts else pa.array([], pa.string())
 
-    def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        encoder = Encoder(path)
-        for texts in batches:
-            parts = [list_array(*encoder.encode(part.to_pylist()), pa.int32()) for part in text_slices(texts)]
-            yield pa.concat_arrays(parts)
 
-    return F.arrow_udf(run, "array<int>")
+def with_columns(docs: DataFrame, keep, added, make) -> DataFrame:
+    """``docs`` cut to ``keep``, with ``added`` columns (name -> type) made from
+    each Arrow batch by the function that ``make()`` gives once per task; it
+    yields (rows of the batch, new arrays), so that large batches leave in parts."""
+    keep = [c for c in keep if c not in added]
+    schema = T.StructType([docs.schema[c] for c in keep] + [T.StructField(n, t) for n, t in added.items()])
 
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        step = make()
+        for batch in batches:
+            for rows, arrays in step(batch):
+                yield pa.RecordBatch.from_arrays([rows.column(rows.schema.get_field_index(c)) for c in keep] + arrays, schema.names)
 
-def decode_ids(path: str):
-    """Column function array<int> -> text; null gives the empty string."""
+    return docs.mapInArrow(run, schema)
 
-    def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        tables = Tables(path)
-        for lists in batches:
-            lengths = lists.value_lengths().fill_null(0).to_numpy(zero_copy_only=False).astype(np.int64)
-            ids, ends = lists.flatten().to_numpy(zero_copy_only=False), np.cumsum(lengths)
-            cuts = [0, *np.flatnonzero(np.diff(ends // DECODE_IDS) != 0) + 1, len(lengths)]
-            parts = [pa.array(tables.decode(ids[ends[a] - lengths[a]:ends[b - 1]], lengths[a:b]), pa.string()) for a, b in zip(cuts, cuts[1:]) if a < b]
-            yield pa.concat_arrays(parts) if parts else pa.array([], pa.string())
 
-    return F.arrow_udf(run, "string")
+def text_steps(batch, text):
+    """(rows, texts) of a batch in parts."""
+    at = 0
+    for part in text_slices(batch.column(batch.schema.get_field_index(text))):
+        yield batch.slice(at, len(part)), part.to_pylist()
+        at += len(part)
 
 
 def encode(docs: DataFrame, path: str, text: str = "text", ids: str = "ids") -> DataFrame:
     """``docs`` with the ids of its whole texts in column ``ids``."""
-    return docs.withColumn(ids, encode_ids(path)(F.col(f"`{text}`")))
+    def make():
+        encoder = Encoder(path)
+        return lambda batch: ((rows, [list_array(*encoder.encode(texts), pa.int32())]) for rows, texts in text_steps(batch, text))
+
+    return with_columns(docs, docs.columns, {ids: T.ArrayType(T.IntegerType())}, make)
 
 
 def decode(encoded: DataFrame, path: str, ids: str = "ids", text: str = "decoded") -> DataFrame:
-    """``encoded`` with the text of its ids in column ``text``."""
-    return encoded.withColumn(text, decode_ids(path)(F.col(f"`{ids}`")))
+    """``encoded`` with the text of its ids in column ``text``; null ids give the empty string."""
+    def make():
+        tables = Tables(path)
+
+        def step(batch):
+            lists = batch.column(batch.schema.get_field_index(ids))
+            lengths = lists.value_lengths().fill_null(0).to_numpy(zero_copy_only=False).astype(np.int64)
+            yield batch, [decoded_texts(tables, lists.flatten().to_numpy(zero_copy_only=False), lengths)]
+        return step
+
+    return with_columns(encoded, encoded.columns, {text: T.StringType()}, make)
+
+
+def round_trip(docs: DataFrame, path: str, keep, text: str = "text") -> DataFrame:
+    """Columns ``keep`` of ``docs``, the ids of its texts, and the texts decoded
+    from those ids, in one pass (encode and decode without shipping the ids twice)."""
+    def make():
+        encoder = Encoder(path)
+
+        def step(batch):
+            for rows, texts in text_steps(batch, text):
+                ids, lengths = encoder.encode(texts)
+                yield rows, [list_array(ids, lengths, pa.int32()), decoded_texts(encoder.tables, ids, lengths)]
+        return step
+
+    return with_columns(docs, keep, {"ids": T.ArrayType(T.IntegerType()), "decoded": T.StringType()}, make)
 
 
 def ids_digest(ids: Column) -> Column:
@@ -296,7 +330,6 @@ def ids_digest(ids: Column) -> Column:
 def digests(docs: DataFrame, path: str, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """Per document: id, number of ids, digest of the ids, digest of the text decoded from them."""
     own = docs.select(F.col(f"`{doc_id}`").alias("doc_id"), F.col(f"`{text}`").alias("text"))
-    coded = encode(own, path).drop("text")
-    return decode(coded, path).select(
+    return round_trip(own, path, ["doc_id"]).select(
         "doc_id", F.size("ids").cast("long").alias("n_tokens"),
         ids_digest(F.col("ids")).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
