@@ -45,7 +45,7 @@ def _fill_value(value, dtype: T.DataType):
     number into a string column, text into a numeric column)."""
     if isinstance(dtype, T.StringType):
         if not isinstance(value, str):
-            return str(value)
+            raise TypeError(f"number {value!r} as default of a string column")
         return value
     if isinstance(dtype, T.NumericType):
         if isinstance(value, str):

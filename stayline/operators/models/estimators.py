@@ -12,8 +12,10 @@ Parameter mapping (the original's objective -> MLlib's):
 * Logistic, C: ``regParam = 1 / (C * n)`` (the weighted loss is divided by
   the weight sum, which 'balanced' weights keep equal to n).
 * Random forests and boosted trees: MLlib's binned trees.  Unlimited depth
-  maps to depth 20: MLlib allows 30, but serialising learning trees deeper
-  than ~25 levels overflows a default JVM thread stack.
+  maps to depth 25; an explicit depth up to MLlib's 30 is taken as given
+  (``get_session`` raises the JVM thread stack for it), a deeper one raises.
+
+A parameter a model does not know raises.
 
 Size-dependent values (n, std(y)) come from one aggregate over the training
 rows.
@@ -30,46 +32,10 @@ from pyspark.sql import functions as F
 
 from ..features import FEATURES, LABEL, WEIGHT
 
-MAX_TREE_DEPTH = 20
-MAX_BINS = 128
-
-
-def _mb(text: str) -> float:
-    text = text.strip().lower()
-    units = {"k": 1 / 1024, "m": 1, "g": 1024, "t": 1024 * 1024}
-    if text and text[-1] == "b":
-        text = text[:-1]
-    if text and text[-1] in units:
-        return float(text[:-1]) * units[text[-1]]
-    return float(text) / (1024 * 1024)
-
-
-def heap_and_tasks(spark) -> tuple[float, int]:
-    """(heap MB, concurrent tasks) of one executor.  In local mode the
-    executors live in the driver JVM."""
-    conf = spark.sparkContext.getConf()
-    if spark.sparkContext.master.startswith("local"):
-        return _mb(conf.get("spark.driver.memory", "1g")), spark.sparkContext.defaultParallelism
-    return _mb(conf.get("spark.executor.memory", "1g")), int(conf.get("spark.executor.cores", "1"))
-
-
-def tree_memory_mb(spark) -> int:
-    """Per-task budget for a tree level's split statistics (MLlib's
-    ``maxMemoryInMB``, default 256), sized from the memory a task really has:
-    a quarter of heap / concurrent tasks (the rest holds the cached binned
-    rows and the growing trees).  Smaller budgets mean more passes per
-    level, never an out-of-memory task."""
-    heap, tasks = heap_and_tasks(spark)
-    return int(min(512, max(16, heap / (4 * max(tasks, 1)))))
-
-
-def tree_partitions(spark) -> int | None:
-    """In a small local heap (local mode, < 4 GiB) deep forests fit with at
-    most one concurrent partition per 512 MB; None means no limit."""
-    heap, tasks = heap_and_tasks(spark)
-    if spark.sparkContext.master.startswith("local") and heap < 4096:
-        return max(1, min(tasks, int(heap // 512)))
-    return None
+MAX_TREE_DEPTH = 30         # MLlib's limit
+UNLIMITED_DEPTH = 25        # what "no limit" maps to: the deepest a default JVM thread stack serialises
+MAX_BINS = 256
+TREE_MEMORY_MB = 128        # split statistics of a tree level; fixed, so that a fit never depends on the heap
 TOL = 1e-10
 
 REGRESSORS = ("linear", "ridge", "lasso", "random_forest", "xgboost", "xgboost_poisson")
@@ -95,8 +61,32 @@ class ModelSpec:
         return self.kind in ("linear", "ridge", "lasso")
 
 
+PARAMETERS = {
+    "linear": set(), "ridge": {"alpha"}, "lasso": {"alpha"},
+    "random_forest": {"n_estimators", "max_depth", "min_samples_leaf", "max_bins"},
+    "xgboost": {"n_estimators", "max_depth", "learning_rate", "subsample", "colsample_bytree", "max_bins"},
+    "xgboost_poisson": {"n_estimators", "max_depth", "learning_rate", "subsample", "colsample_bytree", "min_child_weight",
+                        "reg_lambda", "max_delta_step", "max_bins"},
+    "logistic": {"penalty", "C", "class_weight", "max_iter", "l1_ratio"},
+    "random_forest_classifier": {"n_estimators", "max_depth", "min_samples_leaf", "class_weight", "criterion", "max_bins"},
+}
+PENALTIES = {"l2": 0.0, "l1": 1.0, "elasticnet": None, "none": 0.0, None: 0.0}
+
+
+def check_params(spec: ModelSpec) -> None:
+    if spec.kind not in PARAMETERS:
+        raise ValueError(f"unknown model kind {spec.kind!r}")
+    unknown = set(spec.params) - PARAMETERS[spec.kind]
+    if unknown:
+        raise ValueError(f"{spec.kind} has no parameters {sorted(unknown)}")
+
+
 def _depth(v) -> int:
-    return MAX_TREE_DEPTH if v is None else min(int(v), MAX_TREE_DEPTH)
+    if v is None:
+        return UNLIMITED_DEPTH
+    if not 0 <= int(v) <= MAX_TREE_DEPTH:
+        raise ValueError(f"max_depth {v} is outside 0 to {MAX_TREE_DEPTH}")
+    return int(v)
 
 
 def label_stats(df: DataFrame) -> tuple[int, float]:
@@ -107,8 +97,10 @@ def label_stats(df: DataFrame) -> tuple[int, float]:
 def build(spec: ModelSpec, train: DataFrame, has_weight: bool = False):
     """Return an unfitted MLlib estimator for ``spec`` on ``train``
     (columns ``features``, ``label`` and optionally ``weight``)."""
+    check_params(spec)
     p = dict(spec.params)
     k = spec.kind
+    bins = int(p.get("max_bins", MAX_BINS))
     common = dict(featuresCol=FEATURES, labelCol=LABEL)
     if k == "linear":
         return LinearRegression(regParam=0.0, solver="normal", standardization=False, **common)
@@ -126,21 +118,23 @@ def build(spec: ModelSpec, train: DataFrame, has_weight: bool = False):
         return RandomForestRegressor(
             numTrees=int(p.get("n_estimators", 100)), maxDepth=_depth(p.get("max_depth")),
             minInstancesPerNode=int(p.get("min_samples_leaf", 1)), featureSubsetStrategy="all",
-            maxBins=MAX_BINS, maxMemoryInMB=tree_memory_mb(train.sparkSession), seed=spec.seed, **common)
+            maxBins=bins, maxMemoryInMB=TREE_MEMORY_MB, seed=spec.seed, **common)
     if k == "xgboost":
         colsample = float(p.get("colsample_bytree", 1.0))
         return GBTRegressor(
             maxIter=int(p.get("n_estimators", 100)), maxDepth=_depth(p.get("max_depth", 6)),
             stepSize=float(p.get("learning_rate", 0.3)), subsamplingRate=float(p.get("subsample", 1.0)),
             featureSubsetStrategy="all" if colsample >= 1.0 else str(colsample),
-            lossType="squared", maxBins=MAX_BINS, maxMemoryInMB=tree_memory_mb(train.sparkSession),
+            lossType="squared", maxBins=bins, maxMemoryInMB=TREE_MEMORY_MB,
             seed=spec.seed, checkpointInterval=10, **common)
     if k == "logistic":
         c = float(p.get("C", 1.0))
         penalty = p.get("penalty", "l2")
         n = train.count()
+        if penalty not in PENALTIES:
+            raise ValueError(f"unknown penalty {penalty!r}")
         reg = 0.0 if penalty in (None, "none") else 1.0 / (c * n)
-        en = {"l2": 0.0, "l1": 1.0, "elasticnet": float(p.get("l1_ratio", 0.5))}.get(penalty, 0.0)
+        en = float(p.get("l1_ratio", 0.5)) if penalty == "elasticnet" else PENALTIES[penalty]
         kw = dict(common)
         if has_weight:
             kw["weightCol"] = WEIGHT
@@ -154,13 +148,9 @@ def build(spec: ModelSpec, train: DataFrame, has_weight: bool = False):
             numTrees=int(p.get("n_estimators", 100)), maxDepth=_depth(p.get("max_depth")),
             minInstancesPerNode=int(p.get("min_samples_leaf", 1)),
             impurity=p.get("criterion", "gini"), featureSubsetStrategy="sqrt",
-            maxBins=MAX_BINS, maxMemoryInMB=tree_memory_mb(train.sparkSession), seed=spec.seed, **kw)
+            maxBins=bins, maxMemoryInMB=TREE_MEMORY_MB, seed=spec.seed, **kw)
     raise ValueError(f"unknown model kind {k!r}")
 
 
-def is_tree_model(spec: ModelSpec) -> bool:
-    return spec.kind in ("random_forest", "xgboost", "random_forest_classifier", "xgboost_poisson")
-
-
 def wants_weights(spec: ModelSpec) -> bool:
     return spec.is_classifier and spec.params.get("class_weight") in ("balanced", "balanced_subsample")

@@ -2,7 +2,7 @@
 
 * Sampling: tree t needs psi = min(256, n) rows drawn without replacement.
   Each row is given m = min(T, ceil(1.5 * T * psi / n)) candidate tree ids
-  by a hash of its row id (every tree when m = T), so the candidate set has about
+  by a hash of its key (every tree when m = T), so the candidate set has about
   1.5 * T * psi rows whatever n is -- one pass, no rows x trees product.
   Per tree the psi candidates with the lowest hash are kept (a window
   partitioned by tree over ~1.5 * psi rows).
@@ -135,6 +135,28 @@ class IsolationForestModel:
                 .drop("__s"))
 
 
+    # -- persistence: one table of nodes, and the forest's numbers as tree -1 --
+    def save(self, spark, path: str) -> None:
+        rows = [(-1, 0, -1, float("nan") if self.offset is None else float(self.offset), self.psi, -1,
+                 0.0 if self.contamination == "auto" else float(self.contamination))]
+        for t, tree in enumerate(self.trees):
+            rows += [(t, i, *map(_plain, row)) for i, row in enumerate(zip(*(tree[k] for k in ("feature", "threshold", "left", "right", "value"))))]
+        spark.createDataFrame(rows, NODE_SCHEMA).coalesce(1).write.mode("overwrite").parquet(path)
+
+    @staticmethod
+    def load(spark, path: str) -> "IsolationForestModel":
+        nodes = spark.read.parquet(path).toPandas().sort_values(["tree", "node"])
+        own = nodes[nodes.tree == -1].iloc[0]
+        trees = [{k: g[k].to_numpy(np.int64 if k in ("feature", "left", "right") else float) for k in ("feature", "threshold", "left", "right", "value")}
+                 for t, g in nodes.groupby("tree") if t >= 0]
+        return IsolationForestModel(trees, int(own["left"]), None if np.isnan(own["threshold"]) else float(own["threshold"]),
+                                    "auto" if own["value"] == 0.0 else float(own["value"]))
+
+
+def _plain(x):
+    return x.item() if isinstance(x, np.generic) else x
+
+
 class IsolationForest:
     def __init__(self, n_estimators: int = 100, max_samples: int | str = "auto",
                  contamination: str | float = "auto", seed: int = 42, key: str = "id"):
@@ -145,17 +167,16 @@ class IsolationForest:
         self.key = key
 
     def fit(self, df: DataFrame, features: str = FEATURES) -> IsolationForestModel:
-        n = df.count()
+        copies = df.groupBy(F.col(self.key)).agg(F.count(F.lit(1)).alias("n")).agg(F.sum("n").alias("n"), F.max("n").alias("most")).first()
+        n = int(copies["n"] or 0)
         if n == 0:
             raise ValueError("isolation forest: no rows")
+        if copies["most"] > 1:
+            raise ValueError(f"isolation forest: sampling needs a unique key, and values of {self.key!r} repeat")
         psi = min(256, n) if self.max_samples == "auto" else min(int(self.max_samples), n)
         T = self.T
         m = min(T, math.ceil(1.5 * T * psi / n))
-        # Hashes use a per-row id, not the key: copies of one key value (even a
-        # third of all rows) are then sampled independently, and no tree's
-        # window grows beyond ~1.5 psi rows.  The id depends only on the input
-        # partitioning, which a re-run of the same scan reproduces.
-        base = df.select(F.monotonically_increasing_id().alias("__k"), vector_to_array(F.col(features)).alias("x"))
+        base = df.select(F.col(self.key).alias("__k"), vector_to_array(F.col(features)).alias("x"))
         if m >= T:
             cand = base.select("__k", "x", F.explode(F.sequence(F.lit(0), F.lit(T - 1))).alias("tree"))
         elif m == 1:
@@ -169,13 +190,13 @@ class IsolationForest:
         h = hash_unit(F.concat_ws(":", F.col("__k").cast("string"), F.col("tree").cast("string")), f"{self.seed}:if:rank")
         ranked = cand.withColumn("__h", h).withColumn(
             "__r", F.row_number().over(Window.partitionBy("tree").orderBy("__h", "__k")))
-        sample = ranked.where(F.col("__r") <= psi).select("tree", "x")
+        sample = ranked.where(F.col("__r") <= psi).select("tree", "x", "__r")
         depth_limit = max(1, math.ceil(math.log2(max(psi, 2))))
         seed = self.seed
 
         def build(pdf: pd.DataFrame) -> pd.DataFrame:
             t = int(pdf["tree"].iloc[0])
-            x = np.stack(pdf["x"].to_numpy()).astype(float)
+            x = np.stack(pdf.sort_values("__r")["x"].to_numpy()).astype(float)
             rng = np.random.default_rng([seed, t])
             rows = _grow(x, rng, depth_limit)
             out = pd.DataFrame(rows, columns=["node", "feature", "threshold", "left", "right", "value"])
@@ -201,8 +222,9 @@ class IsolationForest:
         return IsolationForestModel(trees, psi, offset, self.contamination)
 
 
-def run_isolation_forest(df: DataFrame, key: str, features: str = FEATURES, **params) -> DataFrame:
-    """Fit on ``df`` and score the same rows (the original's ``run``),
-    returning a new frame with ``anomaly_score`` and ``anomaly``."""
-    model = IsolationForest(key=key, **params).fit(df, features)
+def run_isolation_forest(df: DataFrame, key: str, features: str = FEATURES, model: IsolationForestModel | None = None, **params) -> DataFrame:
+    """Fit on ``df`` -- unless a loaded ``model`` is given, which wins -- and
+    score the same rows (the original's ``run``), returning a new frame with
+    ``anomaly_score`` and ``anomaly``."""
+    model = model or IsolationForest(key=key, **params).fit(df, features)
     return model.transform(df, features)

@@ -1,8 +1,13 @@
 """Train, predict, save and load (the original's train / run / save_model).
 
 ``fit`` takes an assembled training frame (key, label, features[, weight]);
-``predict`` returns the key, the label and the prediction as columns -- no
-positional alignment, so predictions can be joined back by key.
+``predict`` returns the key, the label (if there is one) and the prediction as
+columns -- no positional alignment, so predictions can be joined back by key.
+
+Seeded fits sample rows by partition and position, so the training rows are
+first placed by a hash of their keys in a number of partitions that follows
+from the row count alone, and sorted in each: the same rows and seed give the
+same model on any cluster.
 """
 
 from __future__ import annotations
@@ -20,7 +25,7 @@ from pyspark.sql import functions as F
 
 from ...functions.scalar import clip_nonneg
 from ..features import FEATURES, LABEL, WEIGHT, class_weights, with_class_weights
-from .estimators import ModelSpec, build, is_tree_model, tree_partitions, wants_weights
+from .estimators import ModelSpec, build, check_params, wants_weights
 
 PREDICTION = "prediction"
 SCORE = "score"
@@ -38,25 +43,27 @@ class TrainedModel:
     model: object
     feature_names: list[str] = field(default_factory=list)
 
-    def predict(self, df: DataFrame, key: str) -> DataFrame:
-        """(key, label, prediction[, score]).  Linear-family regressors clip
-        at zero; classifiers add the positive-class probability as
-        ``score``."""
+    def predict(self, df: DataFrame, key: str, clip: bool = True) -> DataFrame:
+        """(key[, label], prediction[, score]).  Linear-family regressors clip
+        at zero unless ``clip`` is off (search scores and log-scale metrics are
+        unclipped); classifiers add the positive-class probability as
+        ``score``.  Rows without a label can be scored."""
         if self.model is None:
-            raise ValueError("No model provided. Train or load one first.")
+            raise ValueError("there is no model to predict with: fit or load one")
         out = self.model.transform(df)
+        kept = [c for c in (key, LABEL) if c in df.columns]
         if self.spec.is_classifier:
-            return out.select(key, LABEL, F.col(PREDICTION).cast("double").alias(PREDICTION),
+            return out.select(*kept, F.col(PREDICTION).cast("double").alias(PREDICTION),
                               vector_to_array(F.col("probability"))[1].alias(SCORE))
         pred = F.col(PREDICTION)
-        if self.spec.clips:
+        if clip and self.spec.clips:
             pred = clip_nonneg(pred)
-        return out.select(key, LABEL, pred.alias(PREDICTION))
+        return out.select(*kept, pred.alias(PREDICTION))
 
     def save(self, path: str) -> None:
         """Write the MLlib model plus a small JSON of the spec (no pickle)."""
         if self.model is None:
-            raise ValueError("please train the model")
+            raise ValueError("there is no model to save: fit one")
         if hasattr(self.model, "write_to"):  # Poisson boosting: trees + leaf values
             self.model.write_to(os.path.join(path, "model"))
         else:
@@ -84,30 +91,37 @@ def _spark_of(model):
     return SparkSession.getActiveSession()  # the session that fitted the model
 
 
-def spread(train: DataFrame, limit: int | None = None) -> DataFrame:
-    """Iterative fits read the training rows many times.  Adaptive
-    execution may have coalesced a small frame into one partition (one busy
-    core); a round-robin exchange to the session's parallelism gives every
-    core a share, and its shuffle output is reused by every pass."""
-    parts = train.sparkSession.sparkContext.defaultParallelism
-    if limit:
-        parts = min(parts, limit)
-    return train.repartition(max(1, parts))
+SMALL_ROWS, FEW_PARTITIONS = 1_000, 16      # small frames: a partition per 1,000 rows, up to 16
+LARGE_ROWS = 1_000_000                      # rows per partition beyond that
+
+
+def placed(train: DataFrame) -> DataFrame:
+    """``train`` hash-partitioned and sorted by its key columns (by label and
+    features if there are none).  One exchange serves every pass of a fit."""
+    n = train.count()
+    parts = max(min(FEW_PARTITIONS, -(-n // SMALL_ROWS)), -(-n // LARGE_ROWS), 1)
+    keys = [F.col(c) for c in train.columns if c not in (FEATURES, LABEL, WEIGHT)]
+    order = keys or [F.col(LABEL), vector_to_array(F.col(FEATURES))]
+    return train.repartition(parts, *order).sortWithinPartitions(*order)
 
 
-def fit(spec: ModelSpec, train: DataFrame, feature_names: list[str] | None = None) -> TrainedModel:
+def fit(spec: ModelSpec, train: DataFrame, feature_names: list[str] | None = None, is_placed: bool = False) -> TrainedModel:
     """Fit ``spec`` on an assembled frame.  'balanced' class weights are a
-    (k-row) count, broadcast back as a literal map."""
-    train = spread(train, tree_partitions(train.sparkSession) if is_tree_model(spec) else None)
+    (k-row) count, broadcast back as a literal map.  A search places its rows
+    once and passes ``is_placed``."""
+    check_params(spec)
+    if not is_placed:
+        train = placed(train)
     has_w = wants_weights(spec)
     if has_w:
         train = with_class_weights(train, LABEL, class_weights(train, LABEL), WEIGHT)
     if spec.kind == "xgboost_poisson":
         from .poisson_boost import PoissonBoostRegressor
-        model = PoissonBoostRegressor(**spec.params, seed=spec.seed).fit(train)
+        keys = [c for c in train.columns if c not in (FEATURES, LABEL, WEIGHT)]
+        model = PoissonBoostRegressor(**spec.params, seed=spec.seed, key=keys[0] if keys else None).fit(train)
     else:
         model = build(spec, train, has_w).fit(train)
     return TrainedModel(spec, model, list(feature_names or []))
 
 
-__all__ = ["TrainedModel", "fit", "PREDICTION", "SCORE", "FEATURES"]
+__all__ = ["TrainedModel", "fit", "placed", "PREDICTION", "SCORE", "FEATURES"]

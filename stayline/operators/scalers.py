@@ -72,19 +72,14 @@ def fit_standard(df: DataFrame, columns: list[str], by: str | None = None) -> Sc
     return ScalerState("standard", params, by)
 
 
-def fit_robust(df: DataFrame, columns: list[str], by: str | None = None,
-               exact: bool | str = "auto") -> ScalerState:
+def fit_robust(df: DataFrame, columns: list[str], by: str | None = None) -> ScalerState:
     """Median and interquartile range (linear interpolation), NULL skipped."""
     if not columns:
         return ScalerState("robust", {}, by)
-    q = quantiles(df, columns, [0.25, 0.5, 0.75], exact=exact, by=by)
-    per_group = q if by else {ALL: q}
+    q = quantiles(df, columns, [0.25, 0.5, 0.75], by=by)
     params = {}
-    for g, per in per_group.items():
-        params[g] = {}
-        for c in columns:
-            q1, med, q3 = per[c]
-            params[g][c] = (med, _nonzero(None if q1 is None else q3 - q1))
+    for g, per in (q if by else {ALL: q}).items():
+        params[g] = {c: (med, _nonzero(None if q1 is None else q3 - q1)) for c, (q1, med, q3) in per.items()}
     return ScalerState("robust", params, by)
 
 
@@ -96,8 +91,8 @@ def _scaled(x: Column, center, scale) -> Column:
 
 def apply_scaler(df: DataFrame, state: ScalerState) -> DataFrame:
     """(x - center) / scale for each fitted column; NULL passes through.
-    Grouped state becomes a CASE over the (few) groups; rows of a group not
-    seen at fit time pass through unscaled."""
+    Grouped state becomes a CASE over the (few) groups; a row of a group not
+    seen at fit time raises, since it has no scale."""
     targets = state.columns()
     if not targets:
         return df
@@ -118,41 +113,12 @@ def apply_scaler(df: DataFrame, state: ScalerState) -> DataFrame:
             cond = group_key(state.by) == F.lit(g)
             v = _scaled(x, *per[name])
             e = F.when(cond, v) if e is None else e.when(cond, v)
-        exprs.append((e.otherwise(x) if e is not None else x).alias(name))
+        unseen = F.raise_error(F.concat(F.lit("no scaler was fitted for group "), F.coalesce(group_key(state.by).cast("string"), F.lit("NULL"))))
+        exprs.append((e.otherwise(unseen.cast("double")) if e is not None else x).alias(name))
     return df.select(*exprs)
 
 
-def fit_scalers(df: DataFrame, std_cols: list[str], rob_cols: list[str], by: str | None = None,
-                exact: bool | str = "auto") -> tuple[ScalerState, ScalerState]:
-    """Both scalers from one grouped aggregate (after the distinct-count
-    check that chooses exact or approximate quartiles)."""
-    from .stats import APPROX_ACCURACY, MAX_EXACT_DISTINCT
-    if exact == "auto" and rob_cols:
-        nd = df.agg(*[F.approx_count_distinct(col(c), 0.05).alias(f"d{i}") for i, c in enumerate(rob_cols)]).first()
-        use_exact = {c: nd[f"d{i}"] <= MAX_EXACT_DISTINCT for i, c in enumerate(rob_cols)}
-    else:
-        use_exact = {c: bool(exact) for c in rob_cols}
-    probs = F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75))
-    aggs = []
-    for i, c in enumerate(std_cols):
-        x = col(c).cast("double")
-        aggs += [F.avg(x).alias(f"m{i}"), F.stddev_pop(x).alias(f"s{i}")]
-    for i, c in enumerate(rob_cols):
-        x = col(c).cast("double")
-        q = F.percentile(x, probs) if use_exact[c] else F.percentile_approx(x, probs, APPROX_ACCURACY)
-        aggs.append(q.alias(f"q{i}"))
-    if not aggs:
-        return ScalerState("standard", {}, by), ScalerState("robust", {}, by)
-    rows = df.groupBy(group_key(by).alias("g")).agg(*aggs).collect()  # one row per group
-    std, rob = {}, {}
-    for r in rows:
-        std[r["g"]] = {c: (r[f"m{i}"], _nonzero(r[f"s{i}"])) for i, c in enumerate(std_cols)}
-        rob[r["g"]] = {}
-        for i, c in enumerate(rob_cols):
-            q = r[f"q{i}"]
-            if not q:
-                rob[r["g"]][c] = (None, 1.0)
-            else:
-                rob[r["g"]][c] = (q[1], _nonzero(q[2] - q[0]))
-    return (ScalerState("standard", std if std_cols else {}, by),
-            ScalerState("robust", rob if rob_cols else {}, by))
+def fit_scalers(df: DataFrame, std_cols: list[str], rob_cols: list[str], by: str | None = None
+                ) -> tuple[ScalerState, ScalerState]:
+    """Both scalers of a dataset preparation."""
+    return fit_standard(df, std_cols, by), fit_robust(df, rob_cols, by)

@@ -8,7 +8,7 @@ projection, and needs no shuffle.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..config import RoleConfig
@@ -24,16 +24,16 @@ def split_column(df: DataFrame, cfg: RoleConfig, name: str = SPLIT_COL) -> DataF
     return df.withColumn(name, F.when(u < F.lit(cfg.test_fraction), F.lit("test")).otherwise(F.lit("train")))
 
 
-def train_test_split(df: DataFrame, cfg: RoleConfig) -> tuple[DataFrame, DataFrame]:
-    """(train, test) as two filters over the same hash."""
-    u = hash_unit(col(cfg.key), str(cfg.seed))
-    test = u < F.lit(cfg.test_fraction)
-    return df.where(~test), df.where(test)
+def fold_of(key: Column, k: int, seed: int, label: Column | None = None) -> Column:
+    """Fold 0..k-1 by a second key hash; salted by ``label`` for stratified folds."""
+    if label is None:
+        return hash_bucket(key, f"{seed}:fold", k)
+    return hash_bucket(F.concat(label.cast("string"), F.lit(":"), key.cast("string")), f"{seed}:sfold", k)
 
 
 def kfold_column(df: DataFrame, cfg: RoleConfig, k: int = 5, name: str = FOLD_COL) -> DataFrame:
     """Fold 0..k-1 by a second key hash (independent of the split hash)."""
-    return df.withColumn(name, hash_bucket(col(cfg.key), f"{cfg.seed}:fold", k))
+    return df.withColumn(name, fold_of(col(cfg.key), k, cfg.seed))
 
 
 def stratified_kfold_column(df: DataFrame, cfg: RoleConfig, label: str, k: int = 3,
@@ -41,6 +41,4 @@ def stratified_kfold_column(df: DataFrame, cfg: RoleConfig, label: str, k: int =
     """Folds salted by label: within each class the key hash spreads rows
     evenly over the k folds, so every fold holds about 1/k of each class.
     No per-class window (one class may hold most rows)."""
-    salt = F.concat(F.lit(f"{cfg.seed}:sfold:"), col(label).cast("string"), F.lit(":"), col(cfg.key).cast("string"))
-    h = F.conv(F.substring(F.md5(salt), 1, 8), 16, 10).cast("bigint")
-    return df.withColumn(name, (h % F.lit(k)).cast("int"))
+    return df.withColumn(name, fold_of(col(cfg.key), k, cfg.seed, col(label)))

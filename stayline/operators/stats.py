@@ -1,27 +1,25 @@
-"""Exact quantiles with a checked fallback.
+"""Exact quantiles with linear interpolation (the NumPy/pandas default).
 
-``percentile`` is exact and interpolates linearly (the NumPy/pandas default).
-Its partial aggregate is a value -> count map per task, merged per group in
-one final task, so it is cheap when the column has few distinct values
-(length of stay in days, scores on a small scale) and dangerous when every
-row is distinct.  ``quantiles`` therefore measures the distinct count first
-(HyperLogLog, one cheap pass) and switches to ``percentile_approx`` only above
-a bound.
+One path for every size: equal values are counted (map-side combined, so a
+value that holds a third of the rows costs nothing extra), the distinct values
+are range-partitioned, and each partition reports its row count per group.
+Those counts -- one row per partition and group -- tell which partition holds
+each wanted order statistic; only those partitions are searched, each by a
+running sum of its own rows.  No task sees more than its range of the values.
 """
 
 from __future__ import annotations
 
+import math
+from collections import defaultdict
 from typing import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark import StorageLevel
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.scalar import col
 
-# Distinct values above which the exact value->count map is not built.
-MAX_EXACT_DISTINCT = 2_000_000
-APPROX_ACCURACY = 100_000
-
 ALL = "__all__"
 
 
@@ -29,43 +27,66 @@ def group_key(by: str | None):
     return col(by) if by else F.lit(ALL)
 
 
-def quantiles(df: DataFrame, columns: Sequence[str], probs: Sequence[float],
-              exact: bool | str = "auto", by: str | None = None
+def _ranks(n: int, p: float) -> tuple[int, int, float]:
+    """Zero-based lower and upper rank and the share of the upper one."""
+    h = p * (n - 1)
+    return math.floor(h), math.ceil(h), h - math.floor(h)
+
+
+def quantiles(df: DataFrame, columns: Sequence[str], probs: Sequence[float], by: str | None = None
               ) -> dict[object, dict[str, list[float | None]]] | dict[str, list[float | None]]:
-    """Quantiles of several columns in one aggregate job (plus one distinct
-    count job when ``exact='auto'``).  NULLs are skipped.
+    """Exact quantiles of several columns; NULL and NaN are skipped.
 
     Without ``by``: {column: [q(p) for p in probs]}.  With ``by``: the same
-    per group value.  Only a few numbers per (group, column) reach the driver;
-    ``by`` must have few distinct values (dataset families)."""
+    per group value; ``by`` must have few distinct values (dataset families).
+    A column without values gives None.  Only counts per partition and the
+    wanted values reach the driver."""
     columns = list(columns)
     if not columns:
         return {}
-    if exact == "auto":
-        nd = df.agg(*[F.approx_count_distinct(col(c), 0.05).alias(f"d{i}")
-                      for i, c in enumerate(columns)]).first()
-        use_exact = {c: nd[f"d{i}"] <= MAX_EXACT_DISTINCT for i, c in enumerate(columns)}
-    else:
-        use_exact = {c: bool(exact) for c in columns}
-    arr = F.array(*[F.lit(float(p)) for p in probs])
-    aggs = []
-    for i, c in enumerate(columns):
-        x = col(c).cast("double")
-        if use_exact[c]:
-            aggs.append(F.percentile(x, arr).alias(f"q{i}"))
-        else:
-            aggs.append(F.percentile_approx(x, arr, APPROX_ACCURACY).alias(f"q{i}"))
-    rows = df.groupBy(group_key(by).alias("g")).agg(*aggs).collect()
+    spark = df.sparkSession
+    cells = F.explode(F.array(*[F.struct(F.lit(i).alias("c"), col(name).cast("double").alias("v"))
+                                for i, name in enumerate(columns)])).alias("cell")
+    values = df.select(group_key(by).alias("g"), cells).select("g", "cell.c", "cell.v")
+    known = values.where(F.col("v").isNotNull() & ~F.isnan("v"))
+    counted = known.groupBy("g", "c", "v").agg(F.count(F.lit(1)).alias("n"))
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    ordered = (counted.repartitionByRange(parts, "g", "c", "v")
+               .select("*", F.spark_partition_id().alias("part")).persist(StorageLevel.MEMORY_AND_DISK))
+    # a group no column has values in still belongs to the result
+    groups = [r["g"] for r in df.select(group_key(by).alias("g")).distinct().collect()] if by else [ALL]
+    held = defaultdict(list)
+    for r in ordered.groupBy("part", "g", "c").agg(F.sum("n").alias("n")).collect():
+        held[r["g"], r["c"]].append((r["part"], r["n"]))
+    wanted = set()
+    for (g, c), pieces in held.items():
+        total, before = sum(n for _, n in pieces), 0
+        ranks = {k for p in probs for k in _ranks(total, p)[:2]}
+        for part, n in sorted(pieces):
+            wanted |= {(part, g, c, k, k - before) for k in ranks if before <= k < before + n}
+            before += n
+    found = {}
+    if wanted:
+        kind = df.select(group_key(by)).schema[0].dataType.simpleString()
+        asked = F.broadcast(spark.createDataFrame(sorted(wanted, key=repr), f"part int, g {kind}, c int, k long, at long"))
+        on = ["part", "g", "c"]
+        here = ordered.join(asked.select(*on).distinct(), [ordered[x].eqNullSafe(asked[x]) for x in on], "left_semi")
+        upto = here.withColumn("upto", F.sum("n").over(Window.partitionBy(*on).orderBy("v").rowsBetween(Window.unboundedPreceding, 0)))
+        hit = upto.join(asked, [upto[x].eqNullSafe(asked[x]) for x in on]).where("at < upto and at >= upto - n")
+        found = {(r["g"], r["c"], r["k"]): r["v"] for r in hit.select(upto["g"], upto["c"], "k", "v").collect()}
+    ordered.unpersist()
     out: dict = {}
-    for row in rows:
-        per = {}
-        for i, c in enumerate(columns):
-            vals = row[f"q{i}"]
-            per[c] = list(vals) if vals else [None] * len(probs)
-        out[row["g"]] = per
-    if by is None:
-        return out.get(ALL, {c: [None] * len(probs) for c in columns})
-    return out
+    for g in groups:
+        out[g] = {}
+        for c, name in enumerate(columns):
+            total = sum(n for _, n in held[g, c])
+            row = []
+            for p in probs:
+                low, high, share = _ranks(total, p) if total else (0, 0, 0.0)
+                a, b = found.get((g, c, low)), found.get((g, c, high))
+                row.append(None if not total else a if a == b else (1 - share) * a + share * b)
+            out[g][name] = row
+    return out if by else out[ALL]
 
 
-__all__ = ["quantiles", "group_key", "MAX_EXACT_DISTINCT", "ALL"]
+__all__ = ["quantiles", "group_key", "ALL"]

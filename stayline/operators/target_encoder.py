@@ -29,8 +29,9 @@ from ..functions.scalar import col
 from ..session import ensure_checkpoint_dir
 from .stats import ALL, group_key
 
-# Category count (per column, over all groups) up to which an encoding table
-# is broadcast.  Rows are (group, category, encoding): ~100 bytes each.
+# Category rows (of all broadcast columns together, over all groups) up to
+# which encoding tables are broadcast.  Rows are (group, category, encoding):
+# ~100 bytes each.  Larger tables use a shuffled join.
 MAX_BROADCAST_CATEGORIES = 1_000_000
 
 
@@ -107,7 +108,8 @@ def _global_mean_expr(state: EncoderState):
     for g, m in state.global_mean.items():
         cond = col(state.by).cast("string") == F.lit(g)
         e = F.when(cond, F.lit(m)) if e is None else e.when(cond, F.lit(m))
-    return e
+    unseen = F.raise_error(F.concat(F.lit("no encoder was fitted for group "), F.coalesce(col(state.by).cast("string"), F.lit("NULL"))))
+    return e.otherwise(unseen.cast("double"))
 
 
 def apply_target_encoder(df: DataFrame, state: EncoderState,
@@ -116,11 +118,16 @@ def apply_target_encoder(df: DataFrame, state: EncoderState,
     out = df
     order = list(df.columns)
     gm = _global_mean_expr(state)
+    small, held = set(), 0
+    for c in sorted(state.columns, key=lambda c: state.sizes.get(c, 0)):
+        held += state.sizes.get(c, 0)
+        if held <= max_broadcast:
+            small.add(c)
     for i, c in enumerate(state.columns):
         cat, val, grp = f"__cat{i}", f"__enc{i}", f"__grp{i}"
         t = state.table.where(F.col("column") == F.lit(c)).select(
             F.col("grp").alias(grp), F.col("category").alias(cat), F.col("encoding").alias(val))
-        if state.sizes.get(c, 0) <= max_broadcast:
+        if c in small:
             t = F.broadcast(t)
         cond = col(c).cast("string").eqNullSafe(F.col(cat))
         if state.by is not None:

@@ -13,17 +13,18 @@ distributed job.
 from __future__ import annotations
 
 import itertools
+import json
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.scalar import hash_bucket
 from .features import LABEL
-from .metrics import regression_metrics, roc_auc
+from .metrics import classification_report, regression_metrics, roc_auc
 from .models.estimators import ModelSpec
-from .models.trainer import PREDICTION, SCORE, fit
+from .models.trainer import PREDICTION, SCORE, fit, placed
+from .splits import fold_of
 
 # The original's search grids.
 GRIDS = {
@@ -45,11 +46,8 @@ FOLDS = {"ridge": 5, "lasso": 5, "random_forest": 5, "xgboost": 5, "xgboost_pois
          "logistic": 3, "random_forest_classifier": 3}
 # ---------------------------------------------------------------------------
 
-# The original's default logistic solver rejects l1 / elasticnet, so those
-# grid points never score there; ``allow_l1`` lets MLlib fit them.
-UNSUPPORTED_BY_DEFAULT = {"logistic": {"penalty": ("l1", "elasticnet")}}
-# Grid axes MLlib has no counterpart for; dropped, and duplicate
-# combinations fitted once.
+# Grid axes MLlib has no counterpart for: combinations that differ only there
+# are fitted once and reported on every row.
 IGNORED = {"random_forest": ("min_samples_split",)}
 
 
@@ -57,66 +55,97 @@ IGNORED = {"random_forest": ("min_samples_split",)}
 class TuneResult:
     kind: str
     best_params: dict
-    cv: list          # [(params, mean score or None)]
+    cv: list          # [(params, mean score)], every grid combination
     model: object     # refitted TrainedModel
-    test_metrics: DataFrame
+    test_metrics: DataFrame     # (metric, value) rows: errors, or the classification report and the AUC
 
 
-def combos(grid: dict, kind: str | None = None) -> list[dict]:
-    ignored = IGNORED.get(kind, ())
-    keys = [k for k in grid if k not in ignored]
-    return [dict(zip(keys, vals)) for vals in itertools.product(*[grid[k] for k in keys])]
+def combos(grid: dict) -> list[dict]:
+    return [dict(zip(grid, values)) for values in itertools.product(*grid.values())]
 
 
 def _score(spec: ModelSpec, model, valid: DataFrame, key: str) -> float:
-    pred = model.predict(valid, key)
+    pred = model.predict(valid, key, clip=False)      # the search scores raw predictions
     if spec.is_classifier:
         return float(roc_auc(pred, LABEL, SCORE).first()["auc"])
-    m = regression_metrics(pred, LABEL, PREDICTION).first()
-    return -float(m["rmse"])  # neg-RMSE: higher is better
+    return -float(regression_metrics(pred, LABEL, PREDICTION).first()["rmse"])  # higher is better
 
 
-def _fold_col(df: DataFrame, key: str, k: int, classifier: bool, seed: int) -> DataFrame:
-    if classifier:
-        salt = F.concat(F.col(LABEL).cast("string"), F.lit(":"), F.col(key).cast("string"))
-        return df.withColumn("__fold", hash_bucket(salt, f"{seed}:sfold", k))
-    return df.withColumn("__fold", hash_bucket(F.col(key), f"{seed}:fold", k))
+def _fitted_as(kind: str, params: dict) -> tuple:
+    """Combinations with equal values here give the same model."""
+    return tuple(sorted((k, repr(v)) for k, v in params.items() if k not in IGNORED.get(kind, ())))
+
+
+def evaluated(spec: ModelSpec, model, test: DataFrame, key: str) -> DataFrame:
+    """(metric, value) of a model on the test rows; linear predictions are clipped as in a run."""
+    pred = model.predict(test, key).persist()
+    if spec.is_classifier:
+        report = classification_report(pred, LABEL, PREDICTION)
+        rows = report.select(F.explode(F.array(*[F.struct(F.concat_ws(" ", "class", F.lit(m)).alias("metric"), F.col(m).cast("double").alias("value"))
+                                                 for m in ("precision", "recall", "f1", "support")])).alias("x")).select("x.*")
+        rows = rows.unionByName(roc_auc(pred, LABEL, SCORE).select(F.lit("roc_auc").alias("metric"), F.col("auc").alias("value")))
+    else:
+        one = regression_metrics(pred, LABEL, PREDICTION)
+        rows = one.select(F.explode(F.array(*[F.struct(F.lit(m).alias("metric"), F.col(m).cast("double").alias("value"))
+                                              for m in ("rmse", "mae", "r2", "n")])).alias("x")).select("x.*")
+    found = [tuple(r) for r in rows.collect()]      # a few numbers per class
+    pred.unpersist()
+    return test.sparkSession.createDataFrame(found, "metric string, value double")
 
 
 def grid_search(kind: str, train: DataFrame, test: DataFrame, key: str, grid: dict | None = None,
-                folds: int | None = None, parallelism: int = 4, allow_l1: bool = False,
-                seed: int = 42) -> TuneResult:
+                folds: int | None = None, parallelism: int = 4, seed: int = 42) -> TuneResult:
     """Tune ``kind`` on assembled ``train`` (key, label, features); refit
-    the best combination on all of ``train``; score it on ``test``."""
+    the best combination on all of ``train``; score it on ``test``.
+
+    The rows are placed and cached once for all fits.  A logistic fit that
+    converges below a smaller iteration limit is the fit of every higher one,
+    and combinations that differ only in an ignored axis share theirs; every
+    combination has its row and score."""
     grid = grid if grid is not None else GRIDS[kind]
     k = folds or FOLDS[kind]
     spec0 = ModelSpec(kind)
-    data = _fold_col(train, key, k, spec0.is_classifier, seed).persist()
-    blocked = {} if allow_l1 else UNSUPPORTED_BY_DEFAULT.get(kind, {})
-
-    def run(params: dict):
-        if any(params.get(p) in vals for p, vals in blocked.items()):
-            return params, None
-        spec = ModelSpec(kind, params, seed)
-        scores = []
-        for f in range(k):
-            tr = data.where(F.col("__fold") != f).drop("__fold")
-            va = data.where(F.col("__fold") == f).drop("__fold")
-            scores.append(_score(spec, fit(spec, tr), va, key))
-        return params, sum(scores) / len(scores)
+    fold = fold_of(F.col(key), k, seed, F.col(LABEL) if spec0.is_classifier else None)
+    data = placed(train.withColumn("__fold", fold).select("__fold", *train.columns)).persist()
+    parts = [(data.where(F.col("__fold") != f).drop("__fold"), data.where(F.col("__fold") == f).drop("__fold")) for f in range(k)]
+    every = combos(grid)
+    groups: dict[tuple, list[dict]] = {}
+    for params in every:
+        same = {n: v for n, v in params.items() if n != "max_iter"} if kind == "logistic" else params
+        groups.setdefault(_fitted_as(kind, same), []).append(params)
+
+    def run(members: list[dict]) -> list[tuple[dict, float]]:
+        members = sorted(members, key=lambda p: p.get("max_iter", 0))
+        totals = [0.0] * len(members)
+        for train_part, valid in parts:
+            converged, score = False, None
+            for i, params in enumerate(members):
+                if score is None or "max_iter" in params and not converged:
+                    spec = ModelSpec(kind, {n: v for n, v in params.items() if n not in IGNORED.get(kind, ())}, seed)
+                    model = fit(spec, train_part, is_placed=True)
+                    score = _score(spec, model, valid, key)
+                    converged = kind == "logistic" and model.model.summary.totalIterations < params.get("max_iter", 100)
+                totals[i] += score
+        return [(p, t / k) for p, t in zip(members, totals)]
 
     with ThreadPoolExecutor(max_workers=max(1, parallelism)) as pool:
-        cv = list(pool.map(run, combos(grid, kind)))
-    scored = [(p, s) for p, s in cv if s is not None]
-    if not scored:
-        raise ValueError("no grid combination could be scored")
-    best = max(scored, key=lambda ps: ps[1])[0]
-    spec = ModelSpec(kind, best, seed)
-    model = fit(spec, train)
-    pred = model.predict(test, key)
-    if spec.is_classifier:
-        metrics = roc_auc(pred, LABEL, SCORE)
-    else:
-        metrics = regression_metrics(pred, LABEL, PREDICTION)
+        scores = {repr(p): s for part in pool.map(run, groups.values()) for p, s in part}
     data.unpersist()
-    return TuneResult(kind, best, cv, model, metrics)
+    cv = [(p, scores[repr(p)]) for p in every]
+    best = max(cv, key=lambda ps: ps[1])[0]
+    spec = ModelSpec(kind, {n: v for n, v in best.items() if n not in IGNORED.get(kind, ())}, seed)
+    model = fit(spec, train)
+    return TuneResult(kind, best, cv, model, evaluated(spec, model, test, key))
+
+
+def tuning_rows(result: TuneResult, family: str) -> DataFrame:
+    """(family, model, params, metric, value): each combination's cross-validation
+    score, and the best one's test metrics (``best`` in front of the metric)."""
+    spark = result.test_metrics.sparkSession
+    note = {"ignored": list(IGNORED[result.kind])} if result.kind in IGNORED else {}
+    text = lambda p: json.dumps({**p, **note}, sort_keys=True)
+    rows = spark.createDataFrame([(family, result.kind, text(p), "cv_score", float(s)) for p, s in result.cv],
+                                 "family string, model string, params string, metric string, value double")
+    best = result.test_metrics.select(F.lit(family).alias("family"), F.lit(result.kind).alias("model"), F.lit(text(result.best_params)).alias("params"),
+                                      F.concat(F.lit("best "), "metric").alias("metric"), "value")
+    return rows.unionByName(best)

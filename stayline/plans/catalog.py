@@ -24,7 +24,7 @@ from ..operators.splits import SPLIT_COL, kfold_column, split_column, stratified
 from ..operators.target_encoder import fit_target_encoder
 from ..sources.fixtures import stays
 from . import oracle_sql as O
-from .datasets import FAMILY, prepare, tag_families
+from .datasets import FAMILY, branch_shapes, prepare, tag_families
 
 CFG = STAYS
 KEY = CFG.key
@@ -80,12 +80,9 @@ def q_impute_defaults(spark, sf):
     "q3 + 1.5 * (q3 - q1) AS upper_fence FROM fences"))
 def q_iqr_fences(spark, sf):
     """A1 + A2: quartiles of the target and the Tukey fences."""
-    df = _clean(spark, sf)
-    f = fit_fences(df, CFG)
-    q = df.agg(F.percentile(col(CFG.target), F.array(F.lit(0.25), F.lit(0.75))).alias("q"))
-    return q.select(F.col("q")[0].alias("q1"), F.col("q")[1].alias("q3"),
-                    (F.col("q")[1] - F.col("q")[0]).alias("iqr"),
-                    F.lit(f.lower).alias("lower_fence"), F.lit(f.upper).alias("upper_fence"))
+    f = fit_fences(_clean(spark, sf), CFG)
+    return spark.createDataFrame([(f.q1, f.q3, f.iqr, f.lower, f.upper)],
+                                 "q1 double, q3 double, iqr double, lower_fence double, upper_fence double")
 
 
 @register("outlier_flag", O.base("SELECT spell_id, CAST(outl AS INTEGER) AS is_outlier FROM flagged"))
@@ -175,14 +172,14 @@ def _state_rows(state, spark):
     return rounded(state.to_df(spark).select(F.col("grp").alias(FAMILY), "column", "center", "scale"))
 
 
-def _fit_sql(cte: str, cols, center, scale) -> str:
+def _fit_sql(cols, center, scale) -> str:
     parts = [f"SELECT family, '{c}' AS \"column\", {O.r6(center.format(c=c))} AS center, "
              f"{O.r6(scale.format(c=c))} AS scale FROM train GROUP BY family" for c in cols]
     return O.base(O._families_cte(("nosplit",)) + "\n" + "\nUNION ALL ".join(parts))
 
 
 @register("standard_scaler_fit", _fit_sql(
-    "", O.STD_COLS, "avg({c})",
+    O.STD_COLS, "avg({c})",
     "CASE WHEN stddev_pop({c}) = 0 OR stddev_pop({c}) IS NULL THEN 1.0 ELSE stddev_pop({c}) END"))
 def q_standard_scaler_fit(spark, sf):
     """A3: mean and population std on the training rows (zero std -> 1)."""
@@ -192,7 +189,7 @@ def q_standard_scaler_fit(spark, sf):
 
 
 @register("robust_scaler_fit", _fit_sql(
-    "", O.ROB_COLS, "quantile_cont({c}, 0.5)",
+    O.ROB_COLS, "quantile_cont({c}, 0.5)",
     "CASE WHEN quantile_cont({c}, 0.75) - quantile_cont({c}, 0.25) = 0 OR quantile_cont({c}, 0.25) IS NULL "
     "THEN 1.0 ELSE quantile_cont({c}, 0.75) - quantile_cont({c}, 0.25) END"))
 def q_robust_scaler_fit(spark, sf):
@@ -267,11 +264,11 @@ def q_prepared_class(spark, sf):
 
 
 @register("branch_shapes", O.prepared_base(("inlier", "outlier", "class", "nosplit")) +
-          "SELECT family, split, count(*) AS rows FROM prepared GROUP BY family, split")
+          f"SELECT family, split, count(*) AS rows, CAST({len(O.FEATURE_COLS) + 2} AS BIGINT) AS cols FROM prepared GROUP BY family, split")
 def q_branch_shapes(spark, sf):
-    """Rows per (family, split) over all four families in one plan."""
-    prep = prepare(stays(spark, sf), CFG)
-    return prep.data.groupBy(FAMILY, SPLIT_COL).agg(F.count(F.lit(1)).alias("rows"))
+    """Rows and columns per (family, split) over all four families in one
+    plan (the columns are the key, the family's target and the features)."""
+    return branch_shapes(prepare(stays(spark, sf), CFG))
 
 
 @register("class_weights", O.prepared_base(("class",)) +
@@ -404,3 +401,10 @@ SELECT round(sum(pos * (below + 0.5 * neg)) / (sum(pos) * sum(neg)), 6) AS auc F
 def q_roc_auc(spark, sf):
     """A10: exact tie-aware ROC-AUC of the score."""
     return rounded(M.roc_auc(_class_frame(spark, sf), "actual", "score"))
+
+
+@register("anomaly_label_counts", O.base("SELECT CASE WHEN outl THEN -1 ELSE 1 END AS anomaly, count(*) AS rows FROM flagged GROUP BY 1"))
+def q_anomaly_label_counts(spark, sf):
+    """Rows per anomaly label, here the IQR flag as -1 / 1."""
+    flagged = tag_outliers(_clean(spark, sf), CFG)
+    return M.anomaly_counts(flagged.select(F.when(col(CFG.class_target) == 1, -1).otherwise(1).alias("anomaly")))

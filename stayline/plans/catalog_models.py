@@ -10,12 +10,11 @@ tests compare them against brute force and planted signal.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..operators.features import assemble
 from ..operators.models.estimators import ModelSpec
-from ..operators.models.trainer import fit
+from ..operators.models.trainer import fit, placed
 from ..sources.fixtures import stays
 from . import oracle_sql as O
 from .catalog import CFG, KEY, register, rounded
@@ -32,15 +31,16 @@ def _nosplit_train(spark, sf):
 
 
 def _one_feature(spark, sf, kind, alphas):
-    _, train = _nosplit_train(spark, sf)
+    prep, train = _nosplit_train(spark, sf)
     data, _ = assemble(train.where(F.col(ONE_FEATURE).isNotNull()), CFG, CFG.target,
                        features=[ONE_FEATURE], null_policy="error")
-    data = data.persist()
+    data = placed(data).persist()
     rows = []
     for a in alphas:
-        m = fit(ModelSpec(kind, {} if a is None else {"alpha": a}), data).model
+        m = fit(ModelSpec(kind, {} if a is None else {"alpha": a}), data, is_placed=True).model
         rows.append((kind, a, float(m.coefficients[0]), float(m.intercept)))
-    spark = data.sparkSession
+    data.unpersist()
+    prep.release()
     out = spark.createDataFrame(rows, "model string, alpha double, slope double, intercept double")
     return rounded(out, 5)
 
@@ -92,22 +92,20 @@ def q_lasso_one_feature(spark, sf):
     return _one_feature(spark, sf, "lasso", LASSO_ALPHAS)
 
 
-__all__ = ["DataFrame"]
-
-
 # ------------------------------------------------- fitted-model queries --
 # Rows-only checks (no SQL form); the tests hold the quality checks.
 
 from ..operators import metrics as M  # noqa: E402
 from ..operators.models.iforest import run_isolation_forest  # noqa: E402
-from .flows import train_evaluate_classifier, train_evaluate_regressor, flow_no_split, flow_split  # noqa: E402
+from .flows import family_data, flow_no_split, flow_split, trained  # noqa: E402
 
 
 def _regression_query(kind, params=None):
     def q(spark, sf):
         prep = prepare(stays(spark, sf), CFG, ("nosplit",))
-        frame, _, _ = train_evaluate_regressor(ModelSpec(kind, params or {}), prep, "nosplit")
-        return frame
+        data = family_data(prep, "nosplit")
+        model = trained(ModelSpec(kind, params or {}), data, KEY, "nosplit")
+        return M.regression_frame(model.predict(data[1], KEY), KEY)
     q.__doc__ = f"Prediction frame (actual_los, predicted_los in days) of '{kind}' on the no-split test rows."
     return q
 
@@ -119,8 +117,9 @@ for _kind in ("linear", "random_forest", "xgboost", "xgboost_poisson"):
 def _classifier_query(kind):
     def q(spark, sf):
         prep = prepare(stays(spark, sf), CFG, ("class",))
-        frame, _, _ = train_evaluate_classifier(ModelSpec(kind), prep, "class")
-        return frame
+        data = family_data(prep, "class")
+        model = trained(ModelSpec(kind), data, KEY, "class")
+        return M.classification_frame(model.predict(data[1], KEY), KEY)
     q.__doc__ = f"Prediction frame (actual_outlier, predicted_outlier) of '{kind}' on the class test rows."
     return q
 
@@ -173,22 +172,49 @@ def q_flow_split(spark, sf):
 # ------------------------------------------------------------ tuning --
 import json  # noqa: E402
 
-from ..operators.tuning import grid_search  # noqa: E402
+from ..operators.tuning import FOLDS, GRIDS, grid_search  # noqa: E402
 
 
-def _tune_query(kind, family, label):
+def _tune_query(kind, family):
     def q(spark, sf):
         prep = prepare(stays(spark, sf), CFG, (family,))
-        tr, feats = assemble(prep.family(family, "train"), CFG, label, null_policy="sentinel")
-        te, _ = assemble(prep.family(family, "test"), CFG, label, features=feats, null_policy="sentinel")
-        res = grid_search(kind, tr, te, KEY)
-        rows = [(kind, json.dumps(p, sort_keys=True), s, p == res.best_params) for p, s in res.cv]
-        cv = spark.createDataFrame(rows, "model string, params string, cv_score double, best boolean")
-        return rounded(cv)
+        train, test, _ = family_data(prep, family)
+        found = grid_search(kind, train, test, KEY)
+        prep.release()
+        rows = [(kind, json.dumps(p, sort_keys=True), s, p == found.best_params) for p, s in found.cv]
+        return rounded(spark.createDataFrame(rows, "model string, params string, cv_score double, best boolean"))
     q.__doc__ = f"Grid search for '{kind}' (the original's grid and fold count): one row per combination."
     return q
 
 
-register("tune_ridge")(_tune_query("ridge", "nosplit", CFG.target))
-register("tune_lasso")(_tune_query("lasso", "nosplit", CFG.target))
-register("tune_logistic")(_tune_query("logistic", "class", CFG.class_target))
+register("tune_ridge")(_tune_query("ridge", "nosplit"))
+register("tune_lasso")(_tune_query("lasso", "nosplit"))
+register("tune_logistic")(_tune_query("logistic", "class"))
+
+
+def _tune_one(kind):
+    def q(spark, sf):
+        prep, train = _nosplit_train(spark, sf)
+        data, _ = assemble(train.where(F.col(ONE_FEATURE).isNotNull()), CFG, CFG.target, features=[ONE_FEATURE], null_policy="skip")
+        found = grid_search(kind, data, data, KEY)
+        prep.release()
+        return rounded(spark.createDataFrame([(kind, float(p["alpha"]), s) for p, s in found.cv], "model string, alpha double, cv_score double"), 4)
+    q.__doc__ = f"G1: the '{kind}' grid on one feature; mean of the folds' negative RMSE, checked in closed form."
+    return q
+
+
+def _tune_one_sql(kind):
+    slope = {"ridge": "cxy * n / (vx * n + alpha)", "lasso": "sign(cxy) * greatest(abs(cxy) - alpha, 0) / vx"}[kind]
+    alphas = ", ".join(f"({a}::DOUBLE)" for a in GRIDS[kind]["alpha"])
+    return O.prepared_base(("nosplit",)) + f"""
+, d AS (SELECT {ONE_FEATURE} AS x, spell_episode_los AS y, {O.hash_bucket('spell_id', '42:fold', FOLDS[kind])} AS fold FROM prepared
+        WHERE split = 'train' AND spell_episode_los IS NOT NULL AND {ONE_FEATURE} IS NOT NULL)
+, f AS (SELECT DISTINCT fold AS k FROM d)
+, s AS (SELECT k, count(*) AS n, avg(x) AS mx, avg(y) AS my, var_pop(x) AS vx, covar_pop(x, y) AS cxy FROM f JOIN d ON fold <> k GROUP BY k)
+, c AS (SELECT k, alpha, {slope} AS b, my - ({slope}) * mx AS a FROM s, (VALUES {alphas}) AS v(alpha))
+, r AS (SELECT k, alpha, sqrt(avg((y - a - b * x) * (y - a - b * x))) AS rmse FROM c JOIN d ON fold = k GROUP BY k, alpha)
+SELECT '{kind}' AS model, alpha, (round(-avg(rmse), 4) + 0.0) AS cv_score FROM r GROUP BY alpha"""
+
+
+for _kind in ("ridge", "lasso"):
+    register(f"tune_{_kind}_one_feature", _tune_one_sql(_kind))(_tune_one(_kind))

@@ -73,7 +73,7 @@ def tag_families(df: DataFrame, cfg: RoleConfig, families=FAMILIES,
         raise ValueError(f"unknown families {unknown}")
     target = cfg.present([cfg.target], df.columns)
     if not target:
-        raise ValueError("Cannot prepare datasets: Target column missing.")
+        raise ValueError(f"datasets need the target column {cfg.target!r}, which the table lacks")
     target = target[0]
     need_fences = any(f in families for f in ("inlier", "outlier", "class"))
     if need_fences and fences is None:

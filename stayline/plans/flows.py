@@ -4,108 +4,137 @@
   evaluate) and ``train_evaluate_classifier`` (tune → train → save →
   predict → report).  As in the original, tuning results are not used for
   the final fit unless ``use_tuned`` is set, and tuning is skipped unless
-  asked for.
+  asked for; its rows and the final metrics are appended to ``report`` (a
+  table of family, model, params, metric, value) if one is named.
 * ``flow_no_split``: five regressors on the no-split family.
 * ``flow_split``: the outlier classifier, then five regressors on the
   inliers and five on the outliers.
 
-Each model is trained once (the original trains each one twice in a row).
-Results are one metrics DataFrame: (family, model, scale, rmse, mae, r2, n)
-for regressors, (family, model, class, precision, recall, f1, support, auc)
-for classifiers.
+Each model is trained once (the original trains each one twice in a row), and
+a family's rows are assembled and cached once for all its models.  Results are
+one metrics DataFrame: (family, model, scale, rmse, mae, r2, n) for regressors
+-- days from clipped, floored predictions, the log scale from raw ones --
+and (family, model, class, precision, recall, f1, support, auc) for classifiers.
 """
 
 from __future__ import annotations
 
+import json
 import os
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.scalar import clip_nonneg
 from ..operators import metrics as M
 from ..operators.features import LABEL, assemble
 from ..operators.models.estimators import ModelSpec
 from ..operators.models.trainer import PREDICTION, SCORE, TrainedModel, fit
-from ..operators.tuning import grid_search
+from ..operators.tuning import GRIDS, IGNORED, grid_search, tuning_rows
+from ..sources.storage import append_metrics, long_metrics
 from .datasets import Prepared
 
 REGRESSORS = ("linear", "lasso", "ridge", "random_forest", "xgboost")
 CLASSIFIERS = ("logistic",)
 
 
-def _assembled(prep: Prepared, family: str, label: str, null_policy: str):
-    cfg = prep.cfg
-    train = prep.family(family, "train")
-    test = prep.family(family, "test")
-    tr, feats = assemble(train, cfg, label, null_policy=null_policy)
-    te, _ = assemble(test, cfg, label, features=feats, null_policy=null_policy)
-    return tr, te, feats
+def family_data(prep: Prepared, family: str, null_policy: str = "sentinel"):
+    """(train, test, feature names) of a family, assembled."""
+    label = prep.cfg.class_target if family == "class" else prep.cfg.target
+    train, names = assemble(prep.family(family, "train"), prep.cfg, label, null_policy=null_policy)
+    test, _ = assemble(prep.family(family, "test"), prep.cfg, label, features=names, null_policy=null_policy)
+    return train, test, names
 
 
-def train_evaluate_regressor(spec: ModelSpec, prep: Prepared, family: str, null_policy: str = "sentinel",
-                             tune: bool = False, use_tuned: bool = False, save_dir: str | None = None,
-                             data=None) -> tuple[DataFrame, DataFrame, TrainedModel]:
-    """Returns (actual/predicted frame in days, metrics rows, model)."""
-    cfg = prep.cfg
-    tr, te, feats = data or _assembled(prep, family, cfg.target, null_policy)
-    params = dict(spec.params)
-    if tune and spec.kind in ("ridge", "lasso", "random_forest", "xgboost", "xgboost_poisson"):
-        res = grid_search(spec.kind, tr, te, cfg.key, seed=spec.seed)
-        if use_tuned:
-            params.update(res.best_params)
-    model = fit(ModelSpec(spec.kind, params, spec.seed), tr, feats)
-    if save_dir:
-        model.save(os.path.join(save_dir, f"{family}_{spec.kind}"))
-    pred = model.predict(te, cfg.key)
-    frame = M.regression_frame(pred, cfg.key, unpack=True)
-    days = M.regression_metrics(frame, "actual_los", "predicted_los").select(F.lit("days").alias("scale"), "*")
-    logs = M.regression_metrics(pred, LABEL, PREDICTION).select(F.lit("log").alias("scale"), "*")
-    metrics = days.unionByName(logs).select(F.lit(family).alias("family"), F.lit(spec.kind).alias("model"), "*")
-    return frame, metrics, model
+@contextmanager
+def cached_family(prep: Prepared, family: str, null_policy: str = "sentinel"):
+    train, test, names = family_data(prep, family, null_policy)
+    train, test = train.persist(), test.persist()
+    try:
+        yield train, test, names
+    finally:
+        train.unpersist()
+        test.unpersist()
 
 
-def train_evaluate_classifier(spec: ModelSpec, prep: Prepared, family: str = "class",
-                              null_policy: str = "sentinel", tune: bool = False, use_tuned: bool = False,
-                              save_dir: str | None = None, data=None
-                              ) -> tuple[DataFrame, DataFrame, TrainedModel]:
-    """Returns (actual/predicted frame, report rows with AUC, model)."""
-    cfg = prep.cfg
-    tr, te, feats = data or _assembled(prep, family, cfg.class_target, null_policy)
+def trained(spec: ModelSpec, data, key: str, family: str, tune: bool = False, use_tuned: bool = False,
+            save_dir: str | None = None, report: str | None = None) -> TrainedModel:
+    """The fitted model of a flow, after an optional search."""
+    train, test, names = data
     params = dict(spec.params)
-    if tune:
-        res = grid_search(spec.kind, tr, te, cfg.key, seed=spec.seed)
+    if tune and spec.kind in GRIDS:
+        found = grid_search(spec.kind, train, test, key, seed=spec.seed)
+        if report:
+            append_metrics(tuning_rows(found, family), report)
         if use_tuned:
-            params.update(res.best_params)
-    model = fit(ModelSpec(spec.kind, params, spec.seed), tr, feats)
+            params.update({k: v for k, v in found.best_params.items() if k not in IGNORED.get(spec.kind, ())})
+    model = fit(ModelSpec(spec.kind, params, spec.seed), train, names)
     if save_dir:
         model.save(os.path.join(save_dir, f"{family}_{spec.kind}"))
-    pred = model.predict(te, cfg.key).persist()
-    frame = M.classification_frame(pred, cfg.key)
-    report = M.classification_report(pred, LABEL, PREDICTION)
-    auc = M.roc_auc(pred, LABEL, SCORE).first()["auc"]  # one number
-    rows = report.withColumn("auc", F.lit(auc).cast("double"))
-    rows = rows.select(F.lit(family).alias("family"), F.lit(spec.kind).alias("model"), "*")
-    return frame, rows, model
+    return model
+
+
+def params_text(model: TrainedModel) -> str:
+    return json.dumps(model.spec.params, sort_keys=True)
 
 
-def flow_no_split(prep: Prepared, models=REGRESSORS, **kw) -> DataFrame:
-    out = None
-    for kind in models:
-        _, m, _ = train_evaluate_regressor(ModelSpec(kind), prep, "nosplit", **kw)
-        out = m if out is None else out.unionByName(m)
-    return out
+def train_evaluate_regressor(spec: ModelSpec, prep: Prepared, family: str, null_policy: str = "sentinel",
+                             data=None, report: str | None = None, **how) -> tuple[DataFrame, DataFrame, TrainedModel]:
+    """Returns (actual/predicted frame in days, metrics rows, model)."""
+    cfg = prep.cfg
+    data = data or family_data(prep, family, null_policy)
+    model = trained(spec, data, cfg.key, family, report=report, **how)
+    pred = model.predict(data[1], cfg.key, clip=False)
+    shown = pred.withColumn(PREDICTION, clip_nonneg(F.col(PREDICTION))) if spec.clips else pred
+    frame = M.regression_frame(shown, cfg.key, unpack=True)
+    # both scales in one pass over the predictions
+    wide = pred.withColumns({"raw": F.col(PREDICTION), PREDICTION: clip_nonneg(F.col(PREDICTION)) if spec.clips else F.col(PREDICTION)})
+    metrics = M.metrics_on_scales(wide, LABEL, {"days": (PREDICTION, True), "log": ("raw", False)}).select(
+        F.lit(family).alias("family"), F.lit(spec.kind).alias("model"), "*")
+    if report:
+        append_metrics(long_metrics(metrics, family, spec.kind, params_text(model), "scale", ["rmse", "mae", "r2", "n"]), report)
+    return frame, metrics, model
 
 
-def flow_split(prep: Prepared, regressors=REGRESSORS, classifiers=CLASSIFIERS, **kw
-               ) -> tuple[DataFrame, DataFrame]:
+def train_evaluate_classifier(spec: ModelSpec, prep: Prepared, family: str = "class", null_policy: str = "sentinel",
+                              data=None, report: str | None = None, **how) -> tuple[DataFrame, DataFrame, TrainedModel]:
+    """Returns (actual/predicted frame, report rows with AUC, model)."""
+    cfg = prep.cfg
+    data = data or family_data(prep, family, null_policy)
+    model = trained(spec, data, cfg.key, family, report=report, **how)
+    pred = model.predict(data[1], cfg.key).persist()
+    auc = M.roc_auc(pred, LABEL, SCORE).first()["auc"]  # one number
+    found = [tuple(r) for r in M.classification_report(pred, LABEL, PREDICTION).collect()]      # k + 3 rows
+    pred.unpersist()
+    spark = pred.sparkSession
+    rows = spark.createDataFrame([(family, spec.kind, *r, auc) for r in found],
+                                 "family string, model string, class string, precision double, recall double, f1 double, support long, auc double")
+    if report:
+        append_metrics(long_metrics(rows, family, spec.kind, params_text(model), "class", ["precision", "recall", "f1", "support", "auc"]), report)
+    return M.classification_frame(pred, cfg.key), rows, model
+
+
+def flow_no_split(prep: Prepared, models=REGRESSORS, family: str = "nosplit", **kw) -> DataFrame:
+    """Metrics rows of every regressor on one family."""
+    found, schema = [], None
+    with cached_family(prep, family) as data:
+        for kind in models:
+            _, m, _ = train_evaluate_regressor(ModelSpec(kind), prep, family, data=data, **kw)
+            found += m.collect()                    # two rows per model
+            schema = m.schema
+    return prep.data.sparkSession.createDataFrame(found, schema)
+
+
+def flow_split(prep: Prepared, regressors=REGRESSORS, classifiers=CLASSIFIERS, **kw) -> tuple[DataFrame, DataFrame]:
     """(classifier report rows, regressor metrics rows for both branches)."""
     cls = None
-    for kind in classifiers:
-        _, rows, _ = train_evaluate_classifier(ModelSpec(kind), prep, "class", **kw)
-        cls = rows if cls is None else cls.unionByName(rows)
+    with cached_family(prep, "class") as data:
+        for kind in classifiers:
+            _, rows, _ = train_evaluate_classifier(ModelSpec(kind), prep, "class", data=data, **kw)
+            cls = rows if cls is None else cls.unionByName(rows)
     reg = None
     for family in ("inlier", "outlier"):
-        for kind in regressors:
-            _, m, _ = train_evaluate_regressor(ModelSpec(kind), prep, family, **kw)
-            reg = m if reg is None else reg.unionByName(m)
+        m = flow_no_split(prep, regressors, family, **kw)
+        reg = m if reg is None else reg.unionByName(m)
     return cls, reg

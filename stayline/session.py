@@ -24,6 +24,9 @@ _SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
     "spark.ui.enabled": "false",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    # trees down to MLlib's depth limit are serialised recursively
+    "spark.driver.extraJavaOptions": "-Xss16m",
+    "spark.executor.extraJavaOptions": "-Xss16m",
 }
 
 

@@ -58,8 +58,7 @@ def load_family(spark: SparkSession, path: str, family: str, cfg: RoleConfig,
     """(train, test) of one family; raises FileNotFoundError when either
     partition is absent."""
     for split in ("train", "test"):
-        part = os.path.join(path, f"family={family}", f"split={split}")
-        if fmt == "parquet" and not _exists(spark, part):
+        if not _exists(spark, os.path.join(path, f"family={family}", f"split={split}")):
             raise FileNotFoundError(f"{family} {split} data not found under {path}")
     reader = spark.read if fmt == "parquet" else spark.read.option("header", True).option("inferSchema", True)
     df = reader.parquet(path) if fmt == "parquet" else reader.csv(path)
@@ -72,29 +71,38 @@ def load_family(spark: SparkSession, path: str, family: str, cfg: RoleConfig,
 
 
 def _exists(spark: SparkSession, path: str) -> bool:
-    """True when the directory can be listed as a dataset."""
-    from pyspark.errors import AnalysisException
-    try:
-        spark.read.parquet(path).schema
-        return True
-    except AnalysisException:
-        return False
+    """True when the directory exists, in whatever store the path names."""
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return where.getFileSystem(spark._jsc.hadoopConfiguration()).exists(where)
+
+
+METRIC_COLUMNS = ["family", "model", "params", "metric", "value"]
 
 
 def append_metrics(metrics: DataFrame, path: str) -> None:
+    """Append (family, model, params, metric, value) rows to a report table."""
+    if metrics.columns != METRIC_COLUMNS:
+        raise ValueError(f"metric rows have the columns {METRIC_COLUMNS}")
     metrics.write.mode("append").parquet(path)
 
 
-def render_markdown(metrics: DataFrame, title: str) -> str:
-    """Markdown table of a (small) metrics frame."""
-    rows = metrics.collect()
-    cols = metrics.columns
-    lines = [f"# {title}", "", "| " + " | ".join(cols) + " |", "|" + "---|" * len(cols)]
-    for r in rows:
-        cells = []
-        for v in r:
-            cells.append(f"{v:.4f}" if isinstance(v, float) else ("" if v is None else str(v)))
-        lines.append("| " + " | ".join(cells) + " |")
+def long_metrics(rows: DataFrame, family: str, model: str, params: str, group: str, values: list[str]) -> DataFrame:
+    """Wide metric rows as (family, model, params, metric, value)."""
+    cells = F.explode(F.array(*[F.struct(F.concat_ws(" ", F.col(group), F.lit(v)).alias("metric"), F.col(v).cast("double").alias("value"))
+                                for v in values])).alias("x")
+    return rows.select(F.lit(family).alias("family"), F.lit(model).alias("model"), F.lit(params).alias("params"), cells).select(
+        "family", "model", "params", "x.*")
+
+
+def render_markdown(report: DataFrame, title: str) -> str:
+    """Markdown of a (small) report table: a section per family and model with
+    its parameters, a list of its metrics in stored order."""
+    lines, seen = [f"# {title}"], None
+    for r in report.collect():
+        if (r["family"], r["model"], r["params"]) != seen:
+            seen = (r["family"], r["model"], r["params"])
+            lines += ["", f"## {r['model']} on {r['family']}", "", f"Parameters: `{r['params']}`", "", "| metric | value |", "|---|---|"]
+        lines.append(f"| {r['metric']} | {'' if r['value'] is None else format(r['value'], '.4f')} |")
     return "\n".join(lines) + "\n"
 
 
