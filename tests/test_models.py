@@ -4,7 +4,7 @@ from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import functions as F
 
 from stayline.operators.models.estimators import ModelSpec
-from stayline.operators.models.iforest import run_isolation_forest
+from stayline.operators.models.iforest import IsolationForest, IsolationForestModel, run_isolation_forest
 from stayline.operators.models.poisson_boost import PoissonBoostRegressor, poisson_deviance
 from stayline.operators.models.trainer import TrainedModel, fit
 
@@ -106,7 +106,7 @@ def test_poisson_boost_lowers_deviance(spark):
     mean_dev = poisson_deviance(df.withColumn("prediction", F.lit(float(cnt.mean()))))
     assert dev < 0.8 * mean_dev
     with pytest.raises(ValueError):
-        PoissonBoostRegressor(n_estimators=1).fit(df.withColumn("label", F.lit(-1.0)))
+        PoissonBoostRegressor(n_estimators=1, key="k").fit(df.withColumn("label", F.lit(-1.0)))
 
 
 def test_isolation_forest_ranks_planted_anomalies_first(spark):
@@ -128,3 +128,79 @@ def test_model_save_load_roundtrip(spark, linear_data, tmp_path):
     a = {r["k"]: r["prediction"] for r in m.predict(df, "k").collect()}
     b = {r["k"]: r["prediction"] for r in back.predict(df, "k").collect()}
     assert a == b and back.feature_names == ["a", "b", "c"]
+
+
+def _mixed(spark, n=1500):
+    df = spark.range(n).select(F.col("id").alias("k"), ((F.col("id") * 37) % 101).cast("double").alias("a"), ((F.col("id") * 53) % 17).cast("double").alias("b"))
+    df = df.withColumn("label", F.floor(F.col("a") / 20 + F.col("b") / 4 + (F.col("k") % 3)).cast("double"))
+    return VectorAssembler(inputCols=["a", "b"], outputCol="features").transform(df)
+
+
+@pytest.mark.parametrize("spec", [
+    ModelSpec("random_forest", {"n_estimators": 5, "max_depth": 6}),
+    ModelSpec("xgboost_poisson", {"n_estimators": 4, "max_depth": 3, "subsample": 0.8, "colsample_bytree": 0.5}),
+    ModelSpec("random_forest_classifier", {"n_estimators": 5, "max_depth": 6, "class_weight": "balanced"})])
+def test_fits_do_not_depend_on_the_partitions(spark, spec):
+    data = _mixed(spark)
+    if spec.is_classifier:
+        data = data.withColumn("label", (F.col("label") > 5).cast("double"))
+    found = []
+    for parts in (2, 5, 13):
+        pred = fit(spec, data.repartition(parts)).predict(data, "k")
+        found.append(sorted(tuple(r) for r in pred.collect()))
+    assert found[0] == found[1] == found[2]
+
+
+def test_isolation_forest_does_not_depend_on_the_partitions_and_is_saved(spark, tmp_path):
+    data = _mixed(spark)
+    model = IsolationForest(n_estimators=10, contamination=0.1, key="k").fit(data.repartition(2))
+    rows = lambda m: sorted(tuple(r) for r in m.transform(data).select("k", "anomaly_score", "anomaly").collect())
+    first = rows(model)
+    assert rows(IsolationForest(n_estimators=10, contamination=0.1, key="k").fit(data.repartition(13))) == first
+    model.save(spark, str(tmp_path / "forest"))
+    loaded = IsolationForestModel.load(spark, str(tmp_path / "forest"))
+    assert rows(loaded) == first
+    assert sorted(tuple(r) for r in run_isolation_forest(data, "k", model=loaded).select("k", "anomaly_score", "anomaly").collect()) == first
+    with pytest.raises(ValueError, match="unique"):
+        IsolationForest(key="k").fit(data.withColumn("k", F.col("k") % 9))
+
+
+def test_poisson_one_stump_in_closed_form(spark):
+    """One round at depth 1: best split by Newton gain, clipped leaf steps."""
+    x = [0.0, 1.0, 2.0, 3.0, 4.0, 5.0] * 5
+    y = [0.0, 1.0, 0.0, 4.0, 5.0, 6.0] * 5
+    df = spark.createDataFrame([(i, a, b) for i, (a, b) in enumerate(zip(x, y))], "k long, x double, label double")
+    df = VectorAssembler(inputCols=["x"], outputCol="features").transform(df)
+    model = PoissonBoostRegressor(n_estimators=1, max_depth=1, learning_rate=0.5, key="k").fit(df)
+    x, y = np.array(x), np.array(y)
+    mu = y.mean()
+
+    def parts(t):
+        return [((y - mu)[side].sum(), mu * side.sum()) for side in (x <= t, x > t)]
+    best = max((0.5, 1.5, 2.5, 3.5, 4.5), key=lambda t: sum(g * g / h for g, h in parts(t)))
+    step = [0.5 * np.clip(g / (h + 1.0), -0.7, 0.7) for g, h in parts(best)]
+    want = mu * np.exp(np.where(x <= best, step[0], step[1]))
+    got = [r["prediction"] for r in model.transform(df).orderBy("k").collect()]
+    assert np.allclose(got, want)
+
+
+def test_poisson_scores_as_its_trees_and_is_saved(spark, tmp_path):
+    data = _mixed(spark, 600)
+    model = fit(ModelSpec("xgboost_poisson", {"n_estimators": 12, "max_depth": 3}), data)
+    before = sorted(tuple(r) for r in model.predict(data, "k").collect())
+    model.save(str(tmp_path / "m"))
+    assert sorted(tuple(r) for r in TrainedModel.load(spark, str(tmp_path / "m")).predict(data, "k").collect()) == before
+
+
+def test_random_forest_classifier_finds_the_rule(spark):
+    data = _mixed(spark).withColumn("label", (F.col("label") > 5).cast("double"))
+    pred = fit(ModelSpec("random_forest_classifier", {"n_estimators": 20}), data).predict(data, "k")
+    assert pred.where("label = prediction").count() > 0.9 * pred.count()
+
+
+def test_unknown_parameters_and_depths_raise(spark):
+    data = _mixed(spark, 50)
+    for spec in (ModelSpec("ridge", {"alfa": 1.0}), ModelSpec("random_forest", {"max_depth": 31}), ModelSpec("xgboost_poisson", {"gamma": 1}),
+                 ModelSpec("logistic", {"penalty": "l3"}), ModelSpec("nothing")):
+        with pytest.raises(ValueError):
+            fit(spec, data.withColumn("label", (F.col("label") > 3).cast("double")))
