@@ -33,7 +33,7 @@ from .batches import segment_sums, text_slices
 from .bpe import PreTokens, Tables
 from .varbyte import pack, unpack
 
-CHUNK_DOCS, CHUNK_BYTES = 4096, 24_000_000      # a chunk ends at either
+CHUNK_DOCS, CHUNK_BYTES = 16384, 64_000_000     # a chunk ends at either
 ROWS = 50_000                                   # dictionary rows per Arrow batch
 
 
@@ -113,7 +113,7 @@ def unpacked(raw, n):
 
 
 def count_pieces(listed: DataFrame, path: str) -> DataFrame:
-    """(chunk, code, pieces) of rows sorted by pre-token; a run of equal ones is counted once."""
+    """(chunk, counted) of rows sorted by pre-token, counted being code << 32 | pieces; a run of equal ones is counted once."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tables, last = Tables(path), (None, 0)
@@ -125,10 +125,11 @@ def count_pieces(listed: DataFrame, path: str) -> DataFrame:
             counts = [last[1]] * (len(words) - len(fresh)) + [1 if w in tables.special else n for w, n in zip(fresh, pieces.tolist())]
             if words:
                 last = (words[-1], counts[-1])
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(np.array(counts, np.int32)[coded.indices.to_numpy()])], ["chunk", "code", "pieces"])
+            counted = (batch.column(1).to_numpy().astype(np.int64) << 32) | np.array(counts, np.int64)[coded.indices.to_numpy()]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(counted)], ["chunk", "counted"])
 
     dealt = listed.repartition("pretoken").sortWithinPartitions("pretoken")
-    return dealt.select("chunk", "code", "pretoken").mapInArrow(run, "chunk long, code int, pieces int")
+    return dealt.select("chunk", "code", "pretoken").mapInArrow(run, "chunk long, counted long")
 
 
 def sum_tokens(joined: DataFrame, id_type: T.DataType) -> DataFrame:
@@ -141,9 +142,9 @@ def sum_tokens(joined: DataFrame, id_type: T.DataType) -> DataFrame:
                 flat = lambda name: one.column(one.schema.get_field_index(name)).flatten()
                 pieces, counts = np.zeros(1, np.int64), flat("counts")
                 if len(counts):
-                    code, n = (counts.field(i).to_numpy(zero_copy_only=False) for i in (0, 1))
-                    pieces = np.zeros(int(code.max()) + 1, np.int64)
-                    pieces[code] = n
+                    counted = counts.to_numpy(zero_copy_only=False)
+                    pieces = np.zeros(int(counted.max() >> 32) + 1, np.int64)
+                    pieces[counted >> 32] = counted & 0xFFFFFFFF
                 distinct = flat("n_distinct").to_numpy(zero_copy_only=False).astype(np.int64)
                 steps, times = (unpacked(one.column(one.schema.get_field_index(k))[0].as_py(), int(distinct.sum())) for k in ("codes", "times"))
                 codes = np.cumsum(steps)
@@ -163,7 +164,7 @@ def token_counts(docs: DataFrame, path: str, limit: int = 2048, doc_id: str = "d
     frequencies(own, path).write.option("compression", "zstd").parquet(table)
     rows = spark.read.parquet(table)
     listed = rows.where("code >= 0").select("chunk", "code", "pretoken")
-    found = count_pieces(listed, path).groupBy("chunk").agg(F.collect_list(F.struct("code", "pieces")).alias("counts"))
+    found = count_pieces(listed, path).groupBy("chunk").agg(F.collect_list("counted").alias("counts"))
     chunks = rows.where("code = -1").drop("code", "pretoken")
     whole = chunks.join(found, "chunk", "left")
     return sum_tokens(whole, own.schema["doc_id"].dataType).withColumn("over_limit", F.col("n_tokens") > limit)
