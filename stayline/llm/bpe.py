@@ -33,7 +33,7 @@ WORD_PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
 # From here on, the library and the installed regex module may follow
 # different Unicode versions; such chunks go through the library's own splitter.
 FIRST_DISPUTED = "՘"
-CACHE_LIMIT = 200_000       # distinct chunks or pre-tokens kept by a task
+CACHE_LIMIT = 400_000       # distinct chunks or pre-tokens kept by a task
 DECODE_IDS = 400_000        # ids turned into text at once
 
 
@@ -89,12 +89,14 @@ class Tables:
         symbol, word = self.first[raw], np.repeat(np.arange(len(words)), length)
         ends = np.cumsum(length)[length > 0] - 1
         symbol[ends] = self.last[raw[ends]]
+        # index of the pair that each symbol opens, -1 if there is none
+        pair = np.full(len(symbol), -1)
+        if len(symbol) > 1:
+            inner = np.flatnonzero(word[:-1] == word[1:])
+            pair[inner] = self.pair_index(symbol[inner], symbol[inner + 1])
         done_symbol, done_word = [], []
         while symbol.size:
-            pair = (symbol[:-1] << 32) | symbol[1:]
-            pair[word[1:] != word[:-1]] = -1
-            at = np.minimum(np.searchsorted(self.keys, pair), len(self.keys) - 1)
-            position = np.flatnonzero(self.keys[at] == pair)
+            position = np.flatnonzero(pair >= 0)
             active = np.zeros(len(words), bool)
             active[word[position]] = True
             keep = active[word]
@@ -102,8 +104,8 @@ class Tables:
             done_word.append(word[~keep])
             if not position.size:
                 break
-            at = at[position]
-            rank, owner = self.ranks[at], word[position]
+            at, owner = pair[position], word[position]
+            rank = self.ranks[at]
             starts = np.flatnonzero(np.concatenate([[True], owner[1:] != owner[:-1]]))
             lowest = np.repeat(np.minimum.reduceat(rank, starts), np.diff(np.append(starts, len(owner))))
             chosen = rank == lowest
@@ -115,11 +117,28 @@ class Tables:
             position, at = position[alternate], at[alternate]
             symbol[position] = self.merged[at]
             keep[position + 1] = False
-            symbol, word = symbol[keep], word[keep]
+            # only the pairs at a merged symbol and before it are new
+            new = np.zeros(len(symbol), bool)
+            new[position] = True
+            new[np.maximum(position - 1, 0)] |= position > 0
+            symbol, word, pair, new = symbol[keep], word[keep], pair[keep], new[keep]
+            merged = np.flatnonzero(new)
+            new[np.maximum(merged - 1, 0)] |= merged > 0        # the symbol before may have gone
+            again = np.flatnonzero(new)
+            pair[again] = -1
+            again = again[again + 1 < len(word)]
+            again = again[word[again] == word[again + 1]]
+            pair[again] = self.pair_index(symbol[again], symbol[again + 1])
         symbol, word = np.concatenate(done_symbol), np.concatenate(done_word)
         order = np.argsort(word, kind="stable")
         return symbol[order], np.bincount(word, minlength=len(words))
 
+    def pair_index(self, left, right):
+        """Place of each pair among the sorted pair keys, -1 if it is none of them."""
+        key = (left << 32) | right
+        at = np.minimum(np.searchsorted(self.keys, key), len(self.keys) - 1)
+        return np.where(self.keys[at] == key, at, -1)
+
     def decode(self, ids, lengths):
         """Texts of documents given as flat ids and ids per document."""
         size = self.bytes_length[ids]
@@ -178,6 +197,35 @@ class PreTokens:
             self.library = Tokenizer.from_file(self.tables.path).pre_tokenizer
         return [chunk[a:b] for _, (a, b) in self.library.pre_tokenize_str(chunk)]
 
+    def learn(self, chunks):
+        """Store the pre-tokens of new chunks.  Chunks that open with a space are
+        split together: no pre-token crosses such a cut, so their ends are found
+        by counting characters."""
+        if not chunks:
+            return
+        plain = np.array([c[0] == " " and len(c) > 1 and c not in self.marks for c in chunks])
+        joined = [c for c, p in zip(chunks, plain.tolist()) if p]
+        text = "".join(joined)
+        if self.disputed.search(text):
+            plain[:] = False
+            joined, text = [], ""
+        tokens = self.pattern.findall(text)
+        number, counts = self.word.__getitem__, np.zeros(len(chunks), np.int64)
+        together = np.fromiter(map(number, tokens), np.int64, len(tokens))
+        if self.tables.by_words:        # white space is no token: count by the tokens' own places
+            starts = np.fromiter((m.start() for m in self.pattern.finditer(text)), np.int64, len(tokens))
+        else:
+            starts = np.cumsum(np.fromiter(map(len, tokens), np.int64, len(tokens))) - np.fromiter(map(len, tokens), np.int64, len(tokens))
+        ends = np.cumsum(np.fromiter(map(len, joined), np.int64, len(joined)))
+        counts[plain] = np.diff(np.searchsorted(starts, ends), prepend=0)
+        single = [[number(w) for w in self.split(c)] for c, p in zip(chunks, plain.tolist()) if not p]
+        counts[~plain] = [len(x) for x in single]
+        flat = np.empty(int(counts.sum()), np.int64)
+        of = np.repeat(plain, counts)
+        flat[of] = together
+        flat[~of] = [w for x in single for w in x]
+        self.store.append(flat, counts)
+
     def normalize(self, text):
         """Composed and lower-cased, character by character, as the word vocabulary's
         file asks; its white-space rule is implied by the splitting."""
@@ -210,12 +258,7 @@ class PreTokens:
             own = self.chunk_numbers(text) if text else []
             numbers.extend(own)
             counts.append(len(own))
-        flat, lengths, number = [], [], self.word.__getitem__
-        for chunk in self.chunks[self.store.n:]:
-            own = self.split(chunk)
-            flat.extend(map(number, own))
-            lengths.append(len(own))
-        self.store.append(flat, lengths)
+        self.learn(self.chunks[self.store.n:])
         codes, sizes = self.store.gather(np.array(numbers, np.int64))
         return codes, segment_sums(sizes, np.array(counts, np.int64))
 
