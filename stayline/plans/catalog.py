@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..config import STAYS
-from ..functions.scalar import col, inverse_log_target, log_target
+from ..functions.scalar import clip_nonneg, col, inverse_log_target, log_target
 from ..operators import metrics as M
 from ..operators.clean import clean_and_impute, drop_listed, extract_frailty
 from ..operators.outliers import fit_fences, split_outliers, tag_outliers
@@ -108,12 +108,9 @@ def q_outlier_fork_counts(spark, sf):
     "FROM flagged"))
 def q_iqr_fork(spark, sf):
     """both sides of the fork (a NULL target is an inlier)."""
-    df = _clean(spark, sf).persist()
-    inl, out = split_outliers(df, CFG)
-    cols = [KEY, CFG.target]
+    inl, out = split_outliers(_clean(spark, sf), CFG)
     return (inl.select(KEY, F.lit("inlier").alias("branch"), CFG.target)
-            .unionByName(out.select(KEY, F.lit("outlier").alias("branch"), CFG.target))
-            .select(KEY, "branch", *cols[1:]))
+            .unionByName(out.select(KEY, F.lit("outlier").alias("branch"), CFG.target)))
 
 
 # ------------------------------------------------------------------ splits --
@@ -325,12 +322,8 @@ def _metric_sql(scale, a, p):
           " UNION ALL " + _metric_sql("log", "y_log", "p_log"))
 def q_regression_metrics(spark, sf):
     """RMSE, MAE, R² in days (unpacked) and on the log scale."""
-    pred = _prediction_frame(spark, sf).persist()
-    days = M.regression_metrics(M.regression_frame(pred, KEY, clip=True), "actual_los", "predicted_los")
-    logs = M.regression_metrics(M.regression_frame(pred, KEY, clip=True, unpack=False),
-                                "actual_los", "predicted_los")
-    return rounded(days.select(F.lit("days").alias("scale"), "*")
-                   .unionByName(logs.select(F.lit("log").alias("scale"), "*")))
+    pred = _prediction_frame(spark, sf).withColumn("prediction", clip_nonneg(F.col("prediction")))
+    return rounded(M.metrics_on_scales(pred, "label", {"days": ("prediction", True), "log": ("prediction", False)}))
 
 
 _CLS_SQL = O.prepared_base(("class",)) + f"""

@@ -152,15 +152,18 @@ def q_anomaly_counts(spark, sf):
 def q_flow_no_split(spark, sf):
     """Linear, lasso, ridge, random forest, boosted trees on the
     no-split family; metrics in days and on the log scale."""
-    prep = prepare(stays(spark, sf), CFG, ("nosplit",))
-    return rounded(flow_no_split(prep))
+    prep = prepare(stays(spark, sf), CFG, ("nosplit",), persist=True)
+    found = flow_no_split(prep)
+    prep.release()
+    return rounded(found)
 
 
 @register("flow_split")
 def q_flow_split(spark, sf):
     """Outlier classifier report + five regressors per IQR branch."""
-    prep = prepare(stays(spark, sf), CFG, ("class", "inlier", "outlier"))
+    prep = prepare(stays(spark, sf), CFG, ("class", "inlier", "outlier"), persist=True)
     cls, reg = flow_split(prep)
+    prep.release()
     a = cls.select("family", "model", F.col("class").alias("metric_group"),
                    F.col("precision").alias("v1"), F.col("recall").alias("v2"), F.col("f1").alias("v3"),
                    F.col("auc").alias("v4"))
@@ -177,7 +180,7 @@ from ..operators.tuning import FOLDS, GRIDS, grid_search  # noqa: E402
 
 def _tune_query(kind, family):
     def q(spark, sf):
-        prep = prepare(stays(spark, sf), CFG, (family,))
+        prep = prepare(stays(spark, sf), CFG, (family,), persist=True)
         train, test, _ = family_data(prep, family)
         found = grid_search(kind, train, test, KEY)
         prep.release()

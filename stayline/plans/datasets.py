@@ -100,16 +100,16 @@ def tag_families(df: DataFrame, cfg: RoleConfig, families=FAMILIES,
 
 
 def prepare(df: DataFrame, cfg: RoleConfig, families=FAMILIES, fences: Fences | None = None,
-            cleaned: bool = False, persist: bool = True) -> Prepared:
+            cleaned: bool = False, persist: bool = False) -> Prepared:
     """clean → impute → (fences) → tag families → split → fit on train →
     transform train and test.  ``df`` is the raw spell table unless
     ``cleaned``.
 
-    Jobs over the rows: fences (distinct check + quartiles), scalers
-    (distinct check + one aggregate), encoder (one aggregate); the output
-    plan is then a single pass.  With ``persist`` the cleaned rows (only the
-    columns that survive cleaning) are kept in memory/disk after the first
-    pass, so the source scan and its joins run once."""
+    Jobs over the rows: fences (quartiles), scalers (one aggregate and the
+    quartiles), encoder (one aggregate); the output plan is then a single pass.
+    With ``persist`` the cleaned rows (only the columns that survive cleaning)
+    are kept in memory/disk after the first pass, so the source scan and its
+    joins run once; the caller then calls ``release``."""
     base = df if cleaned else clean_and_impute(df, cfg)
     if persist:
         base = base.persist(StorageLevel.MEMORY_AND_DISK)
