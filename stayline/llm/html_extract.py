@@ -77,11 +77,6 @@ class Page(HTMLParser):
         if tag not in VOID:
             self.open.append(node)
 
-    def handle_startendtag(self, tag, attrs):
-        self.handle_starttag(tag, attrs)
-        if tag not in VOID and self.tag[self.open[-1]] == tag and tag in ("svg", "path"):
-            self.open.pop()
-
     def handle_endtag(self, tag):
         for k in range(len(self.open) - 1, 0, -1):
             if self.tag[self.open[k]] == tag:

@@ -37,67 +37,75 @@ CHUNK_DOCS, CHUNK_BYTES = 16384, 64_000_000     # a chunk ends at either
 ROWS = 50_000                                   # dictionary rows per Arrow batch
 
 
+class Chunk:
+    """Frequencies of some documents over one numbering of pre-tokens."""
+
+    NAMES = ("chunk", "code", "pretoken", "doc_ids", "n_bytes", "n_distinct", "codes", "times")
+
+    def __init__(self, number, words):
+        self.number, self.words = number, words
+        self.ids, self.sizes, self.keys, self.times, self.docs, self.bytes = [], [], [], [], 0, 0
+
+    def add(self, ids, texts, codes, counts):
+        """Documents with their pre-token numbers, ``counts`` of them each."""
+        owner = np.repeat(np.arange(len(texts), dtype=np.int64) + self.docs, counts)
+        key, times = np.unique((owner << 32) | codes, return_counts=True)     # by document, then number
+        self.keys.append(key)
+        self.times.append(times)
+        self.ids.append(ids)
+        self.sizes.append(pc.fill_null(pc.binary_length(texts), 0).cast(pa.int64()))
+        self.docs += len(texts)
+        self.bytes += texts.nbytes
+
+    def is_full(self, more):
+        return self.docs > 0 and (self.docs + more > CHUNK_DOCS or self.bytes > CHUNK_BYTES)
+
+    def batch(self, *columns):
+        return pa.RecordBatch.from_arrays([pa.array([self.number] * len(columns[0]), pa.int64()), *columns], self.NAMES)
+
+    def batches(self):
+        """The distinct pre-tokens, then the row of frequency lists."""
+        if not self.docs:
+            return
+        key, times = np.concatenate(self.keys), np.concatenate(self.times)
+        used, code = np.unique(key & 0xFFFFFFFF, return_inverse=True)
+        ids = pa.concat_arrays(self.ids)
+        for a in range(0, len(used), ROWS):
+            words = [self.words[i] for i in used[a:a + ROWS].tolist()]
+            none = [pa.nulls(len(words), t) for t in (pa.list_(ids.type), pa.list_(pa.int64()), pa.list_(pa.int32()), pa.binary(), pa.binary())]
+            yield self.batch(pa.array(range(a, a + len(words)), pa.int32()), pa.array(words, pa.string()), *none)
+        owner = key >> 32
+        steps, opens = np.diff(code, prepend=0), np.flatnonzero(np.diff(owner, prepend=-1))
+        steps[opens] = code[opens]          # codes of a document as differences
+        distinct = pa.array(np.bincount(owner, minlength=self.docs), pa.int32())
+        whole = lambda x: pa.ListArray.from_arrays(pa.array([0, len(x)], pa.int32()), x)
+        yield self.batch(pa.array([-1], pa.int32()), pa.array([None], pa.string()), whole(ids), whole(pa.concat_arrays(self.sizes)),
+                         whole(distinct), pa.array([packed(steps)]), pa.array([packed(times)]))
+
+
 def frequencies(docs: DataFrame, path: str) -> DataFrame:
     """Rows of two kinds for each chunk: its distinct pre-tokens (code >= 0),
     and one row (code -1) with ids, bytes and frequency lists of its documents."""
-    kind = docs.schema["doc_id"].dataType
-    schema = T.StructType([
-        T.StructField("chunk", T.LongType()), T.StructField("code", T.IntegerType()),
-        T.StructField("pretoken", T.StringType()), T.StructField("doc_ids", T.ArrayType(kind)),
-        T.StructField("n_bytes", T.ArrayType(T.LongType())), T.StructField("n_distinct", T.ArrayType(T.IntegerType())),
-        T.StructField("codes", T.BinaryType()), T.StructField("times", T.BinaryType())])
+    kinds = (T.LongType(), T.IntegerType(), T.StringType(), T.ArrayType(docs.schema["doc_id"].dataType), T.ArrayType(T.LongType()),
+             T.ArrayType(T.IntegerType()), T.BinaryType(), T.BinaryType())
+    schema = T.StructType([T.StructField(n, k) for n, k in zip(Chunk.NAMES, kinds)])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        split, serial = PreTokens(Tables(path)), TaskContext.get().partitionId() << 32
-        ids, sizes, keys, times, docs_held, bytes_held, words = [], [], [], [], 0, 0, None
-
-        def rows(names):
-            n = len(names[0])
-            full = {"chunk": pa.array([serial] * n, pa.int64())} | dict(zip(("code", "pretoken", "doc_ids", "n_bytes", "n_distinct", "codes", "times"), names))
-            return pa.RecordBatch.from_pydict(full)
-
-        def chunk():
-            key, many = np.concatenate(keys), np.concatenate(times)        # by document, then code
-            used, local = np.unique(key & 0xFFFFFFFF, return_inverse=True)
-            doc_ids = pa.concat_arrays(ids)
-            for a in range(0, len(used), ROWS):
-                part = used[a:a + ROWS].tolist()
-                none = [pa.nulls(len(part), t) for t in (pa.list_(doc_ids.type), pa.list_(pa.int64()), pa.list_(pa.int32()), pa.binary(), pa.binary())]
-                yield rows([pa.array(range(a, a + len(part)), pa.int32()), pa.array([words[i] for i in part], pa.string()), *none])
-            whole = lambda x: pa.ListArray.from_arrays(pa.array([0, len(x)], pa.int32()), x)
-            owner = key >> 32
-            distinct = np.bincount(owner, minlength=docs_held)
-            steps = np.diff(local, prepend=0)
-            opens = np.flatnonzero(np.diff(owner, prepend=-1))
-            steps[opens] = local[opens]
-            yield rows([pa.array([-1], pa.int32()), pa.array([None], pa.string()), whole(doc_ids), whole(pa.concat_arrays(sizes)),
-                        whole(pa.array(distinct, pa.int32())), pa.array([packed(steps)]), pa.array([packed(many)])])
-
+        split = PreTokens(Tables(path))
+        chunk = Chunk(TaskContext.get().partitionId() << 32, split.words)
         for batch in batches:
             at = 0
             for texts in text_slices(batch.column(1)):
                 for a in range(0, len(texts), CHUNK_DOCS):
                     some = texts.slice(a, CHUNK_DOCS)
-                    if docs_held and (docs_held + len(some) > CHUNK_DOCS or bytes_held > CHUNK_BYTES):
-                        yield from chunk()
-                        serial += 1
-                        ids, sizes, keys, times, docs_held, bytes_held = [], [], [], [], 0, 0
                     codes, counts = split.codes(some.to_pylist())
-                    if words is not split.words:            # a new numbering: close the chunk of the old one
-                        if docs_held:
-                            yield from chunk()
-                            serial += 1
-                            ids, sizes, keys, times, docs_held, bytes_held = [], [], [], [], 0, 0
-                        words = split.words
-                    owner = np.repeat(np.arange(len(some), dtype=np.int64) + docs_held, counts)
-                    key, many = np.unique((owner << 32) | codes, return_counts=True)
-                    size = pc.fill_null(pc.binary_length(some), 0).cast(pa.int64())
-                    keys.append(key), times.append(many), sizes.append(size), ids.append(batch.column(0).slice(at, len(some)))
-                    docs_held += len(some)
-                    bytes_held += some.nbytes
+                    # a chunk ends when it is full or the splitter began a new numbering
+                    if chunk.words is not split.words or chunk.is_full(len(some)):
+                        yield from chunk.batches()
+                        chunk = Chunk(chunk.number + 1, split.words)
+                    chunk.add(batch.column(0).slice(at, len(some)), some, codes, counts)
                     at += len(some)
-        if docs_held:
-            yield from chunk()
+        yield from chunk.batches()
 
     return docs.mapInArrow(run, schema)
 
