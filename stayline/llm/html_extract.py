@@ -41,6 +41,7 @@ CUT_WORDS = frozenset("""
     notice notices cookie cookies consent gdpr popup modal overlay alert newsletter subscribe subscription signup login paywall
     comment comments commentlist disqus replies respond share sharing social search pagination pager skip complementary contentinfo
 """.split())
+IN_HEAD = frozenset("base link meta noscript script style template title".split())
 CLOSES_P = frozenset("address article aside blockquote details div dl fieldset figure footer form h1 h2 h3 h4 h5 h6 header hr main nav ol p pre section table ul".split())
 #: An opening tag of the key closes an open element of the values, up to a container.
 IMPLIED = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"},
@@ -61,6 +62,9 @@ class Page(HTMLParser):
         self.open = [0]
 
     def handle_starttag(self, tag, attrs):
+        # anything that cannot stand in a head ends it
+        if tag not in IN_HEAD and len(self.open) > 1 and self.tag[self.open[1]] == "head":
+            del self.open[1:]
         if tag in ("html", "body"):
             return
         if tag in CLOSES_P:

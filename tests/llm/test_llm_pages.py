@@ -44,6 +44,8 @@ def test_named_parts_are_cut():
 def test_odd_pages():
     assert [html_extract.extract(x) for x in (None, "", "   ", "<p>", "plain &lt; text &amp", "<article>&quot;x&quot; &am")] == ["", "", "", "", "plain < text &", '"x" &am']
     assert html_extract.extract("<div>" * 20_000 + "deep") == "deep"
+    assert html_extract.extract("<head><title>t</title><meta x><p>no end of head<br/>here") == "no end of head here"
+    assert html_extract.extract("<head><style>x</style><body>text") == "text"
     assert html_extract.extract("<p>a</div></p></b>" * 2_000).split() == ["a"] * 2_000
 
 
