@@ -221,3 +221,32 @@ SELECT '{kind}' AS model, alpha, (round(-avg(rmse), 4) + 0.0) AS cv_score FROM r
 
 for _kind in ("ridge", "lasso"):
     register(f"tune_{_kind}_one_feature", _tune_one_sql(_kind))(_tune_one(_kind))
+
+
+# ----------------------------------------------- one boosting round in SQL --
+
+def _one_stump(kind):
+    def q(spark, sf):
+        prep = prepare(stays(spark, sf), CFG, ("nosplit",))
+        known = F.col(ONE_FEATURE).isNotNull()
+        rows = {s: assemble(prep.family("nosplit", s).where(known), CFG, CFG.target, features=[ONE_FEATURE], null_policy="skip")[0] for s in ("train", "test")}
+        model = fit(ModelSpec(kind, {"n_estimators": 1, "max_depth": 1}), rows["train"])
+        return rounded(model.predict(rows["test"], KEY).select(KEY, "prediction"), 5)
+    q.__doc__ = f"One round of '{kind}' at depth 1 on one feature: the best split and both leaves, checked in SQL."
+    return q
+
+
+_STUMP_SQL = _ONE_SQL + """
+, v AS (SELECT x, count(*) AS n, sum(y) AS sy FROM d GROUP BY x)
+, c AS (SELECT x, sum(n) OVER w AS ln, sum(sy) OVER w AS ls, sum(n) OVER () AS tn, sum(sy) OVER () AS ts,
+               row_number() OVER (ORDER BY x DESC) AS above FROM v WINDOW w AS (ORDER BY x))
+, b AS (SELECT *, ts / tn AS mu, ls - ts / tn * ln AS gl, (ts - ls) - ts / tn * (tn - ln) AS gr FROM c WHERE above > 1)
+, best AS (SELECT * FROM b ORDER BY gl * gl / ln + gr * gr / (tn - ln) DESC, x LIMIT 1)
+"""
+_LEAVES = {
+    "xgboost": ("ls / ln", "(ts - ls) / (tn - ln)"),
+    "xgboost_poisson": tuple(f"mu * exp(0.3 * greatest(-0.7, least(0.7, {g} / (mu * {n} + 1))))" for g, n in (("gl", "ln"), ("gr", "(tn - ln)"))),
+}
+for _kind, (_left, _right) in _LEAVES.items():
+    register(f"{_kind}_one_stump", _STUMP_SQL + f"""SELECT p.spell_id, {_r5(f'CASE WHEN p.{ONE_FEATURE} <= best.x THEN {_left} ELSE {_right} END')} AS prediction
+FROM prepared p, best WHERE p.split = 'test' AND p.{ONE_FEATURE} IS NOT NULL AND p.spell_episode_los IS NOT NULL""")(_one_stump(_kind))
