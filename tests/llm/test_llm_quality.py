@@ -53,3 +53,10 @@ def test_plan_is_native(spark, capsys):
     quality.judged(edge_docs(spark)).explain()
     plan = capsys.readouterr().out
     assert not re.search("Python|Arrow|Pandas", plan)
+
+
+def test_filter_stays_above_the_measures(spark, capsys):
+    """Below them, the words would be split anew for every word of a text."""
+    quality.keep_good(edge_docs(spark)).explain()
+    plan = capsys.readouterr().out
+    assert plan.index("Filter") < plan.index("Generate explode") < plan.rindex("split(")
