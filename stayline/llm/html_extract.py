@@ -4,10 +4,12 @@ A page becomes a light DOM.  Every node gets its characters per tag, adjusted
 by how much of them is link text, relative to the body's link share
 (composite text density).  Each container is scored by the sum of its
 children's densities.  Starting from the container with the largest sum, the
-threshold is the least density on its path to the body; the selection climbs
-that path while the parent's other children reach the threshold, and never
-leaves the nearest article or main element.  Subtrees that markup itself names
-as menus, headers, footers, sidebars, notices, adverts, forms, comments,
+threshold is the least density on its path to the body.  The outermost article
+or main element on that path bounds the selection: up to it all is taken but
+blocks beside the path that miss the threshold and are mostly links (headings
+stay), and by the same rule articles beside it are further parts of the text.
+Without such an element the selection climbs the path while the parent's other
+children reach the threshold.  Subtrees that markup itself names as menus, headers, footers, sidebars, notices, adverts, forms, comments,
 scripts or styles are cut before anything is counted; if that leaves no text,
 class and id names are not believed.
 
@@ -49,6 +51,7 @@ IMPLIED = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "t
 SCOPES = frozenset("ul ol dl table select body article section div main td th".split())
 WORD = re.compile(r"[a-z0-9]+")
 HEADER_IN = frozenset(("article", "main", "section"))
+HEADINGS = frozenset("h1 h2 h3 h4 h5 h6 header hgroup".split())
 
 
 class Page(HTMLParser):
@@ -125,7 +128,7 @@ def parsed(html, by_name=True):
 
 
 def densities(page):
-    """(composite density, density sum, characters) per node."""
+    """(composite density, density sum, characters, characters in links) per node."""
     n = len(page.tag)
     chars, link_chars, tags, link_tags = ([0] * n for _ in range(4))
     in_link = [False] * n
@@ -155,12 +158,21 @@ def densities(page):
             density[i] = c / max(tags[i], 1) * math.log(max(quotient, 1.0)) / base
         if i:
             total[page.parent[i]] += density[i]
-    return density, total, chars
+    return density, total, chars, link_chars
+
+
+def holders(page, tag):
+    """Per node: does an uncut element of the tag lie in it."""
+    holds = [False] * len(page.tag)
+    for i in range(len(page.tag) - 1, 0, -1):
+        if not page.cut[i] and (holds[i] or page.tag[i] == tag):
+            holds[page.parent[i]] = True
+    return holds
 
 
 def chosen(page):
-    """Root of the subtree that holds the main text."""
-    density, total, chars = densities(page)
+    """Roots of the subtrees that hold the main text, and the nodes left out below them."""
+    density, total, chars, link_chars = densities(page)
     container = [False] * len(page.tag)
     for i in range(1, len(page.tag)):
         if page.tag[i] not in INLINE and page.tag[i] not in VOID and not page.cut[i]:
@@ -169,21 +181,28 @@ def chosen(page):
     path = [best]
     while page.parent[path[-1]] >= 0:
         path.append(page.parent[path[-1]])
-    for node in path:
-        if page.tag[node] in ("article", "main"):
-            return node
     threshold = min(density[i] for i in path)
     children = {}
     for i in range(1, len(page.tag)):
         if not page.cut[i] and chars[i]:
             children.setdefault(page.parent[i], []).append(i)
-    for below, node in zip(path, path[1:]):
-        beside = [i for i in children.get(node, []) if i != below]
-        if not beside or min(density[i] for i in beside) >= threshold:
-            best = node
-        else:
-            break
-    return best
+    top = max((k for k, node in enumerate(path) if page.tag[node] in ("article", "main")), default=None)
+    if top is None:
+        for below, node in zip(path, path[1:]):
+            beside = [i for i in children.get(node, []) if i != below]
+            if not beside or min(density[i] for i in beside) >= threshold:
+                best = node
+            else:
+                break
+        return {best}, set()
+    titled = holders(page, "h1")
+
+    def menu_like(i):
+        return page.tag[i] not in INLINE and page.tag[i] not in HEADINGS and not titled[i] and density[i] < threshold and 2 * link_chars[i] > chars[i]
+
+    left_out = {i for below, node in zip(path[:top], path[1:top + 1]) for i in children.get(node, []) if i != below and menu_like(i)}
+    parts = [i for i in children.get(page.parent[path[top]], []) if page.tag[i] == "article" and not menu_like(i)]
+    return {path[top], *parts}, left_out
 
 
 def extract(html):
@@ -194,11 +213,10 @@ def extract(html):
 
 
 def main_part(page):
-    root = chosen(page)
+    roots, left_out = chosen(page)
     inside = [False] * len(page.tag)
-    inside[root] = True
-    for i in range(root + 1, len(page.tag)):
-        inside[i] = inside[page.parent[i]]
+    for i in range(len(page.tag)):
+        inside[i] = i in roots or i > 0 and inside[page.parent[i]] and i not in left_out
     parts = [" " if text is None else text for node, text in page.texts if inside[node] and not page.cut[node]]
     return " ".join("".join(parts).split())
 

@@ -41,6 +41,23 @@ def test_named_parts_are_cut():
     assert html_extract.extract(page) == "Title First boldtext line Second"
 
 
+def test_nested_and_sibling_articles():
+    long = "A paragraph of real sentences about the river and the town. " * 4
+    card = "An embedded card with its own short story. " * 3
+    nested = f"<body><article><h1>Title</h1><p>{card}</p><article><p>{long}</p><p>{long}</p></article><p>The end.</p></article></body>"
+    assert html_extract.extract(nested) == " ".join(f"Title {card} {long} {long} The end.".split())
+    for outer in ("main", "body", "div"):
+        parts = f"<{outer}><article><h2>One</h2><p>{long}</p><p>{long}</p></article><article><p>{card}</p></article></{outer}>"
+        assert html_extract.extract(parts) == " ".join(f"One {long} {long} {card}".split())
+
+
+def test_selection_inside_an_article():
+    long = "A paragraph of real sentences about the river and the town. " * 4
+    page = f"""<main><h1><a href=0>Title</a></h1><p>By us</p><div><p>{long}</p><p>{long}</p><p>{long}<a href=x>a</a></p></div>
+      <div><a href=1>More one</a><br><a href=2>More two</a></div><p>Note</p></main>"""
+    assert html_extract.extract(page) == " ".join(f"Title By us {long} {long} {long}a Note".split())
+
+
 def test_odd_pages():
     assert [html_extract.extract(x) for x in (None, "", "   ", "<p>", "plain &lt; text &amp", "<article>&quot;x&quot; &am")] == ["", "", "", "", "plain < text &", '"x" &am']
     assert html_extract.extract("<div>" * 20_000 + "deep") == "deep"
