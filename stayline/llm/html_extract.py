@@ -9,9 +9,18 @@ or main element on that path bounds the selection: up to it all is taken but
 blocks beside the path that miss the threshold and are mostly links (headings
 stay), and by the same rule articles beside it are further parts of the text.
 Without such an element the selection climbs the path while the parent's other
-children reach the threshold.  Subtrees that markup itself names as menus, headers, footers, sidebars, notices, adverts, forms, comments,
-scripts or styles are cut before anything is counted; if that leaves no text,
-class and id names are not believed.
+children reach the threshold.  Subtrees that markup itself names as menus,
+headers, footers, sidebars, notices, adverts, forms, comments, scripts or
+styles are cut before anything is counted.
+
+Elements name them for certain; a class, id or role only lowers a node's
+standing.  It is believed if the node is mostly links, or if the whole name
+says so and the node is short or a small share of the page, and never if the
+node holds an article, a main element, an h1 or the container of the largest
+density sum.  Paragraphs and names that only contain such a word
+("has-sidebar", "related-work") have to be mostly links.  Adverts, comments
+and the like beside an article or main element with text are cut at any size.
+If all this leaves no text, class and id names are not believed.
 
 Defined cases: a null or empty page and a page without text give the empty
 string; unclosed and stray tags are repaired as browsers do in simple cases;
@@ -43,6 +52,20 @@ CUT_WORDS = frozenset("""
     notice notices cookie cookies consent gdpr popup modal overlay alert newsletter subscribe subscription signup login paywall
     comment comments commentlist disqus replies respond share sharing social search pagination pager skip complementary contentinfo
 """.split())
+#: Those that also are topics of a text or parts of a layout.
+TOPICS = frozenset("""
+    promotion nav navigation menu header footer foot copyright aside rail related recommended recommendations trending popular
+    notice notices alert subscription share sharing social search skip banner banners overlay replies respond
+""".split())
+#: Words that may stand beside them in a name.
+NEUTRAL = frozenset("""
+    area bar bars block body bottom box button buttons container content global group icons inner item items left link links list main module
+    outer page panel post posts primary right row secondary section site slot stories top unit wrap wrapper
+""".split())
+#: Standing of a named node: cut if mostly links; also if short or a small share; also if a larger share.
+LINKS, SMALL, LARGE = 1, 2, 3
+SHORT, SHARE = 100, {LINKS: 0.0, SMALL: 0.05, LARGE: 0.25}
+PARAGRAPHS = frozenset("p h1 h2 h3 h4 h5 h6 blockquote pre figcaption dt".split())
 IN_HEAD = frozenset("base link meta noscript script style template title".split())
 CLOSES_P = frozenset("address article aside blockquote details div dl fieldset figure footer form h1 h2 h3 h4 h5 h6 header hr main nav ol p pre section table ul".split())
 #: An opening tag of the key closes an open element of the values, up to a container.
@@ -61,6 +84,7 @@ class Page(HTMLParser):
         super().__init__(convert_charrefs=True)
         self.by_name = by_name
         self.tag, self.parent, self.cut = ["body"], [-1], [False]
+        self.named = {}         # node: standing, of those with a name
         self.texts = []         # (node, text) in page order; None marks a line break
         self.open = [0]
 
@@ -78,7 +102,11 @@ class Page(HTMLParser):
         up = self.open[-1]
         self.tag.append(tag)
         self.parent.append(up)
-        self.cut.append(self.cut[up] or self.named_out(tag, attrs))
+        self.cut.append(self.cut[up] or self.marked_out(tag, attrs))
+        if self.by_name and not self.cut[node]:
+            standing = self.standing(tag, attrs)
+            if standing:
+                self.named[node] = standing
         if tag not in INLINE:
             self.texts.append((node, None))
         if tag not in VOID:
@@ -105,25 +133,43 @@ class Page(HTMLParser):
             if tag in SCOPES:
                 return
 
-    def named_out(self, tag, attrs):
+    def marked_out(self, tag, attrs):
         if tag in CUT:
             return True
         if tag == "header" and not any(self.tag[n] in HEADER_IN for n in self.open):
             return True
-        # the outermost article, main and headings are never cut for a class name
-        named = self.by_name and tag not in ("main", "h1", "h2", "h3") and (tag != "article" or any(self.tag[n] == "article" for n in self.open))
+        return any(k == "hidden" or k == "aria-hidden" and v == "true" or k == "style" and v and "display:none" in v.replace(" ", "") for k, v in attrs)
+
+    def standing(self, tag, attrs):
+        # the outermost article, main and headings are never cut for a class name, nor are words of a sentence
+        if tag in ("main", "h1", "h2", "h3") or tag == "article" and not any(self.tag[n] == "article" for n in self.open):
+            return 0
+        if tag in INLINE and self.tag[self.open[-1]] in PARAGRAPHS:
+            return 0
+        found = 0
         for k, v in attrs:
-            if k == "hidden" or k == "aria-hidden" and v == "true" or k == "style" and v and "display:none" in v.replace(" ", ""):
-                return True
-            if named and k in ("class", "id", "role") and v and not CUT_WORDS.isdisjoint(WORD.findall(v.lower())):
-                return True
-        return False
+            if k in ("class", "id", "role") and v:
+                for name in v.lower().split():
+                    words = WORD.findall(name)
+                    if not CUT_WORDS.isdisjoint(words):
+                        found = max(found, self.of_name(tag, k, words))
+        return found
+
+    @staticmethod
+    def of_name(tag, key, words):
+        if tag in PARAGRAPHS or not all(w in CUT_WORDS or w in NEUTRAL or w.isdigit() for w in words):
+            return LINKS
+        sure = key == "role" or any(w in CUT_WORDS and w not in TOPICS for w in words)
+        # the id of a section may be made from its heading
+        return (LARGE if sure else SMALL) - (key == "id" and tag == "section")
 
 
 def parsed(html, by_name=True):
     page = Page(by_name)
     page.feed(html)
     HTMLParser.close(page)
+    if page.named:
+        cut_named(page)
     return page
 
 
@@ -161,23 +207,53 @@ def densities(page):
     return density, total, chars, link_chars
 
 
-def holders(page, tag):
-    """Per node: does an uncut element of the tag lie in it."""
+def holders(page, nodes):
+    """Per node: does one of the nodes lie in it."""
     holds = [False] * len(page.tag)
     for i in range(len(page.tag) - 1, 0, -1):
-        if not page.cut[i] and (holds[i] or page.tag[i] == tag):
+        if holds[i] or i in nodes:
             holds[page.parent[i]] = True
     return holds
 
 
-def chosen(page):
-    """Roots of the subtrees that hold the main text, and the nodes left out below them."""
-    density, total, chars, link_chars = densities(page)
+def best_container(page, total):
+    """The container of the largest density sum."""
     container = [False] * len(page.tag)
     for i in range(1, len(page.tag)):
         if page.tag[i] not in INLINE and page.tag[i] not in VOID and not page.cut[i]:
             container[page.parent[i]] = True
-    best = max((i for i in range(len(page.tag)) if container[i] and not page.cut[i]), key=lambda i: (total[i], -i), default=0)
+    return max((i for i in range(len(page.tag)) if container[i] and not page.cut[i]), key=lambda i: (total[i], -i), default=0)
+
+
+def cut_named(page):
+    """Cut the named nodes whose names are believed."""
+    density, total, chars, link_chars = densities(page)
+    n = len(page.tag)
+    inside = {tag: [False] * n for tag in ("article", "main")}
+    for tag, within in inside.items():
+        for i in range(1, n):
+            within[i] = page.tag[i] == tag or within[page.parent[i]]
+    outer = {tag: [i for i in range(1, n) if page.tag[i] == tag and not page.cut[i] and not within[page.parent[i]]] for tag, within in inside.items()}
+    holds = holders(page, {*outer["article"], *outer["main"], *(i for i in range(1, n) if page.tag[i] == "h1" and not page.cut[i])})
+    best = best_container(page, total)
+    around = holders(page, {best})
+    around[best] = True
+    text_in = next((inside[tag] for tag in ("article", "main") if sum(chars[i] for i in outer[tag]) > SHORT), None)
+    for i, standing in page.named.items():
+        if holds[i]:
+            continue
+        if standing == LARGE and text_in and not text_in[i]:
+            page.cut[i] = True
+        elif not around[i]:
+            page.cut[i] = 2 * link_chars[i] > chars[i] or standing > LINKS and (chars[i] <= SHORT or chars[i] <= SHARE[standing] * chars[0])
+    for i in range(1, n):
+        page.cut[i] = page.cut[i] or page.cut[page.parent[i]]
+
+
+def chosen(page):
+    """Roots of the subtrees that hold the main text, and the nodes left out below them."""
+    density, total, chars, link_chars = densities(page)
+    best = best_container(page, total)
     path = [best]
     while page.parent[path[-1]] >= 0:
         path.append(page.parent[path[-1]])
@@ -195,7 +271,7 @@ def chosen(page):
             else:
                 break
         return {best}, set()
-    titled = holders(page, "h1")
+    titled = holders(page, {i for i, tag in enumerate(page.tag) if tag == "h1" and not page.cut[i]})
 
     def menu_like(i):
         return page.tag[i] not in INLINE and page.tag[i] not in HEADINGS and not titled[i] and density[i] < threshold and 2 * link_chars[i] > chars[i]

@@ -58,6 +58,23 @@ def test_selection_inside_an_article():
     assert html_extract.extract(page) == " ".join(f"Title By us {long} {long} {long}a Note".split())
 
 
+def test_names_lower_a_standing_only():
+    long = "A paragraph of real sentences about the river and the town. " * 4
+    story = f"<p>{long}</p><p>{long}</p>"
+    text = " ".join(f"{long} {long}".split())
+    for name in ("layout has-sidebar", "no-header", "ad-free", "no-comments", "sidebar", "comments"):
+        assert html_extract.extract(f"<body><a href=#c>Skip to content</a><div id=page class='{name}'>{story}</div></body>") == text
+    real = "".join(f"<{tag}>Real words of this part.</{tag.split()[0]}>" for tag in (
+        "section id='related-work'", "section id=search", "section id=navigation", "section id=copyright", "p class=notice", "div class='share-price'", "h4 id=social"))
+    noise = f"""<div class="sidebar"><p>{long}</p></div><section class="related-posts"><a href=1>{long}</a></section><div class="ad-slot">Buy</div>"""
+    got = html_extract.extract(f"<main><article><h1>T</h1>{story * 4}{real}</article>{noise}</main>")
+    assert got == " ".join(["T", *[text] * 4, *["Real words of this part."] * 7])
+    reader = f"<div id=comments>{story * 5}</div>"
+    assert html_extract.extract(f"<main><article>{story}</article>{reader}</main>") == text
+    assert html_extract.extract(f"<article>{story}</article>{reader}") == text
+    assert html_extract.extract("<p class=x>See <a class=popular href=1>this</a> <span class=search>word</span>") == "See this word"
+
+
 def test_odd_pages():
     assert [html_extract.extract(x) for x in (None, "", "   ", "<p>", "plain &lt; text &amp", "<article>&quot;x&quot; &am")] == ["", "", "", "", "plain < text &", '"x" &am']
     assert html_extract.extract("<div>" * 20_000 + "deep") == "deep"
