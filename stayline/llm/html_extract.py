@@ -10,17 +10,18 @@ blocks beside the path that miss the threshold and are mostly links (headings
 stay), and by the same rule articles beside it are further parts of the text.
 Without such an element the selection climbs the path while the parent's other
 children reach the threshold.  Subtrees that markup itself names as menus,
-headers, footers, sidebars, notices, adverts, forms, comments, scripts or
-styles are cut before anything is counted.
+headers, footers, sidebars, notices, adverts, form controls, comments, scripts
+or styles are cut before anything is counted.
 
 Elements name them for certain; a class, id or role only lowers a node's
 standing.  It is believed if the node is mostly links, or if the whole name
 says so and the node is short or a small share of the page, and never if the
 node holds an article, a main element, an h1 or the container of the largest
 density sum.  Paragraphs and names that only contain such a word
-("has-sidebar", "related-work") have to be mostly links.  Adverts, comments
+("has-sidebar", "related-work") have to be mostly links.  A form, without its
+controls and labels, has the standing of a named node.  Adverts, comments
 and the like beside an article or main element with text are cut at any size.
-If all this leaves no text, class and id names are not believed.
+If all this leaves no text, neither names nor forms are cut.
 
 Defined cases: a null or empty page and a page without text give the empty
 string; unclosed and stray tags are repaired as browsers do in simple cases;
@@ -43,7 +44,9 @@ from .batches import text_slices
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 INLINE = frozenset("a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd label mark q s samp small span strike strong sub sup time tt u var wbr".split())
 #: Elements that hold no main text.
-CUT = frozenset("head script style noscript template iframe object svg canvas nav aside footer form button select option textarea input dialog menu audio video map".split())
+CUT = frozenset("head script style noscript template iframe object svg canvas nav aside footer button select option textarea input dialog menu audio video map".split())
+#: Parts of a form that are cut besides its controls.
+FORM_PARTS = frozenset("label legend datalist output meter progress".split())
 #: Words of class, id and role that name such parts.
 CUT_WORDS = frozenset("""
     ad ads advert adverts advertisement advertising adsense banner banners sponsor sponsored promo promotion promoted
@@ -104,7 +107,8 @@ class Page(HTMLParser):
         self.parent.append(up)
         self.cut.append(self.cut[up] or self.marked_out(tag, attrs))
         if self.by_name and not self.cut[node]:
-            standing = self.standing(tag, attrs)
+            # a form may hold the whole page
+            standing = max(self.standing(tag, attrs), SMALL * (tag == "form"))
             if standing:
                 self.named[node] = standing
         if tag not in INLINE:
@@ -136,6 +140,8 @@ class Page(HTMLParser):
     def marked_out(self, tag, attrs):
         if tag in CUT:
             return True
+        if tag in FORM_PARTS and any(self.tag[n] == "form" for n in self.open):
+            return True
         if tag == "header" and not any(self.tag[n] in HEADER_IN for n in self.open):
             return True
         return any(k == "hidden" or k == "aria-hidden" and v == "true" or k == "style" and v and "display:none" in v.replace(" ", "") for k, v in attrs)

@@ -75,6 +75,17 @@ def test_names_lower_a_standing_only():
     assert html_extract.extract("<p class=x>See <a class=popular href=1>this</a> <span class=search>word</span>") == "See this word"
 
 
+def test_page_inside_a_form():
+    long = "A paragraph of real sentences about the river and the town. " * 4
+    text = " ".join(f"{long} {long}".split())
+    controls = "<label>Name <input></label><select><option>x</select><button>Go</button><textarea>y</textarea>"
+    for body in (f"<article><p>{long}</p><p>{long}</p></article>", f"<p>{long}</p><p>{long}</p>"):
+        assert html_extract.extract(f"<body><form id=aspnetForm>{controls}{body}</form></body>") == text
+        assert html_extract.extract(f"<body><a href=#c>Skip</a><form id=search>{controls}<div>{body}</div></form></body>") == text
+        assert html_extract.extract(f"<body><main>{body}<form>Write to us {controls}</form></main></body>") == text
+    assert html_extract.extract(f"<form>{controls}A short page.</form>") == "A short page."
+
+
 def test_odd_pages():
     assert [html_extract.extract(x) for x in (None, "", "   ", "<p>", "plain &lt; text &amp", "<article>&quot;x&quot; &am")] == ["", "", "", "", "plain < text &", '"x" &am']
     assert html_extract.extract("<div>" * 20_000 + "deep") == "deep"
