@@ -41,8 +41,11 @@ SPELLED_AT = re.compile(r"\s?[(\[{]\s?at\s?[)\]}]\s?", re.I)
 SPELLED_DOMAIN = re.compile(r"[A-Za-z0-9-]+(?:\s?(?:\.|[(\[{]\s?dot\s?[)\]}])\s?[A-Za-z0-9-]+)+", re.I)
 ANY_DOMAIN = re.compile(r"[^\s@<>()\[\]{}\"',;:!?]+")
 IP6 = re.compile(r"(?<![\w:])(?:[0-9A-Fa-f]{1,4}:){7}[0-9A-Fa-f]{1,4}(?![\w:])")
-CARD_FORM = re.compile(r"(?<![0-9])(?:[0-9]{13,19}|[0-9]{4}([\x20-])[0-9]{4}\1[0-9]{4}\1[0-9]{4}|3[47][0-9]{2}([\x20-])[0-9]{6}\2[0-9]{5})(?![0-9])")
+#: From every group of digits, so that a wrong start hides no right one.
+CARD_FORM = re.compile(r"(?<![0-9])(?=([0-9]{13,19}(?![0-9])|[0-9]{4}([\x20-])[0-9]{4}\2[0-9]{4}\2[0-9]{4}(?![0-9])|3[47][0-9]{2}([\x20-])[0-9]{6}\3[0-9]{5}(?![0-9])))")
 PHONE_FORM = re.compile(r"\+[0-9]{1,3}[\x20.-]?(?:\([0-9]{2,4}\)|[0-9]{2,4})[\x20.-]?[0-9]{3,4}[\x20.-]?[0-9]{3,4}(?![0-9])")
+DIGITS = re.compile(r"[0-9]+")
+NOT_LOCAL = re.compile(r"[\s@<>()\[\]{}\"',;:!?]")
 NATIONAL = re.compile(r"(?<![0-9+.-])(?:\([0-9]{3}\)[\x20-]?|[0-9]{3}-)[0-9]{3}-[0-9]{4}(?![0-9.-])")
 
 STRICT = {
@@ -112,25 +115,40 @@ def base_spans(text):
     return spans, failed
 
 
+def phone_prefixes(text, start, end):
+    """Ends of the numbers of 9 to 15 digits that a longer match begins with, likely ones first."""
+    digits, ends = 0, []
+    for m in DIGITS.finditer(text, start, end):
+        digits += len(m.group())
+        if digits > 15:
+            break
+        found = text[start:m.end()]
+        if digits >= 9 and found.count("(") == found.count(")"):
+            ends.append(m.end())
+    form = PHONE_FORM.match(text, start, end)
+    return sorted(ends, key=lambda e: (not (form and e == form.end()), not text[e:e + 1].isspace(), -e))
+
+
 def looser_spans(text, failed):
     """Candidates beside the base spans."""
     for kind, start, end in failed:
         if kind == "email":
-            left = text[max(0, start - 64):start]
-            own = re.search(r"[^\s@<>()\[\]{}\"',;:!?]+$", left)
-            tail = ANY_DOMAIN.match(text, end)
+            left = text[text.rfind("@", 0, start) + 1:start][::-1]
+            stop, tail = NOT_LOCAL.search(left), ANY_DOMAIN.match(text, end)
+            own = stop.start() if stop else len(left)
             if own and tail and "." in tail.group().strip("."):
-                yield "email", start - len(own.group()), end + len(tail.group().rstrip(".*#$%&"))
+                yield "email", start - own, end + len(tail.group().rstrip(".*#$%&"))
         elif kind == "card" and end - start > 13:
             for m in CARD_FORM.finditer(text, start, end):
-                yield "card", m.start(), m.end()
+                yield "card", m.start(1), m.end(1)
         elif kind == "phone":
-            m = PHONE_FORM.match(text, start, end)
-            if m:
-                yield "phone", m.start(), m.end()
+            for stop in phone_prefixes(text, start, end):
+                yield "phone", start, stop
     if "at" in text or "AT" in text:
+        before = 0
         for m in SPELLED_AT.finditer(text):
-            left = text[max(0, m.start() - 64):m.start()]
+            left = text[before:m.start()]
+            before = m.end()
             own, tail = len(left) - len(left.rstrip(LOCAL)), SPELLED_DOMAIN.match(text, m.end())
             if own and tail:
                 yield "email", m.start() - own, tail.end()

@@ -71,6 +71,33 @@ def test_classifier_adds_what_the_base_misses():
     assert added("nothing here, version 1.2.3, order 1234567890123456, 2024-01-02") == []
 
 
+def test_candidates_inside_longer_matches():
+    found = lambda t: {(pii.KINDS[k], t[a:b]) for k, a, b, _, _ in pii.candidates(t)}
+    both = found("+1 (743) 555-3824 4465 7583 8288 9437")
+    assert {("phone", "+1 (743) 555-3824"), ("card", "4465 7583 8288 9437")} <= both
+    assert ("card", "4111 1111 1111 1111") in found("Visa 2024 4111 1111 1111 1111")
+    assert ("phone", "+33 1 23 45 67 89") in found("+33 1 23 45 67 89 2024-05-01")
+    long = "a.long-name" * 10
+    assert ("email", f"{long}é@exämple.com") in found(f"to {long}é@exämple.com")
+    assert ("email", f"{long} (at) example (dot) com") in found(f"to {long} (at) example (dot) com")
+
+
+def test_classifier_adds_candidates_inside_longer_matches():
+    texts = [f"card 41111111111111{i:02d} and +1 (323) 555-{i:04d} or +33 1 23 45 {i % 90 + 10} 89 ok" for i in range(100)]
+    counts = {}
+    for t in texts:
+        for k, _, _, _, v in pii.candidates(t):
+            counts[pii.pattern_code(k, v)] = counts.get(pii.pattern_code(k, v), 0) + 1
+    codes = sorted(counts)
+    kinds, given = pii.pattern_votes(codes)
+    weight = np.array([counts[c] for c in codes], float)
+    beta = pii.train(kinds, given, weight, pii.estimate(kinds, given, weight))
+    added = lambda t: [t[a:b] for _, a, b, base in pii.spans_of(t, beta) if not base]
+    assert added("+1 (743) 555-3824 4465 7583 8288 9437") == ["4465 7583 8288 9437", "+1 (743) 555-3824"]
+    assert added("Visa 2024 4111 1111 1111 1111") == ["4111 1111 1111 1111"]
+    assert added("+33 1 23 45 67 89 2024-05-01") == ["+33 1 23 45 67 89"]
+
+
 def test_edge_cases_and_masking(spark):
     docs = edge_docs(spark)
     found = pii.detected(docs)
