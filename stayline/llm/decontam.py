@@ -4,8 +4,10 @@ Every task turns its documents into shards: words become numbers of the
 benchmark's vocabulary, stretches of known words that are too short to hold a
 window are dropped, and the suffixes of the rest are sorted by prefix
 doubling.  All test suffixes are binary-searched in every shard: the range
-that agrees on a whole window gives all its locations, the neighbours of the
-insertion point give the longest verbatim match.
+that agrees on a whole window gives all its locations.  ``searched`` and
+``decontaminate`` decide on these windows only; the longest verbatim matches,
+from the neighbours of the insertion point, are found by ``longest_matches``,
+which no registered query calls.
 
 The benchmark is a stated query set.  It is sent to the tasks in blocks of at
 most ``BLOCK_WORDS`` words, so that its size is bounded whatever its length;
@@ -238,7 +240,9 @@ def searched(docs: DataFrame, benchmark: DataFrame, window: int = 10, text: str
 
 def longest_matches(docs: DataFrame, benchmark: DataFrame, window: int = 10, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """For every test suffix with an occurring window: the longest verbatim
-    match in all documents and one place of it (the smallest document)."""
+    match in all documents and one place of it.  Each shard gives one place; of
+    equally long ones the least xxhash64 of the doc_id decides, then the least
+    start."""
     blocks = blocks_of(docs.sparkSession, benchmark, window)
     own = docs.select(F.col(f"`{doc_id}`").cast("string").alias("doc_id"), F.col(f"`{text}`").alias("text"))
     names = ["item_id", "item_start", "n_words", "doc_id", "doc_start"]
