@@ -59,3 +59,37 @@ contamination AS (SELECT dw.doc_id, CAST(len(words) AS BIGINT) AS n_words, CAST(
       FROM dw LEFT JOIN nh USING (doc_id) LEFT JOIN ni USING (doc_id))"""
 
 DECONTAM_SQL = f"WITH {DECONTAM.format(docs='documents')}\nSELECT * FROM contamination"
+
+
+def _field(c):
+    return f"coalesce(CAST(strlen(CAST({c} AS VARCHAR)) AS VARCHAR) || ':' || CAST({c} AS VARCHAR), '-')"
+
+
+def _leaf(text):
+    return "sha256(" + " || ".join(_field(c) for c in ("doc_id", "source", "lang", "n_chars")) + f" || {_field(text)})"
+
+
+#: Trees by recursion over levels; the last part folds every (changed) leaf up again.
+MERKLE_SQL = f"""WITH RECURSIVE crc_bits AS (SELECT i, list_reduce(list_prepend(CAST(i AS BIGINT), generate_series(1, 8)), lambda c, k: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END) AS t
+  FROM generate_series(0, 255) s(i)),
+crc_table AS (SELECT list(t ORDER BY i) AS ts FROM crc_bits),
+d AS (SELECT *, row_number() OVER (ORDER BY doc_id) AS rid, coalesce('1' || source, '0') AS tree,
+        xor(list_reduce(list_prepend(4294967295, list_transform(string_split(CAST(doc_id AS VARCHAR), ''), lambda x: CAST(ord(x) AS BIGINT))),
+            lambda c, b: xor(c >> 8, ts[(xor(c, b) & 255) + 1])), 4294967295) AS crc FROM documents, crc_table),
+l AS (SELECT rid, doc_id, tree, {_leaf('text')} AS leaf, CASE WHEN crc % 2 = 0 THEN {_leaf("replace(text, chr(10), '')")} ELSE {_leaf('text')} END AS changed FROM d),
+n0 AS (SELECT *, row_number() OVER (PARTITION BY tree ORDER BY doc_id, leaf) - 1 AS idx, count(*) OVER (PARTITION BY tree) AS n FROM l),
+up AS (SELECT 0 AS lvl, tree, idx, n, leaf AS h FROM n0
+  UNION ALL SELECT lvl + 1, tree, idx // 3, (max(n) + 2) // 3, sha256(string_agg(h, '' ORDER BY idx)) FROM up WHERE n > 1 GROUP BY lvl, tree, idx // 3),
+sub AS (SELECT tree, lvl AS top, h AS subroot, row_number() OVER (ORDER BY tree) - 1 AS idx, count(*) OVER () AS n FROM up WHERE n = 1),
+rup AS (SELECT 0 AS lvl, idx, n, subroot AS h FROM sub
+  UNION ALL SELECT lvl + 1, idx // 3, (max(n) + 2) // 3, sha256(string_agg(h, '' ORDER BY idx)) FROM rup WHERE n > 1 GROUP BY lvl, idx // 3),
+f AS (SELECT 0 AS lvl, rid, tree, idx, n, changed AS h, '' AS proof FROM n0
+  UNION ALL SELECT f.lvl + 1, rid, f.tree, f.idx // 3, (max(f.n) + 2) // 3, sha256(string_agg(CASE WHEN u.idx = f.idx THEN f.h ELSE u.h END, '' ORDER BY u.idx)),
+         max(proof) || coalesce(string_agg(u.h, '' ORDER BY u.idx) FILTER (u.idx <> f.idx), '')
+       FROM f JOIN up u ON u.lvl = f.lvl AND u.tree = f.tree AND u.idx // 3 = f.idx // 3 WHERE f.n > 1 GROUP BY f.lvl, rid, f.tree, f.idx),
+g AS (SELECT 0 AS lvl, rid, sub.idx, sub.n, f.h, proof FROM f JOIN sub USING (tree) WHERE f.n = 1
+  UNION ALL SELECT g.lvl + 1, rid, g.idx // 3, (max(g.n) + 2) // 3, sha256(string_agg(CASE WHEN u.idx = g.idx THEN g.h ELSE u.h END, '' ORDER BY u.idx)),
+         max(proof) || coalesce(string_agg(u.h, '' ORDER BY u.idx) FILTER (u.idx <> g.idx), '')
+       FROM g JOIN rup u ON u.lvl = g.lvl AND u.idx // 3 = g.idx // 3 WHERE g.n > 1 GROUP BY g.lvl, rid, g.idx)
+SELECT n0.doc_id, n0.leaf, subroot, r.h AS root, sha256(proof) AS proof_sha256, g.h AS folded_root, g.h = r.h AS verified
+FROM n0 JOIN sub USING (tree) JOIN g USING (rid) JOIN (SELECT h FROM rup WHERE n = 1) r ON g.n = 1"""

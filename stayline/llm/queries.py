@@ -3,9 +3,9 @@
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from . import bpe, decontam, html_extract, language, pii, quality, ring, simhash, token_count, token_files
+from . import bpe, decontam, html_extract, language, merkle, pii, quality, ring, simhash, token_count, token_files
 from ..session import scratch_path
-from .oracle import DECONTAM_SQL, QUALITY_SQL
+from .oracle import DECONTAM_SQL, MERKLE_SQL, QUALITY_SQL
 
 QUERIES, ORACLE = {}, {}
 
@@ -86,3 +86,9 @@ def op9(spark, sf_dir):
 @register("op10_sharding")
 def op10(spark, sf_dir):
     return ring.shard_documents(table(spark, sf_dir, "documents"), shards=24)
+
+
+@register("op12_merkle_manifest", MERKLE_SQL)
+def op12(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents")
+    return merkle.manifest(docs, tampered=F.crc32(F.col("doc_id").cast("string")) % 2 == 0)
