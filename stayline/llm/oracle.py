@@ -93,3 +93,30 @@ g AS (SELECT 0 AS lvl, rid, sub.idx, sub.n, f.h, proof FROM f JOIN sub USING (tr
        FROM g JOIN rup u ON u.lvl = g.lvl AND u.idx // 3 = g.idx // 3 WHERE g.n > 1 GROUP BY g.lvl, rid, g.idx)
 SELECT n0.doc_id, n0.leaf, subroot, r.h AS root, sha256(proof) AS proof_sha256, g.h AS folded_root, g.h = r.h AS verified
 FROM n0 JOIN sub USING (tree) JOIN g USING (rid) JOIN (SELECT h FROM rup WHERE n = 1) r ON g.n = 1"""
+
+
+def _share(n, total, terms):
+    return f"(1 + (1000000000::HUGEINT * ({n} + 2)) // ({total} + 2 * {terms}))"
+
+
+def _price(p, q):
+    return f"((({p}) - ({q})) * (({p}) - ({q})) // (({p}) + ({q})))"
+
+
+DIVERGENCE_SQL = rf"""WITH d AS (SELECT row_number() OVER () AS rid, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+        list_filter(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x00-\x60\x7B-\x7F]+'), lambda x: x <> '') AS words FROM documents),
+w AS (SELECT rid, lang, source, unnest(words) AS term FROM d),
+k AS (SELECT lang, term, count(*) AS lang_n FROM w GROUP BY lang, term HAVING count(DISTINCT rid) >= 10),
+v AS (SELECT lang, count(*) AS terms, sum(lang_n) AS lang_total FROM k GROUP BY lang),
+g AS (SELECT lang, source FROM d GROUP BY lang, source),
+c AS (SELECT lang, source, term, count(*) AS n FROM w JOIN k USING (lang, term) GROUP BY lang, source, term),
+t AS (SELECT lang, source, sum(n) AS total FROM c GROUP BY lang, source),
+s AS (SELECT lang, source, coalesce(total, 0) AS total, coalesce(terms, 0) AS terms, coalesce(lang_total, 0) AS lang_total FROM g LEFT JOIN t USING (lang, source) LEFT JOIN v USING (lang)),
+p AS (SELECT s.lang, s.source, k.term, coalesce(n, 0) AS n, {_share('coalesce(n, 0)', 'total', 'terms')} AS p, {_share('lang_n', 'lang_total', 'terms')} AS q
+      FROM s JOIN k USING (lang) LEFT JOIN c USING (lang, source, term)),
+pv AS (SELECT a.lang, a.source, b.source AS item, sum({_price('a.p', 'b.p')}) AS value FROM p a JOIN p b ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source GROUP BY a.lang, a.source, b.source),
+pairs AS (SELECT a.lang, a.source, 'pair' AS part, b.source AS item, CAST(coalesce(value, 0) AS BIGINT) AS value
+          FROM g a JOIN g b ON a.lang = b.lang AND a.source <> b.source LEFT JOIN pv ON pv.lang = a.lang AND pv.source = a.source AND pv.item = b.source),
+terms AS (SELECT lang, source, 'term' AS part, term AS item, CAST({_price('p', 'q')} AS BIGINT) AS value FROM p WHERE n > 0 AND p > q),
+r AS (SELECT *, CAST(row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item) AS INTEGER) AS rank FROM (SELECT * FROM pairs UNION ALL SELECT * FROM terms))
+SELECT * FROM r WHERE part = 'pair' OR rank <= 10"""

@@ -3,9 +3,9 @@
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from . import bpe, decontam, html_extract, language, merkle, pii, quality, ring, simhash, token_count, token_files
+from . import bpe, decontam, divergence, html_extract, language, merkle, pii, quality, ring, simhash, token_count, token_files
 from ..session import scratch_path
-from .oracle import DECONTAM_SQL, MERKLE_SQL, QUALITY_SQL
+from .oracle import DECONTAM_SQL, DIVERGENCE_SQL, MERKLE_SQL, QUALITY_SQL
 
 QUERIES, ORACLE = {}, {}
 
@@ -88,6 +88,11 @@ def op10(spark, sf_dir):
     return ring.shard_documents(table(spark, sf_dir, "documents"), shards=24)
 
 
+@register("op11_divergence", DIVERGENCE_SQL)
+def op11(spark, sf_dir):
+    return divergence.divergence(table(spark, sf_dir, "documents"))
+
+
 @register("op12_merkle_manifest", MERKLE_SQL)
 def op12(spark, sf_dir):
     docs = table(spark, sf_dir, "documents")
