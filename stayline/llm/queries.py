@@ -3,7 +3,7 @@
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from . import bpe, decontam, divergence, html_extract, language, merkle, pii, quality, ring, simhash, token_count, token_files
+from . import bpe, decontam, divergence, html_extract, jaccard, language, merkle, pii, quality, ring, simhash, token_count, token_files
 from ..session import scratch_path
 from .oracle import DECONTAM_SQL, DIVERGENCE_SQL, MERKLE_SQL, QUALITY_SQL
 
@@ -97,3 +97,8 @@ def op11(spark, sf_dir):
 def op12(spark, sf_dir):
     docs = table(spark, sf_dir, "documents")
     return merkle.manifest(docs, tampered=F.crc32(F.col("doc_id").cast("string")) % 2 == 0)
+
+
+@register("op13_jaccard_join")
+def op13(spark, sf_dir):
+    return jaccard.near_duplicates(table(spark, sf_dir, "documents").select("doc_id", "text"))
