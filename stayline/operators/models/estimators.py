@@ -11,9 +11,9 @@ Parameter mapping (the original's objective -> MLlib's):
   ``elasticNetParam = 1``, no standardization.
 * Logistic, C: ``regParam = 1 / (C * n)`` (the weighted loss is divided by
   the weight sum, which 'balanced' weights keep equal to n).
-* Random forests and boosted trees: MLlib's binned trees.  Unlimited depth
-  maps to depth 25; an explicit depth up to MLlib's 30 is taken as given
-  (``get_session`` raises the JVM thread stack for it), a deeper one raises.
+* Random forests and boosted trees: ``ensembles`` (one binned table, all trees
+  grown level by level, small nodes handed on).  Without a limit, trees grow
+  until no split gains; an explicit depth beyond 30 raises.
 
 A parameter a model does not know raises.
 
@@ -25,17 +25,16 @@ from __future__ import annotations
 
 from dataclasses import dataclass, field
 
-from pyspark.ml.classification import LogisticRegression, RandomForestClassifier
-from pyspark.ml.regression import GBTRegressor, LinearRegression, RandomForestRegressor
+from pyspark.ml.classification import LogisticRegression
+from pyspark.ml.regression import LinearRegression
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..features import FEATURES, LABEL, WEIGHT
+from .ensembles import Fit
+from .trees import MOST_BINS, UNLIMITED, Rule
 
-MAX_TREE_DEPTH = 30         # MLlib's limit
-UNLIMITED_DEPTH = 25        # what "no limit" maps to: the deepest a default JVM thread stack serialises
-MAX_BINS = 256
-TREE_MEMORY_MB = 128        # split statistics of a tree level; fixed, so that a fit never depends on the heap
+MAX_TREE_DEPTH = 30         # deepest explicit limit
 TOL = 1e-10
 
 REGRESSORS = ("linear", "ridge", "lasso", "random_forest", "xgboost", "xgboost_poisson")
@@ -63,12 +62,12 @@ class ModelSpec:
 
 PARAMETERS = {
     "linear": set(), "ridge": {"alpha"}, "lasso": {"alpha"},
-    "random_forest": {"n_estimators", "max_depth", "min_samples_leaf", "max_bins"},
-    "xgboost": {"n_estimators", "max_depth", "learning_rate", "subsample", "colsample_bytree", "max_bins"},
+    "random_forest": {"n_estimators", "max_depth", "min_samples_split", "min_samples_leaf", "max_bins"},
+    "xgboost": {"n_estimators", "max_depth", "learning_rate", "subsample", "colsample_bytree", "min_child_weight", "reg_lambda", "max_bins"},
     "xgboost_poisson": {"n_estimators", "max_depth", "learning_rate", "subsample", "colsample_bytree", "min_child_weight",
                         "reg_lambda", "max_delta_step", "max_bins"},
     "logistic": {"penalty", "C", "class_weight", "max_iter", "l1_ratio"},
-    "random_forest_classifier": {"n_estimators", "max_depth", "min_samples_leaf", "class_weight", "criterion", "max_bins"},
+    "random_forest_classifier": {"n_estimators", "max_depth", "min_samples_split", "min_samples_leaf", "class_weight", "criterion", "max_bins"},
 }
 PENALTIES = {"l2": 0.0, "l1": 1.0, "elasticnet": None, "none": 0.0, None: 0.0}
 
@@ -83,7 +82,7 @@ def check_params(spec: ModelSpec) -> None:
 
 def _depth(v) -> int:
     if v is None:
-        return UNLIMITED_DEPTH
+        return UNLIMITED
     if not 0 <= int(v) <= MAX_TREE_DEPTH:
         raise ValueError(f"max_depth {v} is outside 0 to {MAX_TREE_DEPTH}")
     return int(v)
@@ -100,7 +99,6 @@ def build(spec: ModelSpec, train: DataFrame, has_weight: bool = False):
     check_params(spec)
     p = dict(spec.params)
     k = spec.kind
-    bins = int(p.get("max_bins", MAX_BINS))
     common = dict(featuresCol=FEATURES, labelCol=LABEL)
     if k == "linear":
         return LinearRegression(regParam=0.0, solver="normal", standardization=False, **common)
@@ -114,19 +112,6 @@ def build(spec: ModelSpec, train: DataFrame, has_weight: bool = False):
         alpha = float(p.get("alpha", 1.0))
         return LinearRegression(regParam=alpha, elasticNetParam=1.0, standardization=False,
                                 solver="l-bfgs", maxIter=1000, tol=TOL, **common)
-    if k == "random_forest":
-        return RandomForestRegressor(
-            numTrees=int(p.get("n_estimators", 100)), maxDepth=_depth(p.get("max_depth")),
-            minInstancesPerNode=int(p.get("min_samples_leaf", 1)), featureSubsetStrategy="all",
-            maxBins=bins, maxMemoryInMB=TREE_MEMORY_MB, seed=spec.seed, **common)
-    if k == "xgboost":
-        colsample = float(p.get("colsample_bytree", 1.0))
-        return GBTRegressor(
-            maxIter=int(p.get("n_estimators", 100)), maxDepth=_depth(p.get("max_depth", 6)),
-            stepSize=float(p.get("learning_rate", 0.3)), subsamplingRate=float(p.get("subsample", 1.0)),
-            featureSubsetStrategy="all" if colsample >= 1.0 else str(colsample),
-            lossType="squared", maxBins=bins, maxMemoryInMB=TREE_MEMORY_MB,
-            seed=spec.seed, checkpointInterval=10, **common)
     if k == "logistic":
         c = float(p.get("C", 1.0))
         penalty = p.get("penalty", "l2")
@@ -140,17 +125,34 @@ def build(spec: ModelSpec, train: DataFrame, has_weight: bool = False):
             kw["weightCol"] = WEIGHT
         return LogisticRegression(regParam=reg, elasticNetParam=en, standardization=False,
                                   maxIter=int(p.get("max_iter", 100)), tol=1e-6, family="binomial", **kw)
-    if k == "random_forest_classifier":
-        kw = dict(common)
-        if has_weight:
-            kw["weightCol"] = WEIGHT
-        return RandomForestClassifier(
-            numTrees=int(p.get("n_estimators", 100)), maxDepth=_depth(p.get("max_depth")),
-            minInstancesPerNode=int(p.get("min_samples_leaf", 1)),
-            impurity=p.get("criterion", "gini"), featureSubsetStrategy="sqrt",
-            maxBins=bins, maxMemoryInMB=TREE_MEMORY_MB, seed=spec.seed, **kw)
     raise ValueError(f"unknown model kind {k!r}")
 
 
 def wants_weights(spec: ModelSpec) -> bool:
-    return spec.is_classifier and spec.params.get("class_weight") in ("balanced", "balanced_subsample")
+    return spec.kind == "logistic" and spec.params.get("class_weight") == "balanced"
+
+
+TREES = {"random_forest": "mean", "random_forest_classifier": "class", "xgboost": "squared", "xgboost_poisson": "poisson"}
+CRITERIA = ("gini", "entropy")
+BALANCE = (None, "balanced", "balanced_subsample")
+
+
+def tree_bins(spec: ModelSpec) -> int:
+    return int(spec.params.get("max_bins", MOST_BINS))
+
+
+def tree_fit(spec: ModelSpec, features: int, out: int = -1) -> Fit:
+    """The ensemble of ``spec`` on rows of so many features, leaving out fold ``out``."""
+    check_params(spec)
+    p = dict(spec.params)
+    size = int(p.get("n_estimators", 100))
+    if spec.kind in ("xgboost", "xgboost_poisson"):
+        rule = Rule("newton", _depth(p.get("max_depth", 6)), reg_lambda=float(p.get("reg_lambda", 1.0)), min_child_weight=float(p.get("min_child_weight", 1.0)),
+                    max_delta_step=float(p.get("max_delta_step", 0.7 if spec.kind == "xgboost_poisson" else 0.0)), rate=float(p.get("learning_rate", 0.3)))
+        return Fit(rule, size, out, TREES[spec.kind], float(p.get("subsample", 1.0)), float(p.get("colsample_bytree", 1.0)), spec.seed)
+    common = dict(max_depth=_depth(p.get("max_depth")), min_leaf=int(p.get("min_samples_leaf", 1)), min_split=int(p.get("min_samples_split", 2)))
+    if spec.kind == "random_forest":
+        return Fit(Rule("mean", **common), size, out, seed=spec.seed)
+    if p.get("criterion", "gini") not in CRITERIA or p.get("class_weight") not in BALANCE:
+        raise ValueError(f"criterion must be one of {CRITERIA}, class_weight one of {BALANCE}")
+    return Fit(Rule(p.get("criterion", "gini"), features=max(1, int(features ** 0.5)), **common), size, out, seed=spec.seed, balance=p.get("class_weight"))

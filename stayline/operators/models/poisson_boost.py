@@ -1,207 +1,33 @@
-"""Boosted trees with a Poisson objective (log link), as Newton boosting over
-MLlib decision trees.
+"""Boosted trees with a Poisson objective (log link).
 
-State: margin F (log rate), starting at log(mean(y)).  Each round, with
-mu = exp(F):
-
-* gradient g = mu - y and hessian h = mu per row;
-* a weighted regression tree on z = (y - mu) / mu with weight mu -- its
-  split gain is the Newton gain G^2 / H, so the tree shape is the boosting
-  tree's shape;
-* leaf values are recomputed with the L2 term, -G / (H + lambda), from one
-  ``groupBy(leaf)`` (at most 2^depth rows), clipped to +-max_delta_step
-  (0.7, the usual Poisson default), scaled by the learning rate;
-* F += value[leaf].
-
-Row subsampling is a key hash per round; column subsampling a seeded
-feature subset per tree (sliced vector).  Each round's margins are computed
-once, from the round before, and written to the shared checkpoint folder every
-``checkpoint_interval`` rounds, so a round costs the same early and late and a
-lost executor replays at most that many rounds.
-
-A fitted model is a table of tree nodes.  Scoring broadcasts it (its size is
-the model's, whatever the data) and walks all trees in one vectorised pass.
+State: margin F (log rate), starting at log(mean(y)).  With mu = exp(F), a
+round grows a tree on gradient mu - y and hessian mu, whose leaves step
+-G / (H + lambda), cut to +-max_delta_step (0.7, the usual Poisson default),
+times the learning rate.  ``min_child_weight`` bounds the sum of hessians of
+both children.  The rounds are those of ``ensembles.boost``.
 """
 
 from __future__ import annotations
 
-import os
-import re
-
-import numpy as np
-import pandas as pd
-from pyspark import StorageLevel
-from pyspark.ml.feature import VectorSlicer
-from pyspark.ml.functions import vector_to_array
-from pyspark.ml.regression import DecisionTreeRegressor
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.functions import pandas_udf
 
-from ...functions.scalar import hash_unit
-from ...session import ensure_checkpoint_dir
-from ..features import FEATURES, LABEL
-from .estimators import MAX_BINS, MAX_TREE_DEPTH, TREE_MEMORY_MB
+from ..features import LABEL
+from .ensembles import TreeEnsemble
+from .estimators import ModelSpec
+from .trainer import fit
 
 MU_FLOOR = 1e-6
-NODE_SCHEMA = "tree int, node int, feature int, threshold double, right int, value double"
-SPLIT = re.compile(r"(\s*)(If|Else) \(feature (\d+) (?:<=|>) (\S+)\)")
-LEAF = re.compile(r"\s*Predict: ")
-
-
-def tree_nodes(description: str, indices=None):
-    """Nodes of an MLlib tree in preorder, read from its description: arrays
-    feature (-1 at a leaf), threshold, right child (the left one follows its
-    parent).  ``indices`` maps a sliced vector's features back."""
-    feature, threshold, right, open_ = [], [], [], []
-    for line in description.splitlines():
-        split = SPLIT.match(line)
-        if split and split.group(2) == "If":
-            open_.append(len(feature))
-            k = int(split.group(3))
-            feature.append(indices[k] if indices is not None else k)
-            threshold.append(float(split.group(4)))
-            right.append(-1)
-        elif split:
-            right[open_.pop()] = len(feature)
-        elif LEAF.match(line):
-            feature.append(-1)
-            threshold.append(0.0)
-            right.append(-1)
-    return np.array(feature, np.int64), np.array(threshold), np.array(right, np.int64)
-
-
-def walk(x: np.ndarray, feature, threshold, right) -> np.ndarray:
-    """Leaf node of every row of ``x``."""
-    node = np.zeros(len(x), np.int64)
-    rows = np.flatnonzero(feature[node] >= 0)
-    while len(rows):
-        at = node[rows]
-        node[rows] = np.where(x[rows, feature[at]] <= threshold[at], at + 1, right[at])
-        rows = rows[feature[node[rows]] >= 0]
-    return node
-
-
-class PoissonBoostModel:
-    """Base margin plus per-round (feature, threshold, right, value) arrays."""
-
-    def __init__(self, base: float, trees: list):
-        self.base = base
-        self.trees = trees
-
-    def margin(self, df: DataFrame, features: str = FEATURES) -> DataFrame:
-        """Add column ``margin`` (log rate)."""
-        sent, base = df.sparkSession.sparkContext.broadcast(self.trees), self.base
-
-        @pandas_udf("double")
-        def score(rows: pd.Series) -> pd.Series:
-            out = np.full(len(rows), base)
-            if len(rows):
-                x = np.stack(rows.to_numpy())
-                for feature, threshold, right, value in sent.value:
-                    out += value[walk(x, feature, threshold, right)]
-            return pd.Series(out)
-        return df.withColumn("margin", score(vector_to_array(F.col(features))))
-
-    def transform(self, df: DataFrame) -> DataFrame:
-        return self.margin(df).withColumn("prediction", F.exp("margin")).drop("margin")
-
-    # -- persistence: one table of nodes, and the base margin as tree -1 --
-    def write_to(self, path: str) -> None:
-        from pyspark.sql import SparkSession
-        rows = [(-1, 0, -1, 0.0, -1, self.base)]
-        for t, tree in enumerate(self.trees):
-            rows += [(t, i, int(f), float(s), int(r), float(v)) for i, (f, s, r, v) in enumerate(zip(*tree))]
-        SparkSession.getActiveSession().createDataFrame(rows, NODE_SCHEMA).coalesce(1).write.mode("overwrite").parquet(os.path.join(path, "nodes"))
-
-    @staticmethod
-    def load(spark, path: str) -> "PoissonBoostModel":
-        nodes = spark.read.parquet(os.path.join(path, "nodes")).toPandas().sort_values(["tree", "node"])
-        trees = [(g.feature.to_numpy(np.int64), g.threshold.to_numpy(), g.right.to_numpy(np.int64), g.value.to_numpy())
-                 for t, g in nodes.groupby("tree") if t >= 0]
-        return PoissonBoostModel(float(nodes[nodes.tree == -1].value.iloc[0]), trees)
 
 
 class PoissonBoostRegressor:
-    def __init__(self, n_estimators: int = 100, max_depth: int = 6, learning_rate: float = 0.3,
-                 subsample: float = 1.0, colsample_bytree: float = 1.0, min_child_weight: float = 1.0,
-                 reg_lambda: float = 1.0, max_delta_step: float = 0.7, seed: int = 42,
-                 checkpoint_interval: int = 10, key: str | None = None, max_bins: int = MAX_BINS):
-        if not 0 <= int(max_depth) <= MAX_TREE_DEPTH:
-            raise ValueError(f"max_depth {max_depth} is outside 0 to {MAX_TREE_DEPTH}")
-        if subsample < 1.0 and key is None:
-            raise ValueError("row subsampling is a hash of the key: name the key column")
-        self.n = int(n_estimators)
-        self.depth = int(max_depth)
-        self.lr = float(learning_rate)
-        self.subsample = float(subsample)
-        self.colsample = float(colsample_bytree)
-        self.mcw = float(min_child_weight)
-        self.lam = float(reg_lambda)
-        self.mds = float(max_delta_step)
-        self.seed = int(seed)
-        self.ckpt = int(checkpoint_interval)
-        self.key = key
-        self.max_bins = int(max_bins)
+    """Poisson boosting by keyword parameters (those of ``xgboost_poisson``)."""
+
+    def __init__(self, seed: int = 42, key: str | None = None, **params):
+        self.key, self.spec = key, ModelSpec("xgboost_poisson", params, seed)
 
-    def fit(self, train: DataFrame) -> PoissonBoostModel:
-        spark = train.sparkSession
-        ensure_checkpoint_dir(spark)
-        y = F.col(LABEL)
-        stats = train.agg(F.avg(y).alias("m"), F.min(y).alias("lo"), F.sum(y).alias("s"), F.count(F.lit(1)).alias("n"),
-                          F.max(F.size(vector_to_array(F.col(FEATURES)))).alias("p")).first()
-        if stats["n"] == 0:
-            raise ValueError("no training rows")
-        if stats["lo"] < 0:
-            raise ValueError("Poisson boosting needs a non-negative target")
-        if stats["m"] <= 0:
-            raise ValueError("Poisson boosting needs a positive mean target")
-        base = float(np.log(stats["m"]))
-        # Total hessian stays close to sum(y) (the margin remains calibrated),
-        # which turns min_child_weight into MLlib's weight fraction.
-        min_frac = min(max(self.mcw / float(stats["s"]), 0.0), 0.49)
-        keys = [self.key] if self.key else []
-        cur = train.select(*keys, LABEL, FEATURES, F.lit(base).alias("margin")).checkpoint()
-        rng = np.random.default_rng(self.seed)
-        trees = []
-        for r in range(self.n):
-            mu = F.greatest(F.exp(F.col("margin")), F.lit(MU_FLOOR))
-            data = cur.select("*", ((y - mu) / mu).alias("z"), mu.alias("w"))
-            if self.subsample < 1.0:
-                data = data.where(hash_unit(F.col(self.key), f"{self.seed}:row:{r}") < F.lit(self.subsample))
-            indices, inputs = None, FEATURES
-            if self.colsample < 1.0:
-                k = max(1, int(round(self.colsample * stats["p"])))
-                indices, inputs = sorted(int(i) for i in rng.choice(stats["p"], size=k, replace=False)), "fs"
-                data = VectorSlicer(inputCol=FEATURES, outputCol=inputs, indices=indices).transform(data)
-            tree = DecisionTreeRegressor(featuresCol=inputs, labelCol="z", weightCol="w", maxDepth=self.depth,
-                                         minWeightFractionPerNode=min_frac, maxBins=self.max_bins, maxMemoryInMB=TREE_MEMORY_MB,
-                                         seed=self.seed + r, leafCol="leaf").fit(data)
-            leaves = tree.transform(data).groupBy("leaf").agg(
-                F.sum(y - F.col("w")).alias("G"), F.sum("w").alias("H")).collect()  # <= 2^depth rows
-            step = {}
-            for row in leaves:
-                own = row["G"] / (row["H"] + self.lam)
-                step[int(row["leaf"])] = self.lr * (max(-self.mds, min(self.mds, own)) if self.mds > 0 else own)
-            feature, threshold, right = tree_nodes(tree.toDebugString, indices)
-            value = np.zeros(len(feature))
-            # MLlib numbers leaves in preorder
-            value[feature < 0] = [step.get(i, 0.0) for i in range(int((feature < 0).sum()))]
-            trees.append((feature, threshold, right, value))
-            if r + 1 == self.n:
-                break
-            # Advance the margin on all rows (not just the sampled ones), once, before the last round's rows go.
-            own = PoissonBoostModel(0.0, trees[-1:]).margin(cur.withColumnRenamed("margin", "before"))
-            nxt = own.select(*keys, LABEL, FEATURES, (F.col("before") + F.col("margin")).alias("margin")).persist(StorageLevel.MEMORY_AND_DISK)
-            nxt.count()
-            if (r + 1) % self.ckpt == 0:
-                kept = nxt.checkpoint()
-                nxt.unpersist()
-                nxt = kept
-            cur.unpersist()
-            cur = nxt
-        cur.unpersist()
-        return PoissonBoostModel(base, trees)
+    def fit(self, train: DataFrame) -> TreeEnsemble:
+        return fit(self.spec, train).model
 
 
 def poisson_deviance(df: DataFrame, label: str = LABEL, prediction: str = "prediction") -> float:

@@ -16,24 +16,23 @@ import json
 import os
 from dataclasses import dataclass, field
 
-from pyspark.ml.classification import LogisticRegressionModel, RandomForestClassificationModel
+from pyspark.ml.classification import LogisticRegressionModel
 from pyspark.ml.functions import vector_to_array
-from pyspark.ml.regression import (GBTRegressionModel, LinearRegressionModel,
-                                   RandomForestRegressionModel)
+from pyspark.ml.regression import LinearRegressionModel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ...functions.scalar import clip_nonneg
 from ..features import FEATURES, LABEL, WEIGHT, class_weights, with_class_weights
-from .estimators import ModelSpec, build, check_params, wants_weights
+from .ensembles import Binned, TreeEnsemble, boost, forest
+from .estimators import TREES, ModelSpec, build, check_params, tree_bins, tree_fit, wants_weights
 
 PREDICTION = "prediction"
 SCORE = "score"
 
 _LOADERS = {
     "linear": LinearRegressionModel, "ridge": LinearRegressionModel, "lasso": LinearRegressionModel,
-    "random_forest": RandomForestRegressionModel, "xgboost": GBTRegressionModel,
-    "logistic": LogisticRegressionModel, "random_forest_classifier": RandomForestClassificationModel,
+    "logistic": LogisticRegressionModel,
 }
 
 
@@ -52,6 +51,8 @@ class TrainedModel:
             raise ValueError("there is no model to predict with: fit or load one")
         out = self.model.transform(df)
         kept = [c for c in (key, LABEL) if c in df.columns]
+        if self.spec.kind in TREES:
+            return out.select(*kept, PREDICTION, *([SCORE] if self.spec.is_classifier else []))
         if self.spec.is_classifier:
             return out.select(*kept, F.col(PREDICTION).cast("double").alias(PREDICTION),
                               vector_to_array(F.col("probability"))[1].alias(SCORE))
@@ -64,7 +65,7 @@ class TrainedModel:
         """Write the MLlib model plus a small JSON of the spec (no pickle)."""
         if self.model is None:
             raise ValueError("there is no model to save: fit one")
-        if hasattr(self.model, "write_to"):  # Poisson boosting: trees + leaf values
+        if hasattr(self.model, "write_to"):  # trees
             self.model.write_to(os.path.join(path, "model"))
         else:
             self.model.write().overwrite().save(os.path.join(path, "model"))
@@ -78,9 +79,8 @@ class TrainedModel:
     def load(spark, path: str) -> "TrainedModel":
         meta = json.loads(spark.read.text(os.path.join(path, "spec")).first()[0])
         spec = ModelSpec(meta["kind"], meta["params"], meta["seed"])
-        if spec.kind == "xgboost_poisson":
-            from .poisson_boost import PoissonBoostModel
-            model = PoissonBoostModel.load(spark, os.path.join(path, "model"))
+        if spec.kind in TREES:
+            model = TreeEnsemble.load(spark, os.path.join(path, "model"))
         else:
             model = _LOADERS[spec.kind].load(os.path.join(path, "model"))
         return TrainedModel(spec, model, meta["features"])
@@ -105,23 +105,30 @@ def placed(train: DataFrame) -> DataFrame:
     return train.repartition(parts, *order).sortWithinPartitions(*order)
 
 
+def grown(spec: ModelSpec, binned: Binned) -> TreeEnsemble:
+    """The tree ensemble of ``spec`` on all rows of ``binned``."""
+    own = tree_fit(spec, binned.p)
+    trees = boost(binned, [own])[0][0] if spec.kind in ("xgboost", "xgboost_poisson") else forest(binned, own)
+    return TreeEnsemble(TREES[spec.kind], own.base, binned.cuts, trees)
+
+
 def fit(spec: ModelSpec, train: DataFrame, feature_names: list[str] | None = None, is_placed: bool = False) -> TrainedModel:
     """Fit ``spec`` on an assembled frame.  'balanced' class weights are a
     (k-row) count, broadcast back as a literal map.  A search places its rows
     once and passes ``is_placed``."""
     check_params(spec)
+    if spec.kind in TREES:
+        tree_fit(spec, 1)               # wrong parameters raise before any job
+        binned = Binned(train, tree_bins(spec))
+        model = grown(spec, binned)
+        binned.release()
+        return TrainedModel(spec, model, list(feature_names or []))
     if not is_placed:
         train = placed(train)
     has_w = wants_weights(spec)
     if has_w:
         train = with_class_weights(train, LABEL, class_weights(train, LABEL), WEIGHT)
-    if spec.kind == "xgboost_poisson":
-        from .poisson_boost import PoissonBoostRegressor
-        keys = [c for c in train.columns if c not in (FEATURES, LABEL, WEIGHT)]
-        model = PoissonBoostRegressor(**spec.params, seed=spec.seed, key=keys[0] if keys else None).fit(train)
-    else:
-        model = build(spec, train, has_w).fit(train)
-    return TrainedModel(spec, model, list(feature_names or []))
+    return TrainedModel(spec, build(spec, train, has_w).fit(train), list(feature_names or []))
 
 
 __all__ = ["TrainedModel", "fit", "placed", "PREDICTION", "SCORE", "FEATURES"]
