@@ -193,6 +193,9 @@ def _tune_query(kind, family):
 register("tune_ridge")(_tune_query("ridge", "nosplit"))
 register("tune_lasso")(_tune_query("lasso", "nosplit"))
 register("tune_logistic")(_tune_query("logistic", "class"))
+for _kind in ("random_forest", "xgboost", "xgboost_poisson"):
+    register(f"tune_{_kind}")(_tune_query(_kind, "nosplit"))
+register("tune_random_forest_classifier")(_tune_query("random_forest_classifier", "class"))
 
 
 def _tune_one(kind):
@@ -230,7 +233,8 @@ def _one_stump(kind):
         prep = prepare(stays(spark, sf), CFG, ("nosplit",))
         known = F.col(ONE_FEATURE).isNotNull()
         rows = {s: assemble(prep.family("nosplit", s).where(known), CFG, CFG.target, features=[ONE_FEATURE], null_policy="skip")[0] for s in ("train", "test")}
-        model = fit(ModelSpec(kind, {"n_estimators": 1, "max_depth": 1}), rows["train"])
+        plain = {"learning_rate": 1.0, "reg_lambda": 0.0} if kind == "xgboost" else {}
+        model = fit(ModelSpec(kind, {"n_estimators": 1, "max_depth": 1, **plain}), rows["train"])
         return rounded(model.predict(rows["test"], KEY).select(KEY, "prediction"), 5)
     q.__doc__ = f"One round of '{kind}' at depth 1 on one feature: the best split and both leaves, checked in SQL."
     return q

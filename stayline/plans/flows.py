@@ -31,7 +31,7 @@ from ..operators import metrics as M
 from ..operators.features import LABEL, assemble
 from ..operators.models.estimators import ModelSpec
 from ..operators.models.trainer import PREDICTION, SCORE, TrainedModel, fit
-from ..operators.tuning import GRIDS, IGNORED, grid_search, tuning_rows
+from ..operators.tuning import GRIDS, grid_search, tuning_rows
 from ..sources.storage import append_metrics, long_metrics
 from .datasets import Prepared
 
@@ -68,7 +68,7 @@ def trained(spec: ModelSpec, data, key: str, family: str, tune: bool = False, us
         if report:
             append_metrics(tuning_rows(found, family), report)
         if use_tuned:
-            params.update({k: v for k, v in found.best_params.items() if k not in IGNORED.get(spec.kind, ())})
+            params.update(found.best_params)
     model = fit(ModelSpec(spec.kind, params, spec.seed), train, names)
     if save_dir:
         model.save(os.path.join(save_dir, f"{family}_{spec.kind}"))
