@@ -1,11 +1,14 @@
 """Isolation forest (Liu, Ting & Zhou, 2008) on Spark.
 
-* Sampling: tree t needs psi = min(256, n) rows drawn without replacement.
-  Each row is given m = min(T, ceil(1.5 * T * psi / n)) candidate tree ids
-  by a hash of its key (every tree when m = T), so the candidate set has about
-  1.5 * T * psi rows whatever n is -- one pass, no rows x trees product.
-  Per tree the psi candidates with the lowest hash are kept (a window
-  partitioned by tree over ~1.5 * psi rows).
+* Sampling: tree t needs psi = min(256, n) rows drawn without replacement: those
+  with the psi lowest numbers of a hash of row and tree.  One pass over the rows
+  sends only numbers below a bound that about psi rows pass (and, in the rare
+  case that fewer do, a second pass with a higher bound), so about 1.3 psi
+  candidates per tree travel, whatever n is: no rows x trees product, no shuffle
+  of the rows.  The hash is of the key and the features; equal rows that a task
+  reads together are told apart by their rank and its place, so a table whose
+  rows or keys repeat is sampled like any other.  Distinct rows give the same
+  sample on any cluster.
 * Building: ``groupBy(tree).applyInPandas`` grows each tree from its psi
   rows: a random non-constant feature, a uniform threshold, depth limit
   ceil(log2 psi).  A leaf stores depth + c(leaf size).
@@ -19,17 +22,21 @@
 from __future__ import annotations
 
 import math
+from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.functions import pandas_udf
 
-from ...functions.scalar import hash_bucket, hash_unit
+from ...session import scratch_path
 from ..features import FEATURES
 from ..stats import quantiles
+from .trees import mixed
 
 EULER = 0.5772156649
 NODE_SCHEMA = ("tree int, node int, feature int, threshold double, left int, right int, value double")
@@ -157,6 +164,12 @@ def _plain(x):
     return x.item() if isinstance(x, np.generic) else x
 
 
+def _saved(frame: DataFrame):
+    path = scratch_path(frame.sparkSession, "isolation-sample")
+    frame.write.parquet(path)
+    return frame.sparkSession.read.parquet(path)
+
+
 class IsolationForest:
     def __init__(self, n_estimators: int = 100, max_samples: int | str = "auto",
                  contamination: str | float = "auto", seed: int = 42, key: str = "id"):
@@ -166,31 +179,46 @@ class IsolationForest:
         self.seed = int(seed)
         self.key = key
 
+    def sample(self, df: DataFrame, features: str, n: int, psi: int, bound: float) -> DataFrame:
+        """(tree, v, x): for every tree the rows whose number v is below ``bound``."""
+        seed, trees = self.seed, np.arange(self.T)
+
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            place = TaskContext.get().partitionId() << 32
+            for whole in batches:
+                for a in range(0, whole.num_rows, 4096):
+                    batch = whole.slice(a, 4096)
+                    rows = batch.column(0).to_numpy().view(np.uint64)
+                    order = np.argsort(rows, kind="stable")
+                    first = np.concatenate([[True], rows[order][1:] != rows[order][:-1]])
+                    start = np.maximum.accumulate(np.where(first, np.arange(len(rows)), 0))
+                    rank = np.empty(len(rows), np.uint64)
+                    rank[order] = (np.arange(len(rows)) - start).astype(np.uint64)
+                    place += 1
+                    rows = np.where(rank > 0, mixed(rows ^ mixed(rank + mixed(np.array([place], np.uint64)))), rows)
+                    salts = mixed(np.uint64(seed) + trees.astype(np.uint64))
+                    v = (mixed(rows[None, :] ^ salts[:, None]) >> np.uint64(11)).astype(float) / float(1 << 53)
+                    tree, at = np.nonzero(v < bound)
+                    yield pa.RecordBatch.from_arrays([pa.array(tree.astype(np.int32)), pa.array(v[tree, at]), batch.column(1).take(pa.array(at))], ["tree", "v", "x"])
+
+        x = vector_to_array(F.col(features))
+        own = [F.col(f"`{self.key}`")] if self.key in df.columns else []
+        return df.select(F.xxhash64(*own, x).alias("r"), x.alias("x")).mapInArrow(run, "tree int, v double, x array<double>")
+
     def fit(self, df: DataFrame, features: str = FEATURES) -> IsolationForestModel:
-        copies = df.groupBy(F.col(self.key)).agg(F.count(F.lit(1)).alias("n")).agg(F.sum("n").alias("n"), F.max("n").alias("most")).first()
-        n = int(copies["n"] or 0)
+        n = df.count()
         if n == 0:
             raise ValueError("isolation forest: no rows")
-        if copies["most"] > 1:
-            raise ValueError(f"isolation forest: sampling needs a unique key, and values of {self.key!r} repeat")
         psi = min(256, n) if self.max_samples == "auto" else min(int(self.max_samples), n)
-        T = self.T
-        m = min(T, math.ceil(1.5 * T * psi / n))
-        base = df.select(F.col(self.key).alias("__k"), vector_to_array(F.col(features)).alias("x"))
-        if m >= T:
-            cand = base.select("__k", "x", F.explode(F.sequence(F.lit(0), F.lit(T - 1))).alias("tree"))
-        elif m == 1:
-            keep = hash_unit(F.col("__k"), f"{self.seed}:if:keep") < F.lit(1.5 * T * psi / n)
-            cand = base.where(keep).select("__k", "x", hash_bucket(F.col("__k"), f"{self.seed}:if:tree", T).alias("tree"))
-        else:
-            j = F.explode(F.sequence(F.lit(0), F.lit(m - 1))).alias("j")
-            cand = base.select("__k", "x", j).select(
-                "__k", "x", hash_bucket(F.concat_ws(":", F.col("__k").cast("string"), F.col("j").cast("string")),
-                                        f"{self.seed}:if:tree", T).alias("tree")).dropDuplicates(["__k", "tree"])
-        h = hash_unit(F.concat_ws(":", F.col("__k").cast("string"), F.col("tree").cast("string")), f"{self.seed}:if:rank")
-        ranked = cand.withColumn("__h", h).withColumn(
-            "__r", F.row_number().over(Window.partitionBy("tree").orderBy("__h", "__k")))
-        sample = ranked.where(F.col("__r") <= psi).select("tree", "x", "__r")
+        bound = (psi + 4 * math.sqrt(psi) + 16) / n
+        while True:
+            found = _saved(self.sample(df, features, n, psi, min(bound, 1.0)))
+            counts = [r["count"] for r in found.groupBy("tree").count().collect()]      # one per tree
+            if bound >= 1 or len(counts) == self.T and min(counts) >= psi:
+                break
+            bound *= 4
+        place = F.row_number().over(Window.partitionBy("tree").orderBy("v", "x"))
+        sample = found.withColumn("__r", place).where(F.col("__r") <= psi)
         depth_limit = max(1, math.ceil(math.log2(max(psi, 2))))
         seed = self.seed
 

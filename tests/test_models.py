@@ -161,8 +161,29 @@ def test_isolation_forest_does_not_depend_on_the_partitions_and_is_saved(spark,
     loaded = IsolationForestModel.load(spark, str(tmp_path / "forest"))
     assert rows(loaded) == first
     assert sorted(tuple(r) for r in run_isolation_forest(data, "k", model=loaded).select("k", "anomaly_score", "anomaly").collect()) == first
-    with pytest.raises(ValueError, match="unique"):
-        IsolationForest(key="k").fit(data.withColumn("k", F.col("k") % 9))
+
+
+def test_isolation_forest_of_repeated_rows_and_keys(spark):
+    data = _mixed(spark, 600)
+    anomalies = data.limit(1).select("k", "label", "features")
+    for doubled in (data.unionAll(data), data.withColumn("k", F.col("k") % 9)):
+        model = IsolationForest(n_estimators=20, key="k").fit(doubled)
+        assert len(model.trees) == 20 and model.psi == 256
+        sizes = [sum(t["feature"] < 0) for t in model.trees]
+        assert min(sizes) > 20
+        assert model.transform(anomalies).count() == 1
+    one = IsolationForest(n_estimators=5, key="k").fit(data.limit(1).unionAll(data.limit(1)).unionAll(data.limit(1)))
+    assert one.psi == 3 and all(len(t["feature"]) == 1 for t in one.trees)
+
+
+def test_isolation_sample_takes_every_copy_with_equal_chance(spark):
+    data = _mixed(spark, 300)
+    many = data.where("k = 5").crossJoin(spark.range(300)).select(*data.columns).unionAll(data)      # half of the rows are one row
+    forest = IsolationForest(n_estimators=200, key="k", max_samples=30)
+    own = data.where("k = 5").first()["features"].toArray().tolist()
+    found = forest.sample(many.repartition(3), "features", 600, 30, 0.05)
+    share = found.where(F.col("x") == F.array(*map(F.lit, own))).count() / found.count()
+    assert 0.4 < share < 0.6
 
 
 def test_poisson_one_stump_in_closed_form(spark):
