@@ -72,11 +72,11 @@ def fit_standard(df: DataFrame, columns: list[str], by: str | None = None) -> Sc
     return ScalerState("standard", params, by)
 
 
-def fit_robust(df: DataFrame, columns: list[str], by: str | None = None) -> ScalerState:
-    """Median and interquartile range (linear interpolation), NULL skipped."""
+def fit_robust(df: DataFrame, columns: list[str], by: str | None = None, groups: list | None = None) -> ScalerState:
+    """Median and interquartile range (linear interpolation), NULL skipped.  ``groups``, where known, saves a pass."""
     if not columns:
         return ScalerState("robust", {}, by)
-    q = quantiles(df, columns, [0.25, 0.5, 0.75], by=by)
+    q = quantiles(df, columns, [0.25, 0.5, 0.75], by=by, groups=groups)
     params = {}
     for g, per in (q if by else {ALL: q}).items():
         params[g] = {c: (med, _nonzero(None if q1 is None else q3 - q1)) for c, (q1, med, q3) in per.items()}
@@ -121,4 +121,5 @@ def apply_scaler(df: DataFrame, state: ScalerState) -> DataFrame:
 def fit_scalers(df: DataFrame, std_cols: list[str], rob_cols: list[str], by: str | None = None
                 ) -> tuple[ScalerState, ScalerState]:
     """Both scalers of a dataset preparation."""
-    return fit_standard(df, std_cols, by), fit_robust(df, rob_cols, by)
+    std = fit_standard(df, std_cols, by)
+    return std, fit_robust(df, rob_cols, by, list(std.params) if by and std_cols else None)

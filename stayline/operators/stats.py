@@ -33,12 +33,13 @@ def _ranks(n: int, p: float) -> tuple[int, int, float]:
     return math.floor(h), math.ceil(h), h - math.floor(h)
 
 
-def quantiles(df: DataFrame, columns: Sequence[str], probs: Sequence[float], by: str | None = None
+def quantiles(df: DataFrame, columns: Sequence[str], probs: Sequence[float], by: str | None = None, groups: list | None = None
               ) -> dict[object, dict[str, list[float | None]]] | dict[str, list[float | None]]:
     """Exact quantiles of several columns; NULL and NaN are skipped.
 
     Without ``by``: {column: [q(p) for p in probs]}.  With ``by``: the same
-    per group value; ``by`` must have few distinct values (dataset families).
+    per group value; ``by`` must have few distinct values (dataset families),
+    which ``groups`` names where they are known.
     A column without values gives None.  Only counts per partition and the
     wanted values reach the driver."""
     columns = list(columns)
@@ -54,7 +55,10 @@ def quantiles(df: DataFrame, columns: Sequence[str], probs: Sequence[float], by:
     ordered = (counted.repartitionByRange(parts, "g", "c", "v")
                .select("*", F.spark_partition_id().alias("part")).persist(StorageLevel.MEMORY_AND_DISK))
     # a group no column has values in still belongs to the result
-    groups = [r["g"] for r in df.select(group_key(by).alias("g")).distinct().collect()] if by else [ALL]
+    if not by:
+        groups = [ALL]
+    elif groups is None:
+        groups = [r["g"] for r in df.select(group_key(by).alias("g")).distinct().collect()]
     held = defaultdict(list)
     for r in ordered.groupBy("part", "g", "c").agg(F.sum("n").alias("n")).collect():
         held[r["g"], r["c"]].append((r["part"], r["n"]))

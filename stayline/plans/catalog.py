@@ -18,7 +18,7 @@ from ..config import STAYS
 from ..functions.scalar import clip_nonneg, col, inverse_log_target, log_target
 from ..operators import metrics as M
 from ..operators.clean import clean_and_impute, drop_listed, extract_frailty
-from ..operators.outliers import fit_fences, split_outliers, tag_outliers
+from ..operators.outliers import fit_fences, outlier_condition, split_outliers, tag_outliers
 from ..operators.scalers import fit_robust, fit_standard
 from ..operators.splits import SPLIT_COL, kfold_column, split_column, stratified_kfold_column
 from ..operators.target_encoder import fit_target_encoder
@@ -97,10 +97,8 @@ def q_outlier_flag(spark, sf):
 def q_outlier_fork_counts(spark, sf):
     """F1 + A6: rows per branch of the IQR fork (the flagship question)."""
     df = _clean(spark, sf)
-    inl, out = split_outliers(df, CFG)
-    return (inl.select(F.lit("inlier").alias("branch"))
-            .unionByName(out.select(F.lit("outlier").alias("branch")))
-            .groupBy("branch").agg(F.count(F.lit(1)).alias("rows")))
+    branch = F.when(outlier_condition(F.col(CFG.target), fit_fences(df, CFG)), "outlier").otherwise("inlier")
+    return df.groupBy(branch.alias("branch")).agg(F.count(F.lit(1)).alias("rows"))
 
 
 @register("iqr_fork", O.base(

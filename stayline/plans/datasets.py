@@ -105,26 +105,32 @@ def prepare(df: DataFrame, cfg: RoleConfig, families=FAMILIES, fences: Fences |
     transform train and test.  ``df`` is the raw spell table unless
     ``cleaned``.
 
-    Jobs over the rows: fences (quartiles), scalers (one aggregate and the
-    quartiles), encoder (one aggregate); the output plan is then a single pass.
-    With ``persist`` the cleaned rows (only the columns that survive cleaning)
-    are kept in memory/disk after the first pass, so the source scan and its
-    joins run once; the caller then calls ``release``."""
+    The source is read twice: once for all fits, which share the columns they
+    need as cached rows (released before this returns), and once by the output
+    plan, a single pass.  With ``persist`` all cleaned columns are kept instead,
+    so the source scan and its joins run once; the caller then calls ``release``."""
     base = df if cleaned else clean_and_impute(df, cfg)
+    target = cfg.present([cfg.target], base.columns)
+    std_cols, rob_cols, enc_cols = (cfg.present(names, base.columns) for names in (cfg.std_scale_cols, cfg.robust_scale_cols, cfg.encode_cols))
     if persist:
-        base = base.persist(StorageLevel.MEMORY_AND_DISK)
-    tagged, fences = tag_families(base, cfg, families, fences)
-    target = cfg.present([cfg.target], tagged.columns)[0]
+        kept = base = base.persist(StorageLevel.MEMORY_AND_DISK)
+    else:
+        used = list(dict.fromkeys([*cfg.present([cfg.key], base.columns), *target, *std_cols, *rob_cols, *enc_cols]))
+        kept = base.select(*[col(c) for c in used]).persist(StorageLevel.MEMORY_AND_DISK)
+    rows, fences = tag_families(kept, cfg, families, fences)
+    target = target[0]
     # y for the encoder: the 0/1 flag for 'class', the log target otherwise.
     enc_y = "__enc_y"
-    tagged = split_column(tagged, cfg).withColumn(
+    rows = split_column(rows, cfg).withColumn(
         enc_y, F.when(F.col(FAMILY) == F.lit("class"), col(cfg.class_target).cast("double"))
         .otherwise(col(target)))
-    train = tagged.where(F.col(SPLIT_COL) == F.lit("train"))
-    std, rob = fit_scalers(train, cfg.present(cfg.std_scale_cols, tagged.columns),
-                           cfg.present(cfg.robust_scale_cols, tagged.columns), by=FAMILY)
-    enc = fit_target_encoder(train, cfg.present(cfg.encode_cols, tagged.columns), enc_y, by=FAMILY)
-    out = apply_target_encoder(apply_scaler(apply_scaler(tagged, std), rob), enc).drop(enc_y)
+    train = rows.where(F.col(SPLIT_COL) == F.lit("train"))
+    std, rob = fit_scalers(train, std_cols, rob_cols, by=FAMILY)
+    enc = fit_target_encoder(train, enc_cols, enc_y, by=FAMILY)
+    if not persist:
+        kept.unpersist()
+    tagged = split_column(tag_families(base, cfg, families, fences)[0], cfg)
+    out = apply_target_encoder(apply_scaler(apply_scaler(tagged, std), rob), enc)
     return Prepared(out, fences, std, rob, enc, cfg, base if persist else None)
 
 
