@@ -49,6 +49,7 @@ from .trees import MISSING, MOST_BINS, NODE, Rule, Tree, bootstrap, grow, mixed,
 
 FOLD = "__fold"
 CELLS = 1 << 20             # rows x features of a node that one task grows
+LEAST_ROWS = 1024           # rows of such a node, however many features there are
 BLOCK_ROWS = 1 << 13        # rows of a block
 SMALL_ROWS, FEW_PARTITIONS, LARGE_ROWS = 2_000, 16, 1_000_000     # partitions of the blocks
 SUMS_BYTES = 1 << 26        # sums that a task sends per job
@@ -297,7 +298,7 @@ class Growth:
 
     def __init__(self, binned: Binned, source, sizes: dict[int, int]):
         self.binned, self.source = binned, source
-        self.limit = max(1024, CELLS // binned.p)
+        self.limit = max(LEAST_ROWS, CELLS // binned.p)
         self.nodes = {t: [] for t in sizes}
         self.small = {t: [1] for t, n in sizes.items() if n <= self.limit}
         self.large = {t: [1] for t, n in sizes.items() if n > self.limit}

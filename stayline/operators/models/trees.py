@@ -31,6 +31,7 @@ MISSING = 255
 MOST_BINS = 255             # real bins of a feature: 0 to 254
 LEAST_GAIN = 1e-6           # of a Newton split
 LEAST_SHARE = 1e-9          # of the score, for the other kinds
+TIE = 1e-11                 # relative difference of equal scores
 UNLIMITED = 60              # deepest heap number that fits 64 bits
 
 NODE = np.dtype([("id", "<i8"), ("n", "<i8"), ("a", "<f8"), ("b", "<f8"), ("feature", "<i4"), ("bound", "<i4"), ("left_missing", "?")])
@@ -137,22 +138,24 @@ class Gains:
         top = np.maximum.reduceat(both, self.start, axis=1)
         if self.rule.features is not None and self.rule.features < len(columns):
             top = np.where(drawn(np.isfinite(top), ids, columns, self.rule.features, seed), top, -np.inf)
-        feature = np.argmax(top, axis=0)
         nodes = np.arange(len(self.start))
-        found = top[feature, nodes]
         own = self.rule.score(*self.rule.weigh(whole[0], whole[1], self.classes))
+        found = top.max(axis=0)
+        # scores this close are ties, however their sums were rounded
+        enough = found - TIE * np.maximum(np.abs(found), 1.0)
+        feature = np.argmax(top >= enough, axis=0)
         gain = np.where(found - own > self.rule.least(own), found - own, -np.inf)
         place = np.full(len(nodes), -1)
         goes_left = np.zeros(len(nodes), bool)
         for k in np.unique(feature):                    # at most one pass per feature
             mine = feature == k
-            hit = np.flatnonzero(both[k] == self.spread(np.where(mine, found, np.nan)))
+            hit = np.flatnonzero(both[k] >= self.spread(np.where(mine, enough, np.nan)))
             node = np.searchsorted(self.start, hit, side="right") - 1
             first, at = np.unique(node, return_index=True)
             place[first] = hit[at]
         if left is not None:
             some = np.isfinite(gain)
-            goes_left[some] = left[feature[some], place[some]] > right[feature[some], place[some]]
+            goes_left[some] = ~(right[feature[some], place[some]] >= enough[some])
         return gain, feature, place, goes_left
 
 
@@ -253,7 +256,8 @@ def rebased(ids, top: int):
     out = np.array(ids)
     for depth in range(UNLIMITED + 1):
         at = (ids >> depth) == top
-        out[at] = ids[at] - ((top - 1) << depth)
+        if at.any():
+            out[at] = ids[at] - ((top - 1) << depth)
     return out
 
 
