@@ -16,7 +16,7 @@ FEATURES = "features"
 LABEL = "label"
 WEIGHT = "weight"
 
-NULL_POLICIES = ("error", "skip", "sentinel")
+NULL_POLICIES = ("error", "skip", "sentinel", "missing")
 SENTINEL = -1.0
 
 # Columns that are never features (bookkeeping added by the engine).
@@ -46,7 +46,8 @@ def assemble(df: DataFrame, cfg: RoleConfig, label: str | None, features: Sequen
     ``null_policy``: 'error' raises on a NULL feature or label (as the
     original's estimators do on NaN); 'skip' drops such rows; 'sentinel' fills
     features with -1, the default the configuration already uses for missing
-    clinical scores, and leaves out rows without a label.
+    clinical scores, and leaves out rows without a label; 'missing' keeps NULL
+    features as NaN, whose side every split of a tree learns.
     """
     if null_policy not in NULL_POLICIES:
         raise ValueError(f"null_policy must be one of {NULL_POLICIES}")
@@ -62,7 +63,7 @@ def assemble(df: DataFrame, cfg: RoleConfig, label: str | None, features: Sequen
         base = base.na.fill(SENTINEL, subset=fnames)
         handle = "error"
     else:
-        handle = "skip" if null_policy == "skip" else "error"
+        handle = {"skip": "skip", "missing": "keep"}.get(null_policy, "error")
     if target and null_policy != "error":
         base = base.where(F.col(LABEL).isNotNull())
     va = VectorAssembler(inputCols=fnames, outputCol=FEATURES, handleInvalid=handle)

@@ -124,7 +124,7 @@ def build(spec: ModelSpec, train: DataFrame, has_weight: bool = False):
         if has_weight:
             kw["weightCol"] = WEIGHT
         return LogisticRegression(regParam=reg, elasticNetParam=en, standardization=False,
-                                  maxIter=int(p.get("max_iter", 100)), tol=1e-6, family="binomial", **kw)
+                                  maxIter=int(p.get("max_iter", 100)), tol=1e-9, family="binomial", **kw)
     raise ValueError(f"unknown model kind {k!r}")
 
 

@@ -103,7 +103,7 @@ from .flows import family_data, flow_no_split, flow_split, trained  # noqa: E402
 def _regression_query(kind, params=None):
     def q(spark, sf):
         prep = prepare(stays(spark, sf), CFG, ("nosplit",))
-        data = family_data(prep, "nosplit")
+        data = family_data(prep, "nosplit", "missing" if kind.startswith("xgboost") else "sentinel")
         model = trained(ModelSpec(kind, params or {}), data, KEY, "nosplit")
         return M.regression_frame(model.predict(data[1], KEY), KEY)
     q.__doc__ = f"Prediction frame (actual_los, predicted_los in days) of '{kind}' on the no-split test rows."
@@ -181,7 +181,7 @@ from ..operators.tuning import FOLDS, GRIDS, grid_search  # noqa: E402
 def _tune_query(kind, family):
     def q(spark, sf):
         prep = prepare(stays(spark, sf), CFG, (family,), persist=True)
-        train, test, _ = family_data(prep, family)
+        train, test, _ = family_data(prep, family, "missing" if kind.startswith("xgboost") else "sentinel")
         found = grid_search(kind, train, test, KEY)
         prep.release()
         rows = [(kind, json.dumps(p, sort_keys=True), s, p == found.best_params) for p, s in found.cv]
@@ -254,3 +254,116 @@ _LEAVES = {
 for _kind, (_left, _right) in _LEAVES.items():
     register(f"{_kind}_one_stump", _STUMP_SQL + f"""SELECT p.spell_id, {_r5(f'CASE WHEN p.{ONE_FEATURE} <= best.x THEN {_left} ELSE {_right} END')} AS prediction
 FROM prepared p, best WHERE p.split = 'test' AND p.{ONE_FEATURE} IS NOT NULL AND p.spell_episode_los IS NOT NULL""")(_one_stump(_kind))
+
+
+# ------------------------------- boosting rounds with missing values in SQL --
+
+GROWN = ("frailty_score", "patient_age_on_admission")       # both with NULLs
+ROUND_DEPTHS = (1, 2)
+
+
+def _with_missing(spark, sf):
+    prep = prepare(stays(spark, sf), CFG, ("nosplit",))
+    train, test = (assemble(prep.family("nosplit", s).where(F.col(CFG.target).isNotNull()), CFG, CFG.target, features=list(GROWN), null_policy="missing")[0] for s in ("train", "test"))
+    return train, test
+
+
+def _round_level(level: int) -> str:
+    """CTEs that split every node of r{level} and give r{level + 1}: the best of all
+    (feature, value, side of missing values), the bound half way to the next value."""
+    r, n = f"r{level}", level + 1
+    cells = " UNION ALL ".join(f"SELECT node, {j} AS f, x{j} AS x, g FROM {r} WHERE split = 'train'" for j in (1, 2))
+    step = " ".join(f"WHEN b.f = {j} THEN (CASE WHEN r.x{j} IS NULL THEN b.ml ELSE r.x{j} <= b.bound END)" for j in (1, 2))
+    return f"""
+, cell{n} AS ({cells})
+, tot{n} AS (SELECT node, sum(g) AS g, count(*) AS h FROM {r} WHERE split = 'train' GROUP BY node)
+, mis{n} AS (SELECT node, f, sum(g) AS gm, count(*) AS hm FROM cell{n} WHERE x IS NULL GROUP BY node, f)
+, val{n} AS (SELECT node, f, x, sum(sum(g)) OVER w AS gl, sum(count(*)) OVER w AS hl FROM cell{n} WHERE x IS NOT NULL GROUP BY node, f, x WINDOW w AS (PARTITION BY node, f ORDER BY x))
+, opt{n} AS (SELECT v.node, v.f, x, s.ml, t.g, t.h, gl + (CASE WHEN s.ml THEN coalesce(gm, 0) ELSE 0 END) AS gl, hl + (CASE WHEN s.ml THEN coalesce(hm, 0) ELSE 0 END) AS hl
+           FROM val{n} v JOIN tot{n} t USING (node) LEFT JOIN mis{n} m ON m.node = v.node AND m.f = v.f JOIN (VALUES (false), (true)) s(ml) ON NOT s.ml OR hm > 0)
+, gain{n} AS (SELECT *, gl * gl / (hl + 1) + (g - gl) * (g - gl) / (h - hl + 1) - g * g / (h + 1) AS gain FROM opt{n} WHERE hl >= 1 AND h - hl >= 1)
+, best{n} AS (SELECT q.node, q.f, q.ml, CASE WHEN u.after IS NULL THEN 'infinity'::DOUBLE ELSE (q.x + u.after) / 2 END AS bound
+           FROM gain{n} q JOIN u ON u.f = q.f AND u.x = q.x WHERE gain > 1e-6
+           QUALIFY row_number() OVER (PARTITION BY node ORDER BY round(gain, 8) DESC, q.f, q.x, q.ml) = 1)
+, {f'r{n}'} AS (SELECT r.spell_id, r.split, r.x1, r.x2, r.g, CASE WHEN b.node IS NULL THEN r.node WHEN (CASE {step} END) THEN 2 * r.node ELSE 2 * r.node + 1 END AS node
+           FROM {r} r LEFT JOIN best{n} b ON b.node = r.node)
+"""
+
+
+def _round_sql() -> str:
+    ends = " UNION ALL ".join(
+        f"SELECT {d} AS depth, r.spell_id, {_r5('base - 0.3 * l.g / (l.h + 1)')} AS prediction FROM r{d} r "
+        f"JOIN (SELECT node, sum(g) AS g, count(*) AS h FROM r{d} WHERE split = 'train' GROUP BY node) l USING (node), mean WHERE r.split = 'test'" for d in ROUND_DEPTHS)
+    return O.prepared_base(("nosplit",)) + f"""
+, known AS (SELECT spell_id, split, {GROWN[0]} AS x1, {GROWN[1]} AS x2, spell_episode_los AS y FROM prepared WHERE spell_episode_los IS NOT NULL)
+, mean AS (SELECT avg(y) AS base FROM known WHERE split = 'train')
+, u AS (SELECT f, x, lead(x) OVER (PARTITION BY f ORDER BY x) AS after FROM (SELECT DISTINCT 1 AS f, x1 AS x FROM known WHERE split = 'train' AND x1 IS NOT NULL
+        UNION ALL SELECT DISTINCT 2, x2 FROM known WHERE split = 'train' AND x2 IS NOT NULL))
+, r0 AS (SELECT spell_id, split, x1, x2, CASE WHEN split = 'train' THEN base - y END AS g, CAST(1 AS BIGINT) AS node FROM known, mean)
+{"".join(_round_level(d) for d in range(max(ROUND_DEPTHS)))}
+{ends}"""
+
+
+@register("xgboost_one_round", _round_sql())
+def q_xgboost_one_round(spark, sf):
+    """M5: one round at depth 1 and 2 on two features with NULLs -- L2 leaf term,
+    learning rate, learned side of missing values -- checked in SQL."""
+    train, test = _with_missing(spark, sf)
+    parts = [fit(ModelSpec("xgboost", {"n_estimators": 1, "max_depth": d}), train).predict(test, KEY).select(F.lit(d).alias("depth"), KEY, "prediction") for d in ROUND_DEPTHS]
+    return rounded(parts[0].unionByName(parts[1]), 5)
+
+
+CHILD_WEIGHTS = (1, 3, 5, 500, 4000)
+
+
+def _child_weight_sql() -> str:
+    left, right = _LEAVES["xgboost_poisson"]
+    best = "".join(f", best{w} AS (SELECT * FROM b WHERE mu * ln >= {w} AND mu * (tn - ln) >= {w} ORDER BY gl * gl / (mu * ln + 1) + gr * gr / (mu * (tn - ln) + 1) DESC, x LIMIT 1)" for w in CHILD_WEIGHTS)
+    ends = " UNION ALL ".join(f"""SELECT {w} AS min_child_weight, p.spell_id, {_r5(f'CASE WHEN best{w}.x IS NULL THEN (SELECT any_value(mu) FROM b) WHEN p.{ONE_FEATURE} <= best{w}.x THEN {left} ELSE {right} END')} AS prediction
+FROM prepared p LEFT JOIN best{w} ON true WHERE p.split = 'test' AND p.{ONE_FEATURE} IS NOT NULL AND p.spell_episode_los IS NOT NULL""" for w in CHILD_WEIGHTS)
+    return _STUMP_SQL.rstrip() + best + "\n" + ends
+
+
+@register("xgboost_poisson_child_weight", _child_weight_sql())
+def q_xgboost_poisson_child_weight(spark, sf):
+    """M6: one round at depth 1 with the hessian bound of the grid and two that bind."""
+    prep = prepare(stays(spark, sf), CFG, ("nosplit",))
+    known = F.col(ONE_FEATURE).isNotNull()
+    rows = {s: assemble(prep.family("nosplit", s).where(known), CFG, CFG.target, features=[ONE_FEATURE], null_policy="skip")[0] for s in ("train", "test")}
+    out = None
+    for w in CHILD_WEIGHTS:
+        model = fit(ModelSpec("xgboost_poisson", {"n_estimators": 1, "max_depth": 1, "min_child_weight": w}), rows["train"])
+        part = model.predict(rows["test"], KEY).select(F.lit(w).alias("min_child_weight"), KEY, "prediction")
+        out = part if out is None else out.unionByName(part)
+    return rounded(out, 5)
+
+
+# ------------------------------------------------- Newton steps in SQL --
+
+LOGISTIC_C = (0.01, 1.0, 100.0)
+
+
+def _logistic_sql() -> str:
+    points = ", ".join(f"({c}::DOUBLE)" for c in LOGISTIC_C)
+    return O.prepared_base(("class",)).replace("WITH ", "WITH RECURSIVE ", 1) + f"""
+, d AS (SELECT {ONE_FEATURE} AS x, CAST(is_outlier AS DOUBLE) AS y FROM prepared WHERE split = 'train' AND {ONE_FEATURE} IS NOT NULL)
+, step AS (SELECT 0 AS it, c, 0.0::DOUBLE AS a, 0.0::DOUBLE AS b FROM (VALUES {points}) v(c)
+  UNION ALL
+  SELECT it + 1, c, a - (ga * (hbb + 1 / c) - (gb + b / c) * hab) / (haa * (hbb + 1 / c) - hab * hab), b - ((gb + b / c) * haa - ga * hab) / (haa * (hbb + 1 / c) - hab * hab)
+  FROM (SELECT it, c, a, b, sum(p - y) AS ga, sum((p - y) * x) AS gb, sum(p * (1 - p)) AS haa, sum(p * (1 - p) * x) AS hab, sum(p * (1 - p) * x * x) AS hbb
+        FROM (SELECT it, c, a, b, x, y, 1 / (1 + exp(-(a + b * x))) AS p FROM step, d WHERE it < 12) GROUP BY it, c, a, b))
+SELECT c AS "C", (round(b, 4) + 0.0) AS slope, (round(a, 4) + 0.0) AS intercept FROM step WHERE it = 12"""
+
+
+@register("logistic_one_feature", _logistic_sql())
+def q_logistic_one_feature(spark, sf):
+    """M7: the l2 fit on one feature vs Newton steps in SQL."""
+    prep = prepare(stays(spark, sf), CFG, ("class",))
+    data, _ = assemble(prep.family("class", "train").where(F.col(ONE_FEATURE).isNotNull()), CFG, CFG.class_target, features=[ONE_FEATURE], null_policy="error")
+    data = placed(data).persist()
+    rows = []
+    for c in LOGISTIC_C:
+        m = fit(ModelSpec("logistic", {"C": c, "max_iter": 500}), data, is_placed=True).model
+        rows.append((c, float(m.coefficients[0]), float(m.intercept)))
+    data.unpersist()
+    return rounded(spark.createDataFrame(rows, "C double, slope double, intercept double"), 4)
