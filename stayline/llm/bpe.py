@@ -33,7 +33,7 @@ WORD_PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
 # From here on, the library and the installed regex module may follow
 # different Unicode versions; such chunks go through the library's own splitter.
 FIRST_DISPUTED = "՘"
-CACHE_LIMIT = 400_000       # distinct chunks or pre-tokens kept by a task
+CACHE_LIMIT = 700_000       # distinct chunks or pre-tokens kept by a task
 DECODE_IDS = 400_000        # ids turned into text at once
 
 

@@ -36,21 +36,31 @@ BLOCK_IDS = 1 << 19         # a block ends with the document that reaches this
 
 
 def encoded(docs: DataFrame, path: str, end_id: int) -> DataFrame:
-    """(doc_id, ids): ids as little-endian unsigned integers of two or four bytes, the end id last."""
-    schema = T.StructType([T.StructField("doc_id", docs.schema["doc_id"].dataType), T.StructField("ids", T.BinaryType())])
+    """Rows of documents (doc_id, ids: little-endian unsigned integers of two or four
+    bytes, the end id last) and one row per task with the ids it has written
+    (``seen``, ``times``)."""
+    counts = T.ArrayType(T.LongType())
+    schema = T.StructType([T.StructField("doc_id", docs.schema["doc_id"].dataType), T.StructField("ids", T.BinaryType()), T.StructField("seen", counts), T.StructField("times", counts)])
     kind = id_kind(path, end_id)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = Encoder(path)
+        encoder, total, key = Encoder(path), np.zeros(0, np.int64), None
         for batch in batches:
-            at = 0
+            at, key = 0, batch.schema.field(0).type
             for part in text_slices(batch.column(1)):
                 flat, lengths = encoder.encode(part.to_pylist())
                 flat = np.insert(flat, np.cumsum(lengths), end_id).astype(kind)
+                own = np.bincount(flat, minlength=len(total))
+                own[:len(total)] += total
+                total = own
                 ends = np.concatenate([[0], np.cumsum(lengths + 1)]) * flat.itemsize
                 ids = pa.BinaryArray.from_buffers(pa.binary(), len(part), [None, pa.py_buffer(ends.astype(np.int32)), pa.py_buffer(flat.tobytes())])
-                yield pa.RecordBatch.from_arrays([batch.column(0).slice(at, len(part)), ids], ["doc_id", "ids"])
+                none = pa.nulls(len(part), pa.list_(pa.int64()))
+                yield pa.RecordBatch.from_arrays([batch.column(0).slice(at, len(part)), ids, none, none], schema.names)
                 at += len(part)
+        seen = np.flatnonzero(total)
+        if len(seen):
+            yield pa.RecordBatch.from_arrays([pa.nulls(1, key), pa.nulls(1, pa.binary()), pa.array([seen], pa.list_(pa.int64())), pa.array([total[seen]], pa.list_(pa.int64()))], schema.names)
 
     return docs.mapInArrow(run, schema)
 
@@ -66,28 +76,15 @@ def flat_ids(array, kind):
     return np.frombuffer(raw.tobytes(), kind), np.diff(offsets) // np.dtype(kind).itemsize
 
 
-def count_ids(table: DataFrame, kind: str) -> DataFrame:
-    """(id, n) of every id that occurs."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = np.zeros(0, np.int64)
-        for batch in batches:
-            own = np.bincount(flat_ids(batch.column(0), kind)[0], minlength=len(total))
-            own[: len(total)] += total
-            total = own
-        seen = np.flatnonzero(total)
-        yield pa.RecordBatch.from_arrays([pa.array(seen, pa.int64()), pa.array(total[seen], pa.int64())], ["id", "n"])
-
-    return table.select("ids").mapInArrow(run, "id long, n long").groupBy("id").agg(F.sum("n").alias("n"))
-
-
 def write_token_files(docs: DataFrame, folder: str, path: str, end_id: int, doc_id: str = "doc_id", text: str = "text") -> None:
     """Encode all texts and write them to ``folder``."""
     spark = docs.sparkSession
     own = docs.select(F.col(f"`{doc_id}`").alias("doc_id"), F.col(f"`{text}`").alias("text"))
-    table, held = saved(encoded(own, path, end_id), "ids")
+    # the order of rows of equal id is fixed before the ids are written
+    table, held = saved(encoded(own, path, end_id).withColumn("tie", F.xxhash64("ids")), "ids")
     kind = id_kind(path, end_id)
-    counts = count_ids(table, kind).collect()                 # at most the vocabulary
+    each = F.explode(F.arrays_zip("seen", "times")).alias("x")
+    counts = table.where("seen is not null").select(each).groupBy(F.col("x.seen").alias("id")).agg(F.sum("x.times").alias("n")).collect()      # at most the vocabulary
     order = [r["id"] for r in sorted(counts, key=lambda r: (-r["n"], r["id"]))]
     spark.createDataFrame([(i, v) for i, v in enumerate(order)], "rank int, id int").coalesce(1).write.parquet(f"{folder}/ranks")
     rank_of = np.zeros(max(order, default=0) + 1, np.int64)
@@ -95,43 +92,41 @@ def write_token_files(docs: DataFrame, folder: str, path: str, end_id: int, doc_
     sent = spark.sparkContext.broadcast(rank_of)
     key = T.StructField("doc_id", own.schema["doc_id"].dataType)
 
-    def code(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for a in range(0, batch.num_rows, 512):
-                part = batch.slice(a, 512)
-                ids, lengths = flat_ids(part.column(1), kind)
-                control, data, c_size, d_size = pack(sent.value[ids], lengths)
-                cut = lambda flat, sizes: pa.BinaryArray.from_buffers(pa.binary(), len(sizes), [
-                    None, pa.py_buffer(np.concatenate([[0], np.cumsum(sizes)]).astype(np.int32)), pa.py_buffer(flat.tobytes())])
-                yield pa.RecordBatch.from_arrays([part.column(0), pa.array(lengths, pa.int64()), cut(control, c_size), cut(data, d_size)], ["doc_id", "n", "control", "data"])
-
-    coded = table.mapInArrow(code, T.StructType([key, T.StructField("n", T.LongType()), T.StructField("control", T.BinaryType()), T.StructField("data", T.BinaryType())]))
-
     def blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        shard, block, start, ids, lengths, control, data, n = TaskContext.get().partitionId(), 0, 0, [], [], [], [], 0
+        """Codes the documents of a shard and cuts them into blocks."""
+        shard, block, start, n, held = TaskContext.get().partitionId(), 0, 0, 0, []
 
         def one():
+            ids, lengths, control, data = zip(*held)
+            lengths = np.concatenate(lengths)
             return pa.RecordBatch.from_pydict({
                 "shard": pa.array([shard], pa.int32()), "block": pa.array([block], pa.int32()), "start": pa.array([start], pa.int64()),
                 "n": pa.array([n], pa.int64()), "doc_ids": pa.ListArray.from_arrays(pa.array([0, len(lengths)], pa.int32()), pa.concat_arrays(ids)),
-                "lengths": pa.array([np.array(lengths, "<i8").tobytes()]), "control": pa.array([b"".join(control)]), "data": pa.array([b"".join(data)])})
+                "lengths": pa.array([lengths.astype("<i8").tobytes()]), "control": pa.array([b"".join(control)]), "data": pa.array([b"".join(data)])})
 
         for batch in batches:
-            for row in range(batch.num_rows):
-                ids.append(batch.column(0).slice(row, 1))
-                size = batch.column(1)[row].as_py()
-                lengths.append(size), control.append(batch.column(2)[row].as_py()), data.append(batch.column(3)[row].as_py())
-                n += size
-                if n >= BLOCK_IDS:
-                    yield one()
-                    block, start, ids, lengths, control, data, n = block + 1, start + n, [], [], [], [], 0
-        if lengths:
+            for a in range(0, batch.num_rows, 256):
+                part = batch.slice(a, 256)
+                flat, lengths = flat_ids(part.column(1), kind)
+                control, data, c_size, d_size = pack(sent.value[flat], lengths)
+                c_at, d_at, n_at = (np.concatenate([[0], np.cumsum(x)]) for x in (c_size, d_size, lengths))
+                at = 0
+                while at < len(lengths):
+                    # up to and with the document that fills the block
+                    to = min(int(np.searchsorted(n_at, n_at[at] + BLOCK_IDS - n)), len(lengths))
+                    held.append((part.column(0).slice(at, to - at), lengths[at:to], control[c_at[at]:c_at[to]].tobytes(), data[d_at[at]:d_at[to]].tobytes()))
+                    n += int(n_at[to] - n_at[at])
+                    at = to
+                    if n >= BLOCK_IDS:
+                        yield one()
+                        block, start, n, held = block + 1, start + n, 0, []
+        if held:
             yield one()
 
     schema = T.StructType([T.StructField("shard", T.IntegerType()), T.StructField("block", T.IntegerType()), T.StructField("start", T.LongType()), T.StructField("n", T.LongType()),
                            T.StructField("doc_ids", T.ArrayType(key.dataType)), T.StructField("lengths", T.BinaryType()), T.StructField("control", T.BinaryType()), T.StructField("data", T.BinaryType())])
-    tie = coded.withColumn("tie", F.xxhash64("control", "data"))
-    (tie.repartitionByRange("doc_id", "tie").sortWithinPartitions("doc_id", "tie").drop("tie")
+    docs_only = table.where("seen is null").select("doc_id", "ids", "tie")
+    (docs_only.repartitionByRange("doc_id", "tie").sortWithinPartitions("doc_id", "tie").drop("tie")
      .mapInArrow(blocks, schema).write.option("compression", "none").parquet(f"{folder}/blocks"))
     drop(spark, held)
 
