@@ -112,6 +112,8 @@ def descend(tops: DataFrame, nodes: DataFrame, tables, arity: int, carried: list
         joined = lambda first, many: F.array_join(F.slice("hs", first, many), "")
         step = F.struct(joined(F.lit(1), F.col("slot")).alias("before"), joined(F.col("slot") + 2, F.size("hs")).alias("after"))
         below = each.select("tree", (F.col("idx") * arity + F.col("slot")).alias("idx"), "c", F.concat(F.array(step), "path").alias("path"))
+        if table is not tables[0]:          # a written table per level keeps each plan small
+            below, _ = saved(below.select("tree", "idx", "path"), "paths")
     alone = nodes.where("n = 1").join(tops, "tree").select("tree", "h", *carried, "path")
     return alone if below is None else alone.unionAll(below.select("tree", "c.h", *[f"c.{c}" for c in carried], "path"))
 
