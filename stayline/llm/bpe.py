@@ -16,6 +16,7 @@ pass through, and the output column replaces one of the same name.
 import json
 import re
 from collections.abc import Iterator
+from os.path import commonprefix
 
 import numpy as np
 import pyarrow as pa
@@ -176,7 +177,9 @@ class PreTokens:
         self.cut = regex.compile(r" (?=\S)")
         self.disputed = re.compile(f"[{FIRST_DISPUTED}-\U0010ffff]")
         self.special = re.compile("(" + "|".join(map(re.escape, sorted(tables.special, key=len, reverse=True))) + ")") if tables.special else None
-        self.library = None
+        # what every special string begins with, so that most texts are passed over quickly
+        self.opens = commonprefix(list(tables.special)) if tables.special else ""
+        self.library = self.normalizer = None
         self.clear()
 
     def clear(self):
@@ -228,12 +231,18 @@ class PreTokens:
 
     def normalize(self, text):
         """Composed and lower-cased, character by character, as the word vocabulary's
-        file asks; its white-space rule is implied by the splitting."""
+        file asks; its white-space rule is implied by the splitting.  Characters on
+        which Unicode versions may differ go through the library's own normalizer."""
         import unicodedata
+        if self.disputed.search(text):
+            if self.normalizer is None:
+                from tokenizers import Tokenizer
+                self.normalizer = Tokenizer.from_file(self.tables.path).normalizer
+            return self.normalizer.normalize_str(text)
         return unicodedata.normalize("NFC", text).replace("Σ", "σ").lower()
 
     def chunk_numbers(self, text):
-        parts = self.special.split(text) if self.special and "<|" in text else [text]
+        parts = self.special.split(text) if self.special and self.opens in text else [text]
         numbers = []
         for part in parts:
             if part in self.marks:

@@ -102,7 +102,9 @@ def base_spans(text):
     while at >= 0:
         if at >= end:
             tail = DOMAIN.match(text, at + 1)
-            start = at - (len(text[end:at]) - len(text[end:at].rstrip(LOCAL))) if tail else at
+            start = at
+            while tail and start > end and text[start - 1] in LOCAL:
+                start -= 1
             if start < at:
                 spans.append(("email", start, tail.end()))
                 end = tail.end()
@@ -183,7 +185,8 @@ def candidates(text):
     spans, failed = base_spans(text)
     rows = [(KINDS.index(k), a, b, True, votes(text, k, a, b, True)) for k, a, b in spans]
     more = dict.fromkeys((k, a, b) for k, a, b in looser_spans(text, failed))
-    return rows + [(KINDS.index(k), a, b, False, votes(text, k, a, b, False)) for k, a, b in more if (k, a, b) not in spans]
+    known = set(spans)
+    return rows + [(KINDS.index(k), a, b, False, votes(text, k, a, b, False)) for k, a, b in more if (k, a, b) not in known]
 
 
 def pattern_code(kind, given):
@@ -279,9 +282,13 @@ def spans_of(text, beta, threshold=THRESHOLD):
     if rest:
         logit = features(np.array([c[0] for c in rest]), np.array([c[4] for c in rest])) @ beta
         score = 1 / (1 + np.exp(-np.clip(logit, -30, 30)))
+        taken = bytearray(len(text))        # code points inside a span
+        for _, a, b, _ in spans:
+            taken[a:b] = b"\1" * (b - a)
         for (k, a, b, _, _), p in sorted(zip(rest, score.tolist()), key=lambda x: (-x[1], x[0][1])):
-            if p > threshold and valid(KINDS[k], text[a:b]) and not any(a < y and x < b for _, x, y, _ in spans):
+            if p > threshold and valid(KINDS[k], text[a:b]) and taken.find(1, a, b) < 0:
                 spans.append((k, a, b, False))
+                taken[a:b] = b"\1" * (b - a)
     return sorted(spans)
 
 

@@ -109,3 +109,13 @@ def test_token_file_query(spark):
         want.append((r["doc_id"], at, len(ids), zlib.crc32(np.array(ids, "<u4").tobytes())))
         at += len(ids)
     assert rows_of(queries.op8(spark, SF)) == sorted(want, key=repr)
+
+
+def test_normalisation_of_every_character_is_the_librarys():
+    split, normalizer = bpe.PreTokens(bpe.Tables(WORD)), Tokenizer.from_file(WORD).normalizer
+    points = [c for c in range(0x110000) if not 0xD800 <= c <= 0xDFFF]
+    for a in range(0, len(points), 5000):
+        text = "".join(f"a{chr(c)}b" for c in points[a:a + 5000])
+        assert split.normalize(text) == normalizer.normalize_str(text)
+        for c in points[a:a + 5000:97]:
+            assert split.normalize(f"Q{chr(c)}") == normalizer.normalize_str(f"Q{chr(c)}")
