@@ -221,7 +221,6 @@ def test_jaccard_join_equals_all_pairs(spark, monkeypatch, small, pivots, percen
 def test_jaccard_join_without_shuffled_broadcasts_and_in_pieces(spark, monkeypatch):
     monkeypatch.setattr(jaccard, "FEW", 0)
     monkeypatch.setattr(jaccard, "PIECE", 11)
-    monkeypatch.setattr(jaccard, "CACHE", 5)
     monkeypatch.setattr(jaccard, "KNOWN", 3)
     rows = related(families=3, each=10)
     assert rows_of(jaccard.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string").repartition(4))) == plain_jaccard(rows)
