@@ -159,70 +159,95 @@ class Gains:
         return gain, feature, place, goes_left
 
 
+def level_sums(own, a, b, node, many, width):
+    """Sums (n, a, b) of rows by node and bin, features x (nodes * width), and of
+    missing values, features x nodes; rows whose node is -1 do not count."""
+    rows = np.flatnonzero(node >= 0)
+    code = node[rows] * (width + 1) + np.minimum(own[:, rows], width).astype(np.int64)
+    code += np.arange(len(own))[:, None] * (many * (width + 1))
+    size = len(own) * many * (width + 1)
+    flat, out, gone = code.ravel(), [], []
+    for weight in (None, a, b):
+        sums = np.bincount(flat, None if weight is None else np.tile(weight[rows], len(own)), size).reshape(len(own), many, width + 1)
+        out.append(sums[:, :, :width])
+        gone.append(sums[:, :, width])
+    return out, gone
+
+
 def grow(bins, a, b, rule: Rule, columns, classes, seed: int, top: int = 1):
     """All nodes below and including ``top`` of the rows given, as a NODE array.
 
-    Rows stay sorted by bin for every feature, node after node, so a level costs
-    a few passes over rows x features however many nodes it has."""
+    A level of few nodes is judged by sums per node and bin.  From then on rows
+    stay sorted by bin for every feature, node after node, so a level costs a
+    few passes over rows x features however many nodes it has."""
     columns = np.asarray(columns)
     own = np.ascontiguousarray(bins[:, columns].T)
-    order = np.argsort(own, axis=1, kind="stable")
-    has_missing = bool((own == MISSING).any())
+    known = own[own != MISSING]
+    has_missing, width = len(known) < own.size, int(known.max()) + 1 if len(known) else 1
     depth = int(top).bit_length() - 1
-    ids, start, lengths = np.array([top], np.int64), np.array([0]), np.array([len(a)])
-    out = []
+    ids, node_of, order, out = np.array([top], np.int64), np.zeros(len(a), np.int64), None, []
     while len(ids):
-        nodes = np.zeros(len(ids), NODE)
-        ca, cb = np.cumsum(a[order], axis=1), np.cumsum(b[order], axis=1)
-        ends = start + lengths - 1
-        before = lambda c: np.where(start > 0, c[:, start - 1], 0.0)
-        base_a, base_b = before(ca), before(cb)
-        whole = (ca[0, ends] - base_a[0], cb[0, ends] - base_b[0], lengths)
-        nodes["id"], nodes["n"], nodes["a"], nodes["b"], nodes["feature"] = ids, lengths, whole[0], whole[1], -1
-        if depth < rule.max_depth and len(order[0]):
-            gains = Gains(rule, classes, start, lengths)
-            la, lb = ca - gains.spread(base_a), cb - gains.spread(base_b)
-            n = np.arange(1, order.shape[1] + 1) - gains.spread(start)
-            sorted_bins = np.take_along_axis(own, order, axis=1)
-            ok = np.empty(sorted_bins.shape, bool)
-            ok[:, :-1] = sorted_bins[:, 1:] != sorted_bins[:, :-1]
-            ok[:, ends] = False
+        many = len(ids)
+        nodes = np.zeros(many, NODE)
+        live = node_of >= 0
+        whole = tuple(np.bincount(node_of[live], w, many) for w in (a[live], b[live])) + (np.bincount(node_of[live], minlength=many),)
+        nodes["id"], nodes["n"], nodes["a"], nodes["b"], nodes["feature"] = ids, whole[2], whole[0], whole[1], -1
+        cut = np.zeros(many, bool)
+        if depth < rule.max_depth and len(known):
             missing = None
-            if has_missing:
-                gone = sorted_bins == MISSING
-                ok &= ~gone
-                total = lambda v: np.add.reduceat(v, start, axis=1)
-                missing = (total(np.where(gone, a[order], 0.0)), total(np.where(gone, b[order], 0.0)), total(gone.astype(np.int64)))
+            if order is None and many * width <= len(a):
+                start, lengths = np.arange(many) * width, np.full(many, width)
+                (n, la, lb), (mn, ma, mb) = level_sums(own, a, b, node_of, many, width)
+                missing = (ma, mb, mn) if has_missing else None
+                ok = (n > 0).reshape(len(own), -1)
+                n, la, lb = (np.cumsum(v, axis=2).reshape(len(own), -1) for v in (n, la, lb))
+                places = np.broadcast_to(np.tile(np.arange(width), many), ok.shape)
+            else:
+                if order is None:
+                    order = np.argsort(own, axis=1, kind="stable")
+                    key = node_of[order]
+                    order = order[key >= 0].reshape(len(own), -1)
+                    order = np.take_along_axis(order, np.argsort(node_of[order], axis=1, kind="stable"), axis=1)
+                lengths = whole[2]
+                start = np.cumsum(lengths) - lengths
+                ca, cb = np.cumsum(a[order], axis=1), np.cumsum(b[order], axis=1)
+                before = lambda c: np.repeat(np.where(start > 0, c[:, start - 1], 0.0), lengths, axis=1)
+                la, lb = ca - before(ca), cb - before(cb)
+                n = np.arange(1, order.shape[1] + 1) - np.repeat(start, lengths)
+                places = np.take_along_axis(own, order, axis=1)
+                ok = np.empty(places.shape, bool)
+                ok[:, :-1] = places[:, 1:] != places[:, :-1]
+                ok[:, start + lengths - 1] = False
+                if has_missing:
+                    gone = places == MISSING
+                    ok &= ~gone
+                    total = lambda v: np.add.reduceat(v, start, axis=1)
+                    missing = (total(np.where(gone, a[order], 0.0)), total(np.where(gone, b[order], 0.0)), total(gone.astype(np.int64)))
+            gains = Gains(rule, classes, start, lengths)
             gain, feature, place, goes_left = gains.best(la, lb, n, whole, missing, ok, ids, columns, seed)
-            cut = np.isfinite(gain) & (lengths >= rule.min_split)
-        else:
-            cut = np.zeros(len(ids), bool)
+            cut = np.isfinite(gain) & (whole[2] >= rule.min_split)
         if not cut.any():
             out.append(nodes)
             break
         which = np.flatnonzero(cut)
         nodes["feature"][which] = columns[feature[which]]
-        nodes["bound"][which] = sorted_bins[feature[which], place[which]]
+        nodes["bound"][which] = places[feature[which], place[which]]
         nodes["left_missing"][which] = goes_left[which]
         out.append(nodes)
         # each row's child; rows of finished nodes leave
-        rows = order[0]
-        node_of = np.repeat(np.arange(len(ids)), lengths)
-        stays = cut[node_of]
-        rows, node_of = rows[stays], node_of[stays]
-        value = own[feature[node_of], rows]
-        to_left = np.where(value == MISSING, goes_left[node_of], value <= nodes["bound"][node_of])
+        rows = np.flatnonzero(live)
+        rows = rows[cut[node_of[rows]]]
+        at = node_of[rows]
+        value = own[feature[at], rows]
+        to_left = np.where(value == MISSING, goes_left[at], value <= nodes["bound"][at])
         slot = np.cumsum(cut) - 1
-        child = np.full(len(a), -1, np.int64)
-        child[rows] = 2 * slot[node_of] + ~to_left
-        many = 2 * len(which)
-        key = child[order]
-        kept = key >= 0
-        order = order[kept].reshape(len(columns), -1)
-        key = key[kept].reshape(len(columns), -1).astype(np.int16 if many < 1 << 15 else np.int32)
-        order = np.take_along_axis(order, np.argsort(key, axis=1, kind="stable"), axis=1)
-        lengths = np.bincount(child[rows], minlength=many)
-        start = np.cumsum(lengths) - lengths
+        node_of = np.full(len(a), -1, np.int64)
+        node_of[rows] = 2 * slot[at] + ~to_left
+        if order is not None:
+            key = node_of[order]
+            order, key = (v[key >= 0].reshape(len(own), -1) for v in (order, key))
+            key = key.astype(np.int16 if 2 * len(which) < 1 << 15 else np.int32)
+            order = np.take_along_axis(order, np.argsort(key, axis=1, kind="stable"), axis=1)
         ids = (2 * ids[which][:, None] + np.arange(2)).ravel()
         depth += 1
     return np.concatenate(out)
