@@ -4,10 +4,13 @@ Every task turns its documents into shards: words become numbers of the
 benchmark's vocabulary, stretches of known words that are too short to hold a
 window are dropped, and the suffixes of the rest are sorted by prefix
 doubling.  All test suffixes are binary-searched in every shard: the range
-that agrees on a whole window gives all its locations.  ``searched`` and
-``decontaminate`` decide on these windows only; the longest verbatim matches,
-from the neighbours of the insertion point, are found by ``longest_matches``,
-which no registered query calls.
+that agrees on a whole window gives all its locations.  From every location the
+longest verbatim match is extended: the place of the document's suffix among
+the sorted test suffixes is found, and the longer agreement with its two
+neighbours is the match.  ``decontaminate`` removes the documents in which a
+location was found.  Agreements are lengths found by halving over prefix hashes
+(two primes of 31 bits), so memory does not grow with the length of items or
+matches.  ``longest_matches`` lists them by test suffix.
 
 The benchmark is a stated query set.  It is sent to the tasks in blocks of at
 most ``BLOCK_WORDS`` words, so that its size is bounded whatever its length;
@@ -29,7 +32,7 @@ from pyspark.sql import functions as F
 
 from .batches import spans_index, text_slices
 
-BLOCK_WORDS = 4_000_000     # benchmark words per broadcast block (about 50 MB)
+BLOCK_WORDS = 1_000_000     # benchmark words per broadcast block (about 60 MB)
 SHARD_BYTES = 16_000_000    # document text per suffix array
 PART = 4_000_000            # of a long text, split into words at once
 
@@ -49,6 +52,80 @@ def words_of(text):
         at = cut
 
 
+PRIME, BASES = (1 << 31) - 1, (1_000_003, 998_244_353)
+
+
+def powers(n):
+    """The bases' powers 0 .. n - 1."""
+    out = np.ones((len(BASES), max(n, 1)), np.int64)
+    for row, base in zip(out, BASES):
+        done, step = 1, base
+        while done < n:
+            more = min(done, n - done)
+            row[done:done + more] = row[:more] * step % PRIME
+            done, step = done + more, step * step % PRIME
+    return out
+
+
+class Words:
+    """Word numbers with a 0 after each stretch, and hashes of their prefixes."""
+
+    def __init__(self, ids):
+        self.ids, stops = ids, np.flatnonzero(ids == 0)
+        self.left = np.zeros(len(ids), np.int64)            # words up to the next 0
+        upto = stops[-1] + 1 if len(stops) else 0
+        self.left[:upto] = np.repeat(stops, np.diff(stops, prepend=-1)) - np.arange(upto)
+        value = (ids.astype(np.int64) * 2_654_435_761 + 97) % PRIME
+        self.sums = [np.concatenate([[0], np.cumsum(value * pw % PRIME)]) % PRIME for pw in powers(len(ids))]
+
+
+def agreement(x, i, y, j, pw):
+    """Words that the stretches from x[i] and y[j] have in common."""
+    low, high, top = np.zeros(len(i), np.int64), np.minimum(x.left[i], y.left[j]), pw.shape[1] - 1
+    while (low < high).any():
+        n = (low + high + 1) // 2
+        same = np.ones(len(i), bool)
+        for sx, sy, p in zip(x.sums, y.sums, pw):
+            same &= (sx[i + n] - sx[i]) % PRIME * p[top - i] % PRIME == (sy[j + n] - sy[j]) % PRIME * p[top - j] % PRIME
+        low, high = np.where(same, n, low), np.where(same, high, n - 1)
+    return low
+
+
+def longest_agreement(x, i, y, order, pw):
+    """(words, place in y) of the longest agreement of each stretch from x[i] with
+    the suffixes of y at ``order``, which is sorted: one of its two neighbours."""
+    low, high = np.zeros(len(i), np.int64), np.full(len(i), len(order), np.int64)
+    while (open_ := low < high).any():
+        middle = np.minimum((low + high) // 2, len(order) - 1)
+        spot = order[middle]
+        n = agreement(x, i, y, spot, pw)
+        before = y.ids[spot + n] < x.ids[i + n]
+        low, high = np.where(open_ & before, middle + 1, low), np.where(open_ & ~before, middle, high)
+    best, where = np.zeros(len(i), np.int64), np.zeros(len(i), np.int64)
+    for side in (low - 1, low):
+        spot = order[np.clip(side, 0, len(order) - 1)]
+        n = agreement(x, i, y, spot, pw)
+        best, where = np.maximum(best, n), np.where(n > best, spot, where)
+    return best, where
+
+
+def suffix_order(ids, depth):
+    """Positions of ``ids`` sorted by the words up to the next 0 (and ``depth`` at most)."""
+    stop = ids == 0
+    rank = np.where(stop, np.cumsum(stop) - 1, int(stop.sum()) + ids).astype(np.int64)
+    order, step = np.argsort(rank, kind="stable"), 1
+    while step < depth and len(rank):
+        key = rank * (int(rank.max()) + 2)
+        key[:-step] += rank[step:] + 1
+        order = np.argsort(key, kind="stable")
+        new = np.empty(len(rank), np.int64)
+        new[order] = np.concatenate([[0], np.cumsum(np.diff(key[order]) != 0)])
+        rank, step = new, 2 * step
+        if rank[order[-1]] == len(rank) - 1:
+            break
+    return order
+
+
 class Block:
     """Test suffixes of some benchmark items, as numbers of their vocabulary (from 1)."""
 
@@ -57,8 +134,11 @@ class Block:
         number = {name: i for i, name in enumerate(self.names)}
         texts = [np.array([self.vocab.setdefault(w, len(self.vocab) + 1) for w in words], np.int32) for _, words in items]
         self.depth = max(map(len, texts))
-        self.flat = np.concatenate(texts + [np.zeros(self.depth, np.int32)])
-        starts = np.cumsum([0] + [len(t) for t in texts])
+        self.flat = np.concatenate([np.append(t, np.int32(0)) for t in texts])
+        starts = np.cumsum([0] + [len(t) + 1 for t in texts])
+        self.words, self.window = Words(self.flat), window
+        order = suffix_order(self.flat, self.depth)
+        self.sorted = order[self.words.left[order] >= window]
         suffixes = {}
         for (name, _), text, start in zip(items, texts, starts):
             size = min(window, len(text))
@@ -69,7 +149,7 @@ class Block:
         self.groups, self.least = [], min(suffixes)
         for size, parts in sorted(suffixes.items()):
             at, item, left, place = np.concatenate(parts, axis=1)
-            grid = self.flat[at[:, None] + np.arange(size)]
+            grid = np.lib.stride_tricks.sliding_window_view(self.flat, size)[at]
             order = np.lexsort(grid.T[::-1])
             new = np.concatenate([[True], (np.diff(grid[order], axis=0) != 0).any(axis=1)])
             window_of = np.empty(len(at), np.int64)
@@ -84,9 +164,16 @@ def opened(sent):
     """The block of a broadcast, which carries plain data only."""
     block = Block.__new__(Block)
     block.__dict__.update(sent.value)
+    words = Words.__new__(Words)
+    words.__dict__.update(block.words)
+    block.words = words
     return block
 
 
+def plain(block):
+    return {**vars(block), "words": vars(block.words)}
+
+
 def blocks_of(spark, benchmark: DataFrame, window: int, item_id="item_id", text="text"):
     """Broadcast blocks of the benchmark, read piece by piece."""
     own = benchmark.select(F.coalesce(F.col(f"`{item_id}`").cast("string"), F.lit("")).alias("item"), F.col(f"`{text}`").alias("text"))
@@ -97,10 +184,10 @@ def blocks_of(spark, benchmark: DataFrame, window: int, item_id="item_id", text=
             held.append((row["item"], words))
             size += len(words)
         if size > BLOCK_WORDS:
-            blocks.append(spark.sparkContext.broadcast(vars(Block(held, window))))
+            blocks.append(spark.sparkContext.broadcast(plain(Block(held, window))))
             held, size = [], 0
     if held:
-        blocks.append(spark.sparkContext.broadcast(vars(Block(held, window))))
+        blocks.append(spark.sparkContext.broadcast(plain(Block(held, window))))
     return blocks
 
 
@@ -126,26 +213,10 @@ class Shard:
             place.append(at)
             owner.append(np.full(len(at), i))
         self.ids, self.place, self.owner = np.concatenate(parts), np.concatenate(place), np.concatenate(owner)
-        self.order = self.sorted_suffixes(block.depth)
-        stops = np.flatnonzero(self.ids == 0)
-        left = np.repeat(stops, np.diff(stops, prepend=-1)) - np.arange(len(self.ids))
-        self.order = self.order[left[self.order] >= block.least]
-        self.padded = np.concatenate([self.ids, np.zeros(block.depth, np.int32)])
-
-    def sorted_suffixes(self, depth):
-        stop = self.ids == 0
-        rank = np.where(stop, np.cumsum(stop) - 1, int(stop.sum()) + self.ids).astype(np.int64)
-        order, step = np.argsort(rank, kind="stable"), 1
-        while step < depth and len(rank):
-            key = rank * (int(rank.max()) + 2)
-            key[:-step] += rank[step:] + 1
-            order = np.argsort(key, kind="stable")
-            new = np.empty(len(rank), np.int64)
-            new[order] = np.concatenate([[0], np.cumsum(np.diff(key[order]) != 0)])
-            rank, step = new, 2 * step
-            if rank[order[-1]] == len(rank) - 1:
-                break
-        return order
+        self.words = Words(self.ids)
+        self.order = suffix_order(self.ids, block.depth)
+        self.order = self.order[self.words.left[self.order] >= block.least]
+        self.padded = np.concatenate([self.ids, np.zeros(block.window, np.int32)])
 
     def bound(self, rows, above):
         """Insertion points of equally long word rows, after equals if ``above``."""
@@ -162,13 +233,19 @@ class Shard:
         return low
 
     def found(self, block):
-        """(hit words per document, sorted item names per document)."""
+        """(hit words per document, sorted item names per document, matches); a match
+        is a document, its place there and its words."""
         docs = len(self.n_words)
-        marks, pairs = np.zeros(len(self.padded) + 1, np.int64), []
+        marks, pairs, matches = np.zeros(len(self.padded) + 1, np.int64), [], []
         if len(self.order):
             for g in block.groups:
                 low, high = self.bound(g["windows"], False), self.bound(g["windows"], True)
                 at = self.order[spans_index(low, high - low)]
+                begins = np.unique(at)
+                words = np.full(len(begins), g["size"])
+                if g["size"] == block.window and len(begins):
+                    words = longest_agreement(self.words, begins, block.words, block.sorted, powers(max(len(self.ids), len(block.flat)) + 1))[0]
+                matches.append((self.owner[begins], self.place[begins], words))
                 np.add.at(marks, at, 1)
                 np.add.at(marks, at + g["size"], -1)
                 window = np.unique(self.owner[at] * len(low) + np.repeat(np.arange(len(low)), high - low))
@@ -181,7 +258,7 @@ class Shard:
         names = [[] for _ in range(docs)]
         for doc, item in zip((pairs // len(block.names)).tolist(), (pairs % len(block.names)).tolist()):
             names[doc].append(block.names[item])
-        return [(self.owner[hit], self.place[hit])], names
+        return [(self.owner[hit], self.place[hit])], names, matches
 
     def longest(self, block):
         """Longest match of every test suffix whose window occurs: (item, its start, words, document, its start)."""
@@ -191,23 +268,18 @@ class Shard:
             some = np.flatnonzero((high > low)[g["window_of"]])
             if not len(some):
                 continue
-            at, left = g["at"][some], g["left"][some]
-            span = np.arange(block.depth)
-            rows = np.where(span < left[:, None], block.flat[at[:, None] + span], 0)
-            point = self.bound(rows, False)
-            best, where = np.zeros(len(some), np.int64), np.zeros(len(some), np.int64)
-            for side in (point - 1, point):
-                spot = self.order[np.clip(side, 0, len(self.order) - 1)]
-                same = (self.padded[spot[:, None] + span] == rows) & (rows > 0)
-                length = np.where(same.all(axis=1), block.depth, (~same).argmax(axis=1))
-                where, best = np.where(length > best, spot, where), np.maximum(best, length)
+            pw = powers(max(len(self.ids), len(block.flat)) + 1)
+            best, where = longest_agreement(block.words, g["at"][some], self.words, self.order, pw)
             out.extend(zip((block.names[i] for i in g["item"][some].tolist()), g["place"][some].tolist(), best.tolist(),
                            self.owner[where].tolist(), self.place[where].tolist()))
         return out
 
 
 def searched(docs: DataFrame, benchmark: DataFrame, window: int = 10, text: str = "text", bench_id: str = "item_id", bench_text: str = "text") -> DataFrame:
-    """``row`` (the input row) and ``found``: n_words, n_hit and the sorted items with occurring windows."""
+    """``row`` (the input row) and ``found``: n_words, n_hit, the sorted items with
+    occurring windows, and the longest verbatim match that begins at a window's
+    location: its words (0 if there is none) and the first place of one so long
+    (its word's number from 0; null if there is none)."""
     blocks = blocks_of(docs.sparkSession, benchmark, window, bench_id, bench_text)
 
     def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
@@ -216,11 +288,12 @@ def searched(docs: DataFrame, benchmark: DataFrame, window: int = 10, text: str
             yield pa.concat_arrays(parts)
 
     def found(texts):
-        kind = pa.struct([("n_words", pa.int64()), ("n_hit", pa.int64()), ("items", pa.list_(pa.string()))])
-        hits, names, n_words = [], [set() for _ in texts], None
+        kind = pa.struct([("n_words", pa.int64()), ("n_hit", pa.int64()), ("items", pa.list_(pa.string())), ("longest", pa.int64()), ("longest_at", pa.int64())])
+        hits, names, matches, n_words = [], [set() for _ in texts], [], None
         for block in map(opened, blocks):
             shard = Shard(texts, block)
-            own, items = shard.found(block)
+            own, items, more_matches = shard.found(block)
+            matches.extend(more_matches)
             n_words = shard.n_words
             hits.extend(own)
             for held, more in zip(names, items):
@@ -232,9 +305,18 @@ def searched(docs: DataFrame, benchmark: DataFrame, window: int = 10, text: str
             owner, place = (np.concatenate(x) for x in zip(*hits))
             spot = np.unique((owner.astype(np.int64) << 40) | place)
             n_hit = np.bincount(spot >> 40, minlength=len(texts))
-        return pa.StructArray.from_arrays([pa.array(n_words, pa.int64()), pa.array(n_hit, pa.int64()), pa.array([sorted(n) for n in names], pa.list_(pa.string()))], fields=list(kind))
-
-    search = F.arrow_udf(run, "struct<n_words: bigint, n_hit: bigint, items: array<string>>")
+        longest, longest_at = np.zeros(len(texts), np.int64), [None] * len(texts)
+        if matches:
+            owner, place, words = (np.concatenate(x).astype(np.int64) for x in zip(*matches))
+            order = np.lexsort((place, -words, owner))
+            first = order[np.flatnonzero(np.diff(owner[order], prepend=-1))]
+            longest[owner[first]] = words[first]
+            for i, at in zip(owner[first].tolist(), place[first].tolist()):
+                longest_at[i] = at
+        return pa.StructArray.from_arrays([pa.array(n_words, pa.int64()), pa.array(n_hit, pa.int64()), pa.array([sorted(n) for n in names], pa.list_(pa.string())),
+                                           pa.array(longest), pa.array(longest_at, pa.int64())], fields=list(kind))
+
+    search = F.arrow_udf(run, "struct<n_words: bigint, n_hit: bigint, items: array<string>, longest: bigint, longest_at: bigint>")
     return docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), search(F.col(f"`{text}`")).alias("found"))
 
 
@@ -264,5 +346,5 @@ def longest_matches(docs: DataFrame, benchmark: DataFrame, window: int = 10, doc
 
 
 def decontaminate(docs: DataFrame, benchmark: DataFrame, window: int = 10, text: str = "text") -> DataFrame:
-    """The rows of ``docs`` in which no benchmark window occurs."""
-    return searched(docs, benchmark, window, text).where("found.n_hit = 0").select("row.*")
+    """The rows of ``docs`` without a location of a verbatim match that holds a window."""
+    return searched(docs, benchmark, window, text).where("found.longest = 0").select("row.*")

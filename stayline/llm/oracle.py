@@ -54,9 +54,15 @@ dp AS (SELECT doc_id, size, i, array_to_string(words[i:i + size - 1], ' ') AS s
 hits AS (SELECT doc_id, i, size, item FROM dp JOIN it USING (size, s)),
 nh AS (SELECT doc_id, count(DISTINCT p) AS n_hit FROM (SELECT doc_id, unnest(generate_series(i, i + size - 1)) AS p FROM (SELECT DISTINCT doc_id, i, size FROM hits)) GROUP BY doc_id),
 ni AS (SELECT doc_id, count(*) AS n_items, sha256(string_agg(item, ',' ORDER BY item)) AS items_sha256 FROM (SELECT DISTINCT doc_id, item FROM hits) GROUP BY doc_id),
+jt AS (SELECT row_number() OVER () AS rid, words FROM iw WHERE len(words) > 0),
+jp AS (SELECT rid, least(10, len(words)) AS size, j, array_to_string(words[j:j + least(10, len(words)) - 1], ' ') AS s FROM (SELECT rid, words, unnest(generate_series(1, len(words) - least(10, len(words)) + 1)) AS j FROM jt)),
+diag AS (SELECT doc_id, rid, i - j AS d, size, i, i - row_number() OVER (PARTITION BY doc_id, rid, i - j ORDER BY i) AS run FROM dp JOIN jp USING (size, s)),
+runs AS (SELECT doc_id, min(i) - 1 AS pos, count(*) + max(size) - 1 AS n FROM diag GROUP BY doc_id, rid, d, run),
+lg AS (SELECT doc_id, max(n) AS longest, arg_min(pos, -n * 1000000000 + pos) AS longest_at FROM runs GROUP BY doc_id),
 contamination AS (SELECT dw.doc_id, CAST(len(words) AS BIGINT) AS n_words, CAST(coalesce(n_hit, 0) AS BIGINT) AS n_hit, CAST(coalesce(n_items, 0) AS BIGINT) AS n_items,
-        coalesce(items_sha256, sha256('')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
-      FROM dw LEFT JOIN nh USING (doc_id) LEFT JOIN ni USING (doc_id))"""
+        coalesce(items_sha256, sha256('')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated,
+        CAST(coalesce(longest, 0) AS BIGINT) AS longest, CAST(coalesce(longest_at, -1) AS BIGINT) AS longest_at
+      FROM dw LEFT JOIN lg USING (doc_id) LEFT JOIN nh USING (doc_id) LEFT JOIN ni USING (doc_id))"""
 
 DECONTAM_SQL = f"WITH {DECONTAM.format(docs='documents')}\nSELECT * FROM contamination"
 

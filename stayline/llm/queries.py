@@ -80,7 +80,8 @@ def op9(spark, sf_dir):
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     found = decontam.searched(docs, table(spark, sf_dir, "benchmark"), window=10)
     return found.select(F.col("row.doc_id").alias("doc_id"), "found.n_words", "found.n_hit", F.size("found.items").cast("long").alias("n_items"),
-                        F.sha2(F.array_join("found.items", ","), 256).alias("items_sha256"), (F.col("found.n_hit") > 0).alias("contaminated"))
+                        F.sha2(F.array_join("found.items", ","), 256).alias("items_sha256"), (F.col("found.longest") > 0).alias("contaminated"),
+                        F.col("found.longest").alias("longest"), F.coalesce("found.longest_at", F.lit(-1)).cast("long").alias("longest_at"))
 
 
 @register("op10_sharding")
