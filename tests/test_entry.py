@@ -28,3 +28,8 @@ def test_scan_is_pruned(spark, capsys):
     E.queries()["frailty_digits"](spark, SF0001).explain()
     plan = capsys.readouterr().out
     assert "ReadSchema: struct<event_id:bigint,user_id:bigint,props:string>" in plan
+
+
+def test_the_source_is_read_once(spark):
+    prep = prepare(stays(spark, SF0001), STAYS, ("nosplit",))
+    assert prep.data.inputFiles() and all("/cleaned-" in f for f in prep.data.inputFiles())
