@@ -4,7 +4,7 @@ from pyspark.sql import functions as F
 
 from stayline.config import STAYS
 from stayline.operators.models.estimators import ModelSpec
-from stayline.operators.models.trainer import TrainedModel
+from stayline.operators.models.trainer import TrainedModel, fit, placed
 from stayline.operators.tuning import GRIDS, combos, grid_search, tuning_rows
 from stayline.plans.datasets import prepare
 from stayline.plans.flows import family_data, flow_no_split, train_evaluate_classifier
@@ -120,3 +120,14 @@ def test_flows_with_search_report_and_saved_models(spark, tmp_path):
     train, test, names = family_data(prep, "nosplit")
     assert loaded.feature_names == names and loaded.predict(test.drop("label"), STAYS.key).columns == [STAYS.key, "prediction"]
     prep.release()
+
+
+@pytest.mark.parametrize("kind", ["ridge", "lasso"])
+def test_a_linear_fit_takes_few_passes(spark, kind):
+    df = spark.range(0, 500).select(F.col("id").alias("k"), (F.col("id") % 17).cast("double").alias("a"), (F.col("id") % 17 + F.col("id") % 3 / 100).alias("b"))
+    df = df.withColumn("label", 2 * F.col("a") - F.col("b") + F.sin(F.col("k")))
+    data = VectorAssembler(inputCols=["a", "b"], outputCol="features").transform(df).select("k", "label", "features")
+    spark.sparkContext.setJobGroup(f"passes of {kind}", kind)
+    fit(ModelSpec(kind, {"alpha": 0.01}), placed(data).persist(), is_placed=True)
+    spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    assert len(spark.sparkContext.statusTracker().getJobIdsForGroup(f"passes of {kind}")) <= 12
