@@ -12,7 +12,7 @@ from stayline.operators.metrics import roc_auc, roc_auc_by
 from stayline.operators.models import ensembles, newton
 from stayline.operators.models.ensembles import FOLD, Binned, boost, forest_scores
 from stayline.operators.models.estimators import ModelSpec, tree_fit
-from stayline.operators.models.trainer import fit, placed
+from stayline.operators.models.trainer import TrainedModel, fit, placed
 from stayline.operators.models.trees import MISSING, NODE, Rule, Tree, grow, rebased, split_of
 from stayline.operators.splits import fold_of
 from stayline.operators.tuning import grid_search
@@ -272,3 +272,24 @@ def test_problems_together_are_problems_alone(spark):
     newton_points(spark, [alone])
     assert np.allclose(many[3].path[-1], alone.path[-1], atol=1e-7)
     assert NODE.itemsize
+
+
+@pytest.mark.parametrize("kind", ["random_forest", "random_forest_classifier"])
+@pytest.mark.parametrize("small_nodes", [False, True])
+def test_a_forest_kept_as_a_table_is_the_collected_one(spark, monkeypatch, tmp_path, kind, small_nodes):
+    data, _, _ = table(spark, classes=kind != "random_forest", nulls=True)
+    if small_nodes:
+        monkeypatch.setattr(ensembles, "CELLS", 150)
+        monkeypatch.setattr(ensembles, "LEAST_ROWS", 40)
+    monkeypatch.setattr(ensembles, "BLOCK_ROWS", 64)
+    spec = ModelSpec(kind, {"n_estimators": 4})
+    held = fit(spec, data)
+    assert held.model.table is None and len(held.model.trees) == 4
+    monkeypatch.setattr(ensembles, "FOREST_NODES", 10)
+    kept = fit(spec, data)
+    assert not kept.model.trees
+    assert predictions(kept, data).tolist() == predictions(held, data).tolist()
+    kept.save(str(tmp_path / "m"))
+    twice = data.unionAll(data.where("k < 5")).withColumn("k", F.when(F.col("k") > 3, F.col("k")))
+    rows = lambda m: sorted(map(str, m.predict(twice, "k").collect()))
+    assert rows(TrainedModel.load(spark, str(tmp_path / "m"))) == rows(held)
