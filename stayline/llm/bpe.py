@@ -2,7 +2,7 @@
 
 A vocabulary file of the tokenizers library is read into numpy tables.  The
 symbols of many pre-tokens lie in one flat array; a round looks up every
-neighbouring pair by binary search over the sorted pair keys, takes in each
+neighbouring pair in a hashed table of the pair keys, takes in each
 pre-token the pair of lowest rank, and merges all its occurrences at once.
 Rounds go on until no pre-token holds a known pair.  Each distinct pre-token
 is merged once per task; documents gather their ids from that store.
@@ -15,11 +15,14 @@ pass through, and the output column replaces one of the same name.
 
 import json
 import re
+from collections import defaultdict
 from collections.abc import Iterator
+from itertools import count, islice
 from os.path import commonprefix
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -48,6 +51,24 @@ def byte_alphabet():
     return [chars[b] for b in range(256)]
 
 
+def home(keys, slots):
+    """The slot, of a power of two, at which the search for a key begins."""
+    return ((keys.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(65 - slots.bit_length())).astype(np.int64)
+
+
+def hashed(keys):
+    """Table of slots holding places of distinct keys, -1 where free; a key lies in
+    the first slot from its home on that was free."""
+    slots = np.full(1 << (max(len(keys), 2).bit_length() + 2), -1, np.int64)
+    todo, slot = np.arange(len(keys)), home(keys, len(slots))
+    while todo.size:
+        free = todo[slots[slot[todo]] < 0]
+        slots[slot[free]] = free
+        todo = todo[slots[slot[todo]] != todo]
+        slot[todo] = (slot[todo] + 1) & (len(slots) - 1)
+    return slots
+
+
 class Tables:
     """Numpy tables of one vocabulary file."""
 
@@ -69,6 +90,7 @@ class Tables:
         cut = len(suffix)
         merged = np.array([vocab[a + b] for a, b in pairs], np.int64)
         self.keys, self.ranks, self.merged = keys[order], order.astype(np.int64), merged[order]
+        self.slots = hashed(self.keys)
         self.size = 1 + max([*vocab.values(), *self.special.values()])
         byte_of = {c: b for b, c in enumerate(alphabet)}
         text = [b""] * self.size
@@ -135,10 +157,16 @@ class Tables:
         return symbol[order], np.bincount(word, minlength=len(words))
 
     def pair_index(self, left, right):
-        """Place of each pair among the sorted pair keys, -1 if it is none of them."""
+        """Place of each pair among the pair keys, -1 if it is none of them."""
         key = (left << 32) | right
-        at = np.minimum(np.searchsorted(self.keys, key), len(self.keys) - 1)
-        return np.where(self.keys[at] == key, at, -1)
+        slot = home(key, len(self.slots))
+        found = self.slots[slot]
+        off = np.flatnonzero((found >= 0) & (self.keys[found] != key))
+        while off.size:         # another key's slot: look at the next one
+            slot[off] = (slot[off] + 1) & (len(self.slots) - 1)
+            found[off] = self.slots[slot[off]]
+            off = off[(found[off] >= 0) & (self.keys[found[off]] != key[off])]
+        return found
 
     def decode(self, ids, lengths):
         """Texts of documents given as flat ids and ids per document."""
@@ -148,18 +176,9 @@ class Tables:
         return [raw[a:b].decode("utf-8", "replace") for a, b in zip([0, *ends], ends)]
 
 
-class Interner(dict):
-    """Numbers strings in order of first sight; ``seen`` is shared by the maps
-    of one numbering and keeps prefix + string."""
-
-    def __init__(self, seen, prefix=""):
-        super().__init__()
-        self.seen, self.prefix = seen, prefix
-
-    def __missing__(self, key):
-        number = self[key] = len(self.seen)
-        self.seen.append(self.prefix + key)
-        return number
+def newest(known, before):
+    """The strings that a numbering took in since it held ``before``, in order."""
+    return list(islice(reversed(known), len(known) - before))[::-1]
 
 
 class PreTokens:
@@ -175,6 +194,7 @@ class PreTokens:
         self.pattern = regex.compile(WORD_PATTERN if by_words else BYTE_PATTERN)
         self.loose = regex.compile(r" (?!\S)")
         self.cut = regex.compile(r" (?=\S)")
+        self.uneven = re.compile(r" (?!\S)")        # finds all that loose does (its white space is a superset), faster
         self.disputed = re.compile(f"[{FIRST_DISPUTED}-\U0010ffff]")
         self.special = re.compile("(" + "|".join(map(re.escape, sorted(tables.special, key=len, reverse=True))) + ")") if tables.special else None
         # what every special string begins with, so that most texts are passed over quickly
@@ -183,14 +203,25 @@ class PreTokens:
         self.clear()
 
     def clear(self):
-        self.chunks, self.words = [], []
-        self.head, self.rest = Interner(self.chunks), Interner(self.chunks, " ")
-        self.word = Interner(self.words)
-        self.store, self.marks = Flat(), {}
+        # maps that number strings in order of first sight; both kinds of pieces share the chunks' numbers
+        chunk = count().__next__
+        self.head, self.rest, self.word, self.words = defaultdict(chunk), defaultdict(chunk), defaultdict(count().__next__), []
+        self.store, self.fresh, self.marks = Flat(), [], {}
         for content in self.tables.special:
-            self.marks[content] = len(self.chunks)
-            self.chunks.append(content)
-            self.store.append([self.word[content]], [1])
+            self.marks[content] = chunk()
+            self.store.append(self.word_numbers([content]), [1])
+
+    def word_numbers(self, tokens):
+        numbers = np.fromiter(map(self.word.__getitem__, tokens), np.int64, len(tokens))
+        self.words += newest(self.word, len(self.words))
+        return numbers
+
+    def piece_numbers(self, known, pieces, prefix=""):
+        """Chunk numbers of pieces; new chunks wait in ``fresh`` until they are learned."""
+        before = len(known)
+        numbers = np.fromiter(map(known.__getitem__, pieces), np.int64, len(pieces))
+        self.fresh += [prefix + p for p in newest(known, before)]
+        return numbers
 
     def split(self, chunk):
         if not self.disputed.search(chunk):
@@ -200,33 +231,34 @@ class PreTokens:
             self.library = Tokenizer.from_file(self.tables.path).pre_tokenizer
         return [chunk[a:b] for _, (a, b) in self.library.pre_tokenize_str(chunk)]
 
-    def learn(self, chunks):
-        """Store the pre-tokens of new chunks.  Chunks that open with a space are
-        split together: no pre-token crosses such a cut, so their ends are found
+    def learn(self):
+        """Store the pre-tokens of the fresh chunks.  Chunks that open with a space and a
+        visible character are split together: no pre-token crosses such a cut, so their ends are found
         by counting characters."""
+        chunks, self.fresh = self.fresh, []
         if not chunks:
             return
-        plain = np.array([c[0] == " " and len(c) > 1 and c not in self.marks for c in chunks])
+        plain = np.array([c[0] == " " and len(c) > 1 and not c[1].isspace() and c not in self.marks for c in chunks])
+        if self.disputed.search("".join(chunks)):
+            plain &= [not self.disputed.search(c) for c in chunks]
         joined = [c for c, p in zip(chunks, plain.tolist()) if p]
         text = "".join(joined)
-        if self.disputed.search(text):
-            plain[:] = False
-            joined, text = [], ""
         tokens = self.pattern.findall(text)
-        number, counts = self.word.__getitem__, np.zeros(len(chunks), np.int64)
-        together = np.fromiter(map(number, tokens), np.int64, len(tokens))
+        counts = np.zeros(len(chunks), np.int64)
+        together = self.word_numbers(tokens)
         if self.tables.by_words:        # white space is no token: count by the tokens' own places
             starts = np.fromiter((m.start() for m in self.pattern.finditer(text)), np.int64, len(tokens))
         else:
-            starts = np.cumsum(np.fromiter(map(len, tokens), np.int64, len(tokens))) - np.fromiter(map(len, tokens), np.int64, len(tokens))
+            sizes = np.fromiter(map(len, tokens), np.int64, len(tokens))
+            starts = np.cumsum(sizes) - sizes
         ends = np.cumsum(np.fromiter(map(len, joined), np.int64, len(joined)))
         counts[plain] = np.diff(np.searchsorted(starts, ends), prepend=0)
-        single = [[number(w) for w in self.split(c)] for c, p in zip(chunks, plain.tolist()) if not p]
+        single = [self.split(c) for c, p in zip(chunks, plain.tolist()) if not p]
         counts[~plain] = [len(x) for x in single]
         flat = np.empty(int(counts.sum()), np.int64)
         of = np.repeat(plain, counts)
         flat[of] = together
-        flat[~of] = [w for x in single for w in x]
+        flat[~of] = self.word_numbers([w for x in single for w in x])
         self.store.append(flat, counts)
 
     def normalize(self, text):
@@ -241,6 +273,29 @@ class PreTokens:
             return self.normalizer.normalize_str(text)
         return unicodedata.normalize("NFC", text).replace("Σ", "σ").lower()
 
+    def is_plain(self, text):
+        """Whether the chunks end at every space, and only there."""
+        return bool(text) and not (self.special and self.opens in text) and (self.tables.by_words or not self.uneven.search(text))
+
+    def plain_numbers(self, texts):
+        """(flat chunk numbers, chunks per text) of plain texts; each distinct piece is looked up once."""
+        lists = pc.split_pattern(pa.array(texts, pa.string()), " ")
+        counts = lists.value_lengths().to_numpy().astype(np.int64)
+        coded = lists.flatten().dictionary_encode()
+        words, at = coded.dictionary.to_numpy(zero_copy_only=False), coded.indices.to_numpy()
+        heads = np.cumsum(counts) - counts
+        kept = np.ones(len(at), bool)
+        kept[heads] = False
+        used = np.flatnonzero(np.bincount(at[kept], minlength=len(words)))
+        place = np.full(len(words), -1)
+        place[used] = self.piece_numbers(self.rest, words[used].tolist(), " ")
+        numbers = place[at]
+        first = words[at[heads]].tolist()
+        begun = np.array([w != "" for w in first], bool)
+        numbers[heads[begun]] = self.piece_numbers(self.head, [w for w in first if w])
+        kept[heads] = begun
+        return numbers[kept], counts - ~begun
+
     def chunk_numbers(self, text):
         parts = self.special.split(text) if self.special and self.opens in text else [text]
         numbers = []
@@ -254,37 +309,46 @@ class PreTokens:
             else:
                 pieces = self.cut.split(part) if self.loose.search(part) else part.split(" ")
             if pieces[0]:
-                numbers.append(self.head[pieces[0]])
-            numbers.extend(map(self.rest.__getitem__, pieces[1:]))
+                numbers.extend(self.piece_numbers(self.head, pieces[:1]).tolist())
+            numbers.extend(self.piece_numbers(self.rest, pieces[1:], " ").tolist())
         return numbers
 
     def codes(self, texts):
         """(flat pre-token numbers, pre-tokens per text); null counts as empty."""
-        if max(len(self.chunks), len(self.words)) > CACHE_LIMIT:
+        numbers, counts = self.numbers(texts)
+        codes, sizes = self.store.gather(numbers)
+        return codes, segment_sums(sizes, counts)
+
+    def numbers(self, texts):
+        """(flat numbers of learned chunks, chunks per text)."""
+        if max(self.store.n, len(self.words)) > CACHE_LIMIT:
             self.clear()
-        numbers, counts = [], []
-        for text in texts:
-            own = self.chunk_numbers(text) if text else []
-            numbers.extend(own)
-            counts.append(len(own))
-        self.learn(self.chunks[self.store.n:])
-        codes, sizes = self.store.gather(np.array(numbers, np.int64))
-        return codes, segment_sums(sizes, np.array(counts, np.int64))
+        plain = np.array([self.is_plain(t) for t in texts], bool)
+        together = [t for t, p in zip(texts, plain.tolist()) if p]
+        together, many = self.plain_numbers([self.normalize(t) for t in together] if self.tables.by_words else together)
+        single = [self.chunk_numbers(t) if t else [] for t, p in zip(texts, plain.tolist()) if not p]
+        counts = np.zeros(len(texts), np.int64)
+        counts[plain], counts[~plain] = many, [len(x) for x in single]
+        numbers = np.empty(int(counts.sum()), np.int64)
+        of = np.repeat(plain, counts)
+        numbers[of], numbers[~of] = together, [n for x in single for n in x]
+        self.learn()
+        return numbers, counts
 
 
 class Encoder:
-    """Ids of texts; keeps the ids of the pre-tokens it has met."""
+    """Ids of texts; keeps the ids of the pre-tokens and chunks it has met."""
 
     def __init__(self, path):
         self.tables = Tables(path)
         self.split = PreTokens(self.tables)
-        self.known, self.words = Flat(), None
+        self.known, self.chunks, self.words = Flat(), Flat(), None
 
     def encode(self, texts):
         """(flat ids, ids per text)."""
-        codes, counts = self.split.codes(texts)
+        numbers, counts = self.split.numbers(texts)
         if self.words is not self.split.words:      # the splitter began a new numbering
-            self.words, self.known = self.split.words, Flat()
+            self.words, self.known, self.chunks = self.split.words, Flat(), Flat()
         fresh = self.words[self.known.n:]
         if fresh:
             special = self.tables.special
@@ -295,7 +359,10 @@ class Encoder:
                 ids, lengths = np.insert(ids, at, [special[fresh[i]] for i in marks]), lengths.copy()
                 lengths[marks] = 1
             self.known.append(ids, lengths)
+        codes, sizes = self.split.store.gather(np.arange(self.chunks.n, self.split.store.n))
         ids, lengths = self.known.gather(codes)
+        self.chunks.append(ids, segment_sums(lengths, sizes))
+        ids, lengths = self.chunks.gather(numbers)
         return ids, segment_sums(lengths, counts)
 
 

@@ -31,10 +31,11 @@ from pyspark.sql import types as T
 from ..session import scratch_path
 from .batches import segment_sums, text_slices
 from .bpe import PreTokens, Tables
-from .varbyte import pack, unpack
+from .varbyte import LENGTHS, pack, unpack
 
 CHUNK_DOCS, CHUNK_BYTES = 16384, 64_000_000     # a chunk ends at either
 ROWS = 50_000                                   # dictionary rows per Arrow batch
+PIECE = 1 << 18                                 # numbers coded at once, a multiple of four
 
 
 class Chunk:
@@ -44,14 +45,15 @@ class Chunk:
 
     def __init__(self, number, words):
         self.number, self.words = number, words
-        self.ids, self.sizes, self.keys, self.times, self.docs, self.bytes = [], [], [], [], 0, 0
+        self.ids, self.sizes, self.codes, self.times, self.distinct, self.docs, self.bytes = [], [], [], [], [], 0, 0
 
     def add(self, ids, texts, codes, counts):
         """Documents with their pre-token numbers, ``counts`` of them each."""
-        owner = np.repeat(np.arange(len(texts), dtype=np.int64) + self.docs, counts)
+        owner = np.repeat(np.arange(len(texts), dtype=np.int64), counts)
         key, times = np.unique((owner << 32) | codes, return_counts=True)     # by document, then number
-        self.keys.append(key)
-        self.times.append(times)
+        self.codes.append((key & 0xFFFFFFFF).astype(np.int32))
+        self.times.append(times.astype(np.int32))
+        self.distinct.append(np.bincount(key >> 32, minlength=len(texts)).astype(np.int32))
         self.ids.append(ids)
         self.sizes.append(pc.fill_null(pc.binary_length(texts), 0).cast(pa.int64()))
         self.docs += len(texts)
@@ -67,20 +69,21 @@ class Chunk:
         """The distinct pre-tokens, then the row of frequency lists."""
         if not self.docs:
             return
-        key, times = np.concatenate(self.keys), np.concatenate(self.times)
-        used, code = np.unique(key & 0xFFFFFFFF, return_inverse=True)
-        ids = pa.concat_arrays(self.ids)
+        code, times, distinct = (np.concatenate(x) for x in (self.codes, self.times, self.distinct))
+        self.codes, self.times = [], []
+        occurs = np.zeros(len(self.words), bool)
+        occurs[code] = True
+        used, ids = np.flatnonzero(occurs), pa.concat_arrays(self.ids)
         for a in range(0, len(used), ROWS):
             words = [self.words[i] for i in used[a:a + ROWS].tolist()]
             none = [pa.nulls(len(words), t) for t in (pa.list_(ids.type), pa.list_(pa.int64()), pa.list_(pa.int32()), pa.binary(), pa.binary())]
             yield self.batch(pa.array(range(a, a + len(words)), pa.int32()), pa.array(words, pa.string()), *none)
-        owner = key >> 32
-        steps, opens = np.diff(code, prepend=0), np.flatnonzero(np.diff(owner, prepend=-1))
+        code = (np.cumsum(occurs, dtype=np.int32) - 1)[code]
+        steps, opens = np.diff(code, prepend=np.int32(0)), (np.cumsum(distinct, dtype=np.int64) - distinct)[distinct > 0]
         steps[opens] = code[opens]          # codes of a document as differences
-        distinct = pa.array(np.bincount(owner, minlength=self.docs), pa.int32())
         whole = lambda x: pa.ListArray.from_arrays(pa.array([0, len(x)], pa.int32()), x)
         yield self.batch(pa.array([-1], pa.int32()), pa.array([None], pa.string()), whole(ids), whole(pa.concat_arrays(self.sizes)),
-                         whole(distinct), pa.array([packed(steps)]), pa.array([packed(times)]))
+                         whole(pa.array(distinct)), pa.array([packed(steps)]), pa.array([packed(times)]))
 
 
 def frequencies(docs: DataFrame, path: str) -> DataFrame:
@@ -111,13 +114,20 @@ def frequencies(docs: DataFrame, path: str) -> DataFrame:
 
 
 def packed(numbers):
-    control, data, _, _ = pack(numbers, np.array([len(numbers)]))
-    return control.tobytes() + data.tobytes()
+    parts = [pack(numbers[a:a + PIECE], np.array([len(numbers[a:a + PIECE])]))[:2] for a in range(0, len(numbers), PIECE)]
+    return b"".join([c.tobytes() for c, _ in parts] + [d.tobytes() for _, d in parts])
 
 
 def unpacked(raw, n):
     raw, cut = np.frombuffer(raw, np.uint8), (n + 3) // 4
-    return unpack(raw[:cut], raw[cut:], np.array([n]))
+    numbers, at = np.empty(n, np.int32), cut
+    for a in range(0, n, PIECE):
+        many = min(PIECE, n - a)
+        control = raw[a // 4:(a + many + 3) // 4]
+        size = int(LENGTHS[control].ravel()[:many].sum(dtype=np.int64)) + many
+        numbers[a:a + many] = unpack(control, raw[at:at + size], np.array([many]))
+        at += size
+    return numbers
 
 
 def count_pieces(listed: DataFrame, path: str) -> DataFrame:

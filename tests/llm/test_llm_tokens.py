@@ -119,3 +119,44 @@ def test_normalisation_of_every_character_is_the_librarys():
         assert split.normalize(text) == normalizer.normalize_str(text)
         for c in points[a:a + 5000:97]:
             assert split.normalize(f"Q{chr(c)}") == normalizer.normalize_str(f"Q{chr(c)}")
+
+
+def test_chunks_that_begin_with_several_spaces_keep_to_their_text():
+    tok, encode = library(BYTE)
+    texts = ["  ", " \t", "  \n x", " \n", "   a"]
+    flat, lengths = bpe.Encoder(BYTE).encode(texts)
+    ends = np.cumsum(lengths)
+    assert [flat[a:b].tolist() for a, b in zip(ends - lengths, ends)] == [encode(t) for t in texts]
+
+
+def test_a_chunk_of_documents_is_packed_in_bounded_memory():
+    import tracemalloc
+    import pyarrow as pa
+    docs, each = 1000, 600
+    chunk = token_count.Chunk(0, [f"w{i}" for i in range(4000)])
+    chunk.add(pa.array(range(docs), pa.int64()), pa.array(["x"] * docs), np.random.default_rng(0).integers(0, 4000, docs * each), np.full(docs, each))
+    n = docs * each
+    tracemalloc.start()
+    batches = list(chunk.batches())
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert sum(b.num_rows for b in batches) == 4001
+    assert peak < 45 * n
+
+
+def test_numbers_packed_in_pieces_read_back(monkeypatch):
+    monkeypatch.setattr(token_count, "PIECE", 64)
+    for n in (0, 1, 63, 64, 65, 130):
+        numbers = np.random.default_rng(n).integers(0, 1 << 31, n) >> np.arange(n) % 31
+        assert token_count.unpacked(token_count.packed(numbers), n).tolist() == numbers.tolist()
+
+
+def test_hashed_pairs_are_found_past_each_other():
+    tables = bpe.Tables.__new__(bpe.Tables)
+    left, right = (x.ravel() for x in np.meshgrid(np.arange(60), np.arange(60)))
+    known = (left + right) % 3 > 0
+    tables.keys = np.sort(((left << 32) | right)[known])
+    tables.slots = bpe.hashed(tables.keys)
+    at = tables.pair_index(left, right)
+    assert (at[~known] == -1).all()
+    assert (tables.keys[at[known]] == ((left << 32) | right)[known]).all()
