@@ -49,3 +49,20 @@ def test_report_zero_division_is_zero(spark):
     df = spark.createDataFrame([(0, 0), (1, 0)], "a int, p int")
     rep = {r["class"]: r for r in M.classification_report(df, "a", "p").collect()}
     assert rep["1"]["precision"] == 0.0 and rep["1"]["f1"] == 0.0
+
+
+def test_areas_over_many_ranges_use_one_set_of_bounds(spark, monkeypatch):
+    from pyspark.sql import functions as F
+    monkeypatch.setattr(M, "AUC_ROWS", 5_000)
+    rows = spark.range(0, 60_000, 1, 6).select(
+        (F.col("id") % 2).alias("g"), F.rand(7).alias("s"), (F.rand(8) < 0.3).cast("double").alias("y")).localCheckpoint()
+    data = rows.toPandas()
+
+    def area(part):
+        rank = part["s"].rank()
+        p = (part["y"] == 1).sum()
+        return (rank[part["y"] == 1].sum() - p * (p + 1) / 2) / (p * (len(part) - p))
+
+    assert M.roc_auc(rows, "y", "s").first()["auc"] == pytest.approx(area(data), abs=1e-9)
+    found = {r["g"]: r["auc"] for r in M.roc_auc_by(rows, "g", "y", "s").collect()}
+    assert found == {g: pytest.approx(area(part), abs=1e-9) for g, part in data.groupby("g")}

@@ -293,3 +293,19 @@ def test_a_forest_kept_as_a_table_is_the_collected_one(spark, monkeypatch, tmp_p
     twice = data.unionAll(data.where("k < 5")).withColumn("k", F.when(F.col("k") > 3, F.col("k")))
     rows = lambda m: sorted(map(str, m.predict(twice, "k").collect()))
     assert rows(TrainedModel.load(spark, str(tmp_path / "m"))) == rows(held)
+
+
+def test_the_l1_step_ends_with_the_exact_solution_of_its_signs():
+    rng = np.random.default_rng(3)
+    x = rng.normal(size=(400, 12))
+    x[:, 1:6] = x[:, :1] + 2e-4 * x[:, 1:6]            # nearly equal columns, on which single coordinates creep
+    h, g, b = x.T @ x, x.T @ rng.normal(size=400), rng.normal(size=12) * (rng.random(12) < 0.5)
+    for l1, l2 in ((2.0, 0.0), (0.5, 0.5)):
+        d = newton.descend(g, h, b, l1, l2)
+        at = b + d
+        slope = g + h @ d + np.r_[0.0, l2 * at[1:]]
+        assert abs(slope[0]) < 1e-7
+        assert all(abs(s + l1 * np.sign(c)) < 1e-7 if c else abs(s) <= l1 + 1e-7 for s, c in zip(slope[1:], at[1:]))
+        signs = np.sign(at) * (np.abs(at) > 0)
+        assert np.allclose(newton.with_signs(g, h, b, signs, l1, l2), d, atol=1e-6)
+        assert newton.with_signs(g, h, b, -signs, l1, l2) is None
