@@ -17,6 +17,7 @@ import json
 import re
 from collections import defaultdict
 from collections.abc import Iterator
+from functools import cached_property
 from itertools import count, islice
 from os.path import commonprefix
 
@@ -59,7 +60,7 @@ def home(keys, slots):
 def hashed(keys):
     """Table of slots holding places of distinct keys, -1 where free; a key lies in
     the first slot from its home on that was free."""
-    slots = np.full(1 << (max(len(keys), 2).bit_length() + 2), -1, np.int64)
+    slots = np.full(1 << (max(len(keys), 2).bit_length() + 2), -1, np.int32)
     todo, slot = np.arange(len(keys)), home(keys, len(slots))
     while todo.size:
         free = todo[slots[slot[todo]] < 0]
@@ -80,28 +81,32 @@ class Tables:
         self.path, self.by_words = path, bool(suffix)
         self.special = {t["content"]: t["id"] for t in spec["added_tokens"]}
         alphabet = byte_alphabet()
-        self.first = np.array([vocab[c] for c in alphabet], np.int64)
-        self.last = np.array([vocab[c + suffix] for c in alphabet], np.int64)
+        self.first = np.array([vocab[c] for c in alphabet], np.int32)
+        self.last = np.array([vocab[c + suffix] for c in alphabet], np.int32)
         pairs = [m.split(" ") if isinstance(m, str) else m for m in model["merges"]]
         keys = np.array([(vocab[a] << 32) | vocab[b] for a, b in pairs], np.int64)
         # the last listing of a pair holds, as in a map filled in order
         order = np.lexsort((-np.arange(len(keys)), keys))
         order = order[np.concatenate([[True], np.diff(keys[order]) != 0])]
         cut = len(suffix)
-        merged = np.array([vocab[a + b] for a, b in pairs], np.int64)
-        self.keys, self.ranks, self.merged = keys[order], order.astype(np.int64), merged[order]
+        merged = np.array([vocab[a + b] for a, b in pairs], np.int32)
+        self.keys, self.ranks, self.merged = keys[order], order.astype(np.int32), merged[order]
         self.slots = hashed(self.keys)
         self.size = 1 + max([*vocab.values(), *self.special.values()])
-        byte_of = {c: b for b, c in enumerate(alphabet)}
+        self.vocab, self.cut, self.suffix = vocab, cut, suffix
+
+    @cached_property
+    def tokens(self):
+        """(bytes of all tokens, where each begins, length of each), for decoding."""
+        byte_of = {c: b for b, c in enumerate(byte_alphabet())}
         text = [b""] * self.size
-        for token, i in vocab.items():
-            body = token[:-cut] if cut and token.endswith(suffix) else token
+        for token, i in self.vocab.items():
+            body = token[:-self.cut] if self.cut and token.endswith(self.suffix) else token
             text[i] = bytes(byte_of[c] for c in body) if all(c in byte_of for c in body) else body.encode()
         for token, i in self.special.items():
             text[i] = token.encode()
-        self.bytes_length = np.array([len(t) for t in text], np.int64)
-        self.bytes_start = np.cumsum(self.bytes_length) - self.bytes_length
-        self.bytes_flat = np.frombuffer(b"".join(text), np.uint8)
+        length = np.array([len(t) for t in text], np.int64)
+        return np.frombuffer(b"".join(text), np.uint8), np.cumsum(length) - length, length
 
     def merge_rounds(self, words):
         """Ids of byte strings: (flat ids, ids per word)."""
@@ -109,11 +114,11 @@ class Tables:
         if not length.any():
             return np.empty(0, np.int64), length
         raw = np.frombuffer(b"".join(words), np.uint8)
-        symbol, word = self.first[raw], np.repeat(np.arange(len(words)), length)
+        symbol, word = self.first[raw], np.repeat(np.arange(len(words), dtype=np.int32), length)
         ends = np.cumsum(length)[length > 0] - 1
         symbol[ends] = self.last[raw[ends]]
         # index of the pair that each symbol opens, -1 if there is none
-        pair = np.full(len(symbol), -1)
+        pair = np.full(len(symbol), -1, np.int32)
         if len(symbol) > 1:
             inner = np.flatnonzero(word[:-1] == word[1:])
             pair[inner] = self.pair_index(symbol[inner], symbol[inner + 1])
@@ -158,7 +163,7 @@ class Tables:
 
     def pair_index(self, left, right):
         """Place of each pair among the pair keys, -1 if it is none of them."""
-        key = (left << 32) | right
+        key = (left.astype(np.int64) << 32) | right
         slot = home(key, len(self.slots))
         found = self.slots[slot]
         off = np.flatnonzero((found >= 0) & (self.keys[found] != key))
@@ -170,8 +175,9 @@ class Tables:
 
     def decode(self, ids, lengths):
         """Texts of documents given as flat ids and ids per document."""
-        size = self.bytes_length[ids]
-        raw = self.bytes_flat[spans_index(self.bytes_start[ids], size)].tobytes()
+        flat, start, length = self.tokens
+        size = length[ids]
+        raw = flat[spans_index(start[ids], size)].tobytes()
         ends = np.cumsum(segment_sums(size, lengths)).tolist()
         return [raw[a:b].decode("utf-8", "replace") for a, b in zip([0, *ends], ends)]
 
@@ -241,10 +247,13 @@ class PreTokens:
         plain = np.array([c[0] == " " and len(c) > 1 and not c[1].isspace() and c not in self.marks for c in chunks])
         if self.disputed.search("".join(chunks)):
             plain &= [not self.disputed.search(c) for c in chunks]
+        letters = plain & np.array([c[1:].isalpha() for c in chunks])       # one pre-token
+        words = [c[1:] if self.tables.by_words else c for c, p in zip(chunks, letters.tolist()) if p]
+        plain &= ~letters
         joined = [c for c, p in zip(chunks, plain.tolist()) if p]
         text = "".join(joined)
         tokens = self.pattern.findall(text)
-        counts = np.zeros(len(chunks), np.int64)
+        counts = letters.astype(np.int64)
         together = self.word_numbers(tokens)
         if self.tables.by_words:        # white space is no token: count by the tokens' own places
             starts = np.fromiter((m.start() for m in self.pattern.finditer(text)), np.int64, len(tokens))
@@ -253,12 +262,13 @@ class PreTokens:
             starts = np.cumsum(sizes) - sizes
         ends = np.cumsum(np.fromiter(map(len, joined), np.int64, len(joined)))
         counts[plain] = np.diff(np.searchsorted(starts, ends), prepend=0)
-        single = [self.split(c) for c, p in zip(chunks, plain.tolist()) if not p]
-        counts[~plain] = [len(x) for x in single]
+        alone = ~(plain | letters)
+        single = [self.split(c) for c, p in zip(chunks, alone.tolist()) if p]
+        counts[alone] = [len(x) for x in single]
         flat = np.empty(int(counts.sum()), np.int64)
-        of = np.repeat(plain, counts)
-        flat[of] = together
-        flat[~of] = self.word_numbers([w for x in single for w in x])
+        flat[np.repeat(plain, counts)] = together
+        flat[np.repeat(letters, counts)] = self.word_numbers(words)
+        flat[np.repeat(alone, counts)] = self.word_numbers([w for x in single for w in x])
         self.store.append(flat, counts)
 
     def normalize(self, text):
