@@ -88,20 +88,21 @@ class Tables:
         # the last listing of a pair holds, as in a map filled in order
         order = np.lexsort((-np.arange(len(keys)), keys))
         order = order[np.concatenate([[True], np.diff(keys[order]) != 0])]
-        cut = len(suffix)
         merged = np.array([vocab[a + b] for a, b in pairs], np.int32)
         self.keys, self.ranks, self.merged = keys[order], order.astype(np.int32), merged[order]
         self.slots = hashed(self.keys)
         self.size = 1 + max([*vocab.values(), *self.special.values()])
-        self.vocab, self.cut, self.suffix = vocab, cut, suffix
 
     @cached_property
     def tokens(self):
         """(bytes of all tokens, where each begins, length of each), for decoding."""
-        byte_of = {c: b for b, c in enumerate(byte_alphabet())}
+        with open(self.path, encoding="utf-8") as f:
+            model = json.load(f)["model"]
+        suffix = model.get("end_of_word_suffix") or ""
+        cut, byte_of = len(suffix), {c: b for b, c in enumerate(byte_alphabet())}
         text = [b""] * self.size
-        for token, i in self.vocab.items():
-            body = token[:-self.cut] if self.cut and token.endswith(self.suffix) else token
+        for token, i in model["vocab"].items():
+            body = token[:-cut] if cut and token.endswith(suffix) else token
             text[i] = bytes(byte_of[c] for c in body) if all(c in byte_of for c in body) else body.encode()
         for token, i in self.special.items():
             text[i] = token.encode()
@@ -349,8 +350,8 @@ class PreTokens:
 class Encoder:
     """Ids of texts; keeps the ids of the pre-tokens and chunks it has met."""
 
-    def __init__(self, path):
-        self.tables = Tables(path)
+    def __init__(self, path, tables=None):
+        self.tables = tables or Tables(path)
         self.split = PreTokens(self.tables)
         self.known, self.chunks, self.words = Flat(), Flat(), None
 

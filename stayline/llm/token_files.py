@@ -41,10 +41,11 @@ def encoded(docs: DataFrame, path: str, end_id: int) -> DataFrame:
     (``seen``, ``times``)."""
     counts = T.ArrayType(T.LongType())
     schema = T.StructType([T.StructField("doc_id", docs.schema["doc_id"].dataType), T.StructField("ids", T.BinaryType()), T.StructField("seen", counts), T.StructField("times", counts)])
-    kind = id_kind(path, end_id)
+    tables = Tables(path)       # about 2 MB, sent along instead of read from the file in every task
+    kind = id_kind(tables, end_id)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder, total, key = Encoder(path), np.zeros(0, np.int64), None
+        encoder, total, key = Encoder(path, tables), np.zeros(0, np.int64), None
         for batch in batches:
             at, key = 0, batch.schema.field(0).type
             for part in text_slices(batch.column(1)):
@@ -65,8 +66,8 @@ def encoded(docs: DataFrame, path: str, end_id: int) -> DataFrame:
     return docs.mapInArrow(run, schema)
 
 
-def id_kind(path, end_id):
-    return "<u2" if max(Tables(path).size, end_id + 1) <= 1 << 16 else "<u4"
+def id_kind(tables, end_id):
+    return "<u2" if max(tables.size, end_id + 1) <= 1 << 16 else "<u4"
 
 
 def flat_ids(array, kind):
@@ -82,7 +83,7 @@ def write_token_files(docs: DataFrame, folder: str, path: str, end_id: int, doc_
     own = docs.select(F.col(f"`{doc_id}`").alias("doc_id"), F.col(f"`{text}`").alias("text"))
     # the order of rows of equal id is fixed before the ids are written
     table, held = saved(encoded(own, path, end_id).withColumn("tie", F.xxhash64("ids")), "ids")
-    kind = id_kind(path, end_id)
+    kind = id_kind(Tables(path), end_id)
     each = F.explode(F.arrays_zip("seen", "times")).alias("x")
     counts = table.where("seen is not null").select(each).groupBy(F.col("x.seen").alias("id")).agg(F.sum("x.times").alias("n")).collect()      # at most the vocabulary
     order = [r["id"] for r in sorted(counts, key=lambda r: (-r["n"], r["id"]))]
