@@ -309,3 +309,56 @@ def test_the_l1_step_ends_with_the_exact_solution_of_its_signs():
         signs = np.sign(at) * (np.abs(at) > 0)
         assert np.allclose(newton.with_signs(g, h, b, signs, l1, l2), d, atol=1e-6)
         assert newton.with_signs(g, h, b, -signs, l1, l2) is None
+
+
+@pytest.mark.parametrize("kind", ["xgboost", "xgboost_poisson"])
+def test_all_rounds_of_small_tables_take_a_few_jobs(spark, monkeypatch, kind):
+    data, _, _ = table(spark, 900, nulls=True)
+    binned = Binned(folded(data))
+    fits = lambda: [tree_fit(ModelSpec(kind, {"n_estimators": 12, "max_depth": d, "subsample": s, "colsample_bytree": 0.7}), 3, f) for d, s in ((3, 0.8), (5, 1.0)) for f in range(3)]
+    spark.sparkContext.setJobGroup(f"rounds of {kind}", "")
+    trees, scores = boost(binned, fits(), (5, 12))
+    jobs = len(spark.sparkContext.statusTracker().getJobIdsForGroup(f"rounds of {kind}"))
+    spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    assert jobs < 12
+    monkeypatch.setattr(ensembles, "WHOLE", 0)
+    others, known = boost(binned, fits(), (5, 12))
+    assert scores.keys() == known.keys()
+    assert all(scores[k] == pytest.approx(known[k], rel=1e-9) for k in known)
+    for own, other in zip(trees, others):
+        assert [t.ids.tolist() for t in own] == [t.ids.tolist() for t in other]
+        assert all(np.allclose(t.value, o.value) for t, o in zip(own, other))
+    binned.release()
+
+
+@pytest.mark.parametrize("kind", ["random_forest", "random_forest_classifier"])
+def test_trees_dealt_to_tasks_that_read_all_rows_are_those_of_shuffled_rows(spark, monkeypatch, kind):
+    data, _, _ = table(spark, 600, classes=kind.endswith("classifier"), nulls=True)
+    binned = Binned(folded(data))
+    monkeypatch.setattr(ensembles, "CHUNK", 2)
+    monkeypatch.setattr(ensembles, "REST_ROWS", 50)
+    own = {"class_weight": "balanced_subsample"} if kind.endswith("classifier") else {}
+    fits = lambda: [tree_fit(ModelSpec(kind, {"n_estimators": 7, "min_samples_leaf": 2, **own}), 3, f) for f in range(3)]
+    point = ["fit", "trees", "depth", "split"]
+    found = lambda: {tuple(r[:4]): tuple(r[4:]) for r in forest_scores(binned, fits(), [3, 60], [2, 6], [3, 7]).groupBy(*point).agg(
+        F.count(F.lit(1)), F.sum("y"), F.sum("score"), F.sum(F.col("score") * F.col("y"))).collect()}
+    dealt = found()
+    assert len(dealt) == 3 * 2 * 2 * 2
+    monkeypatch.setattr(ensembles, "WHOLE", 0)
+    shuffled = found()
+    assert dealt.keys() == shuffled.keys()
+    assert all(dealt[k] == pytest.approx(shuffled[k], rel=1e-9) for k in dealt)
+    binned.release()
+
+
+def test_of_two_children_only_the_smaller_one_is_summed(monkeypatch):
+    from stayline.operators.models import trees
+    rng = np.random.default_rng(8)
+    bins, a, seen, sums = rng.integers(0, 9, (4000, 3)).astype(np.uint8), rng.normal(0, 1, 4000), [], trees.level_sums
+    monkeypatch.setattr(trees, "level_sums", lambda own, a, b, rows, *rest: seen.append(len(own[0]) if rows is None else len(rows)) or sums(own, a, b, rows, *rest))
+    nodes = grow(bins, a, np.ones(4000), Rule("newton", 4, reg_lambda=1.0), np.arange(3), (1.0, 1.0), 1)
+    assert seen[0] == 4000 and all(n <= 2000 for n in seen[1:]) and len(seen) == 4
+    tree = Tree(nodes, Rule("newton", 4, reg_lambda=1.0))
+    at = tree.leaves(bins)
+    assert all(math.isclose(tree.value[k], -a[at == k].sum() / ((at == k).sum() + 1), rel_tol=1e-9) for k in np.unique(at))
+    assert (tree.moved(bins.ravel(), np.arange(4000) * 3) == tree.value[at]).all()
