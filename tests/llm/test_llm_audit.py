@@ -248,6 +248,57 @@ def test_first_windows_hold_a_common_region():
             assert first[0] & first[1]
 
 
+def test_passages_of_few_texts_stay_out_of_first_windows():
+    """120 million shingles (0.5 GB of text), a passage in 20 texts: its shingles count as common."""
+    counts = np.random.default_rng(2).poisson(120e6 / jaccard.CELLS, jaccard.CELLS)
+    assert np.mean(counts + 20 <= np.quantile(counts, 0.2)) < 0.002
+
+
+def test_block_counts_come_back():
+    for most in (0, 1, 255, 256, 70_000, 2 ** 32 - 1):
+        block = np.random.default_rng(most).integers(0, most + 1, jaccard.BLOCK)
+        block[7] = most
+        assert (jaccard.unpacked(jaccard.packed(block)) == block).all()
+
+
+def test_linked_sets_share_the_needed_regions(spark):
+    """Windows of linked sets share as many regions as ``needed`` says, more than the least number where sizes agree."""
+    rng = np.random.default_rng(4)
+    seen = []
+    for size in np.repeat([2, 8, 24, 30, 99, 110, 400, 900], 40):
+        whole = rng.permutation(10 * size)[:size]           # places in the order of shingles
+        a, b = (np.sort(rng.permutation(whole)[rng.integers(0, 1 + size // 9):]) for _ in range(2))
+        common = len(np.intersect1d(a, b))
+        if 100 * common >= 80 * (len(a) + len(b) - common):
+            first = [x[:len(x) - -(-80 * len(x) // 100) + jaccard.shared(len(x))] for x in (a, b)]
+            seen.append((len(a), len(b), len(np.intersect1d(*first))))
+    got = spark.createDataFrame(seen, "n int, other_n int, times int").select("n", "other_n", "times", jaccard.needed("n", "other_n", 80).alias("need")).collect()
+    assert len(got) > 50 and all(1 <= r["need"] <= r["times"] for r in got)
+    even = spark.createDataFrame([(900, 900), (900, 720)], "n int, other_n int").select(jaccard.needed("n", "other_n", 80).alias("need")).collect()
+    assert [r["need"] for r in even] == [88, 8]
+
+
+def test_pivots_travel_once_and_meet_without_other_members(spark, monkeypatch):
+    sent, kept = [], jaccard.saved
+
+    def counted(frame, name):
+        out = kept(frame, name)
+        if name == "roles":
+            sent.append(out[0].count())
+        return out
+
+    monkeypatch.setattr(jaccard, "saved", counted)
+    texts = [" ".join(f"t{i}w{k}" for k in range(30)) for i in range(5)]
+    own = jaccard.texts(spark.createDataFrame(list(enumerate([*texts, texts[0] + " end"])), "doc_id long, text string"), "doc_id", "text")
+    rows = jaccard.points(own, 5).where("block is null and point is not null")
+    unique = rows.groupBy("point").agg(F.min("doc_id").alias("first")).cache()
+    members = unique.select(F.lit(1).cast("long").alias("region"), "point")
+    found = jaccard.Texts(own, unique, 5).meet(members, members.withColumnRenamed("point", "pivot"), 80, 1).collect()
+    ids = {r["point"]: r["first"] for r in unique.collect()}
+    assert {frozenset((ids[r["x"]], ids[r["y"]])) for r in found if r["kind"] == 0} == {frozenset((0, 5))}
+    assert sent == [6]
+
+
 @pytest.mark.parametrize("name", ["op11_divergence", "op12_merkle_manifest", "op13_jaccard_join"])
 def test_audit_queries_run(spark, name):
     assert queries.QUERIES[name](spark, SF0001).count() >= 200
