@@ -362,3 +362,41 @@ def test_of_two_children_only_the_smaller_one_is_summed(monkeypatch):
     at = tree.leaves(bins)
     assert all(math.isclose(tree.value[k], -a[at == k].sum() / ((at == k).sum() + 1), rel_tol=1e-9) for k in np.unique(at))
     assert (tree.moved(bins.ravel(), np.arange(4000) * 3) == tree.value[at]).all()
+
+
+@pytest.mark.parametrize("whole", [True, False])
+def test_sums_of_features_counted_together_are_those_of_each(monkeypatch, whole):
+    from stayline.operators.models import trees
+    monkeypatch.setattr(trees, "MANY_ROWS", 900)
+    monkeypatch.setattr(trees, "SOME_ROWS", 300)
+    monkeypatch.setattr(trees, "SOME_CELLS", 60)
+    rng = np.random.default_rng(2)
+    bins = np.stack([rng.integers(0, w, 3000) for w in (4, 30, 2, 5, 9)], 1).astype(np.uint8)
+    bins[rng.random(bins.shape) < 0.1] = MISSING
+    bins[:, 2] = MISSING
+    a, b = (rng.integers(0, 5, 3000).astype(float), rng.integers(1, 4, 3000).astype(float)) if whole else (rng.normal(0, 1, 3000), rng.random(3000) + 0.1)
+    lay, rows, sizes, calls, count = trees.Layout(bins), rng.permutation(3000)[:2100], [1000, 400, 40, 500, 160], [], np.bincount
+    weights = trees.Weights(a, b, rows, b[rows], Rule("mean"))
+    monkeypatch.setattr(trees.np, "bincount", lambda x, *rest, **kw: calls.append(len(x)) or count(x, *rest, **kw))
+    n, found_a, found_b = weights.read(trees.level_sums(lay.own, a, b, rows, lay, sizes, weights))
+    assert sum(calls) < (1 if whole else 2) * 5 * 2100                  # not every feature for itself
+    for k, mine in enumerate(np.split(rows, np.cumsum(sizes)[:-1])):
+        for j in range(5):
+            code = np.where(bins[mine, j] == MISSING, lay.widths[j], bins[mine, j])
+            want = [count(code, w, lay.widths[j] + 1)[:len(lay.cells[j])] for w in (None, a[mine], b[mine])]
+            assert ((n[k, lay.cells[j]] > 0) == (want[0] > 0)).all()
+            assert np.allclose(found_a[k, lay.cells[j]], want[1], atol=1e-9) and np.allclose(found_b[k, lay.cells[j]], want[2], atol=1e-9)
+
+
+@pytest.mark.parametrize("rule", [Rule("newton", 5, reg_lambda=1.0), Rule("mean", 60), Rule("gini", 60, features=2)])
+def test_growing_gives_each_row_its_value(rule):
+    from stayline.operators.models import trees
+    rng = np.random.default_rng(6)
+    bins = rng.integers(0, 12, (5000, 4)).astype(np.uint8)
+    bins[rng.random(bins.shape) < 0.1] = MISSING
+    y, rows, values = (bins[:, 0] + rng.normal(0, 2, 5000) > 6).astype(float), np.flatnonzero(rng.random(5000) < 0.7), np.full(5000, np.nan)
+    a, b = (0.4 - y, 0.3 + rng.random(5000)) if rule.kind == "newton" else (y, np.ones(5000)) if rule.kind == "mean" else (y, 1 - y)
+    nodes = trees.grow_laid(trees.Layout(bins), rows, a, b, rule, np.arange(4), (1.0, 1.0), 5, values=values)
+    assert nodes.tolist() and sorted(nodes["id"].tolist()) == sorted(grow(bins[rows], a[rows], b[rows], rule, np.arange(4), (1.0, 1.0), 5)["id"].tolist())
+    tree = Tree(nodes, rule)
+    assert np.allclose(values[rows], tree.value[tree.leaves(bins[rows])]) and np.isnan(np.delete(values, rows)).all()
