@@ -400,3 +400,17 @@ def test_growing_gives_each_row_its_value(rule):
     assert nodes.tolist() and sorted(nodes["id"].tolist()) == sorted(grow(bins[rows], a[rows], b[rows], rule, np.arange(4), (1.0, 1.0), 5)["id"].tolist())
     tree = Tree(nodes, rule)
     assert np.allclose(values[rows], tree.value[tree.leaves(bins[rows])]) and np.isnan(np.delete(values, rows)).all()
+
+
+def test_the_deepest_leaves_of_large_nodes_take_no_pass(spark, monkeypatch):
+    data, _, _ = table(spark, nulls=True)
+    binned, fits = Binned(data), lambda: [tree_fit(ModelSpec("xgboost", {"n_estimators": 2, "max_depth": 2, "min_child_weight": 60}), 3)]
+    want, asked, split_nodes = boost(binned, fits())[0][0], [], ensembles.Growth.split_nodes
+    monkeypatch.setattr(ensembles, "WHOLE", 0)
+    monkeypatch.setattr(ensembles, "CELLS", 30)
+    monkeypatch.setattr(ensembles, "LEAST_ROWS", 10)
+    monkeypatch.setattr(ensembles.Growth, "split_nodes", lambda self, blocks, todo: asked.append(max(node for _, node in todo)) or split_nodes(self, blocks, todo))
+    found = boost(binned, fits())[0][0]
+    assert asked and max(asked) < 4
+    assert all(a.ids.tolist() == b.ids.tolist() and np.allclose(a.value, b.value) for a, b in zip(found, want))
+    binned.release()
